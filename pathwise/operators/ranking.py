@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 
 
 def rank_newest(df: DataFrame, partition: list[str], order: list[Column],
-                name: str = "rank") -> DataFrame:
+                name: str = "latest_rank") -> DataFrame:
     """Append ``name`` = row_number over ``partition`` in ``order`` (bigint)."""
     w = Window.partitionBy(*partition).orderBy(*order)
     return df.withColumn(name, F.row_number().over(w).cast("bigint"))
 
 
 def newest_only(df: DataFrame, partition: list[str], order: list[Column],
-                name: str = "rank") -> DataFrame:
+                name: str = "latest_rank") -> DataFrame:
     """Rows ranked 1.  Catalyst plans a partial ``WindowGroupLimit`` before the
     shuffle, so a hot group is cut to one row per map task before it moves."""
     return rank_newest(df, partition, order, name).filter(F.col(name) == 1)

@@ -33,7 +33,7 @@ def _base_projection(base: DataFrame) -> DataFrame:
 def _contact_keys(contacts: DataFrame, date_col: str) -> DataFrame:
     """Distinct (pathway, date, minutes, newest?) -- what survives the DISTINCT."""
     return (contacts.select("pathway_id", date_col, "minutes",
-                            (F.col("rank") == 1).alias("_newest"))
+                            (F.col("latest_rank") == 1).alias("_newest"))
             .distinct())
 
 

@@ -67,7 +67,7 @@ def questionnaire_base(src: Sources, window: ReportingWindow, summary: DataFrame
                      & F.col("period_start").between(window.offset_start, window.period_start))
     ref = with_orgs(ref, src)
     j01 = summary.select("pathway_id", "product", F.col("n_contacts").alias("iet_count"))
-    newest = (answers.filter(F.col("rank") == 1)
+    newest = (answers.filter(F.col("latest_rank") == 1)
               .select("pathway_id", "code", "score", "term"))
     joined = ref.join(j01, "pathway_id", "left").join(newest, "pathway_id", "left")
     return joined.select(
