@@ -147,3 +147,39 @@ def level_bucket_rollup(df: DataFrame, time: str, dims: list[str], measures: lis
     expanded = rows.select(time, *bucket_keys, *dims, *partial_names, F.inline(levels_column(levels)))
     out = expanded.groupBy(time, *org_keys, *bucket_keys, *dims).agg(*merge)
     return out.select(time, *org_keys, *bucket_keys, *dims, *[m.final() for m in measures])
+
+
+_UNROLLED_BUCKETS = [
+    (R.BUCKET_ONE, lambda n: n >= 1),
+    (R.BUCKET_NONE, lambda n: (n == 0) | n.isNull()),
+    (R.BUCKET_TWO, lambda n: n >= 2),
+]
+
+
+def unrolled_rollup(df: DataFrame, time: str, dims: list[str], measures: list[Measure], *,
+                    bucket_col: str | None = "iet_count", levels=R.ORG_LEVELS) -> DataFrame:
+    """The reference's shape: one filtered GROUP BY per (level, bucket), unioned.
+
+    Kept as a cross-check of ``level_bucket_rollup`` and as the benchmark
+    baseline; it scans ``df`` once per branch (15 times for a bucketed
+    dashboard), so it is not used by the jobs.
+    """
+    partials = [p for m in measures for p in m.partials()]
+    branches = []
+    for org_type, region, name, code in levels:
+        keys = [v[1] for v in (region, name, code) if isinstance(v, tuple)]
+        keys = list(dict.fromkeys(keys))
+        for label, cond in (_UNROLLED_BUCKETS if bucket_col else [(None, None)]):
+            part = df if cond is None else df.filter(cond(F.col(bucket_col)))
+            agg = (part.select(time, *keys, *dims, *[e.alias(n) for n, e in partials])
+                   .groupBy(time, *keys, *dims)
+                   .agg(*[F.sum(n).alias(n) for n, _ in partials]))
+            cols = [time, F.lit(org_type).alias("org_type"), _level_value(region).alias("region"),
+                    _level_value(name).alias("org_name"), _level_value(code).alias("org_code")]
+            if label:
+                cols.append(F.lit(label).alias("appointment_type"))
+            branches.append(agg.select(*cols, *dims, *[m.final() for m in measures]))
+    out = branches[0]
+    for b in branches[1:]:
+        out = out.unionByName(b)
+    return out
