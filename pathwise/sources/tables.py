@@ -40,21 +40,41 @@ class Sources:
         return cls(**{f.name: spark.read.parquet(f"{path}/{f.name}") for f in fields(cls)})
 
     @classmethod
-    def from_driver_tables(cls, spark: SparkSession, sf_dir: str) -> "Sources":
+    def from_driver_tables(cls, spark: SparkSession, sf_dir: str,
+                           stage_dir: str | None = None) -> "Sources":
+        """Fixture sources.  Facts stay lazy views over the driver tables.
+
+        With ``stage_dir``, the reference tables (register, calendar,
+        terminology, organisation successions and hierarchies) are written
+        there once and read back, as they exist in production: small files
+        whose real size Spark's broadcast check sees.  As views they would
+        carry the planner's product-of-inputs size estimate of the joins
+        that derive them, and never be broadcast.
+        """
         frames: dict[str, DataFrame] = {
             t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in fixtures.DRIVER_TABLES}
         for name, text in fixtures.VIEWS.items():
             deps = fixtures.dependencies(name)
             frames[name] = spark.sql(text, **{d: frames[d] for d in deps})
+            if stage_dir and name in REFERENCE_TABLES:
+                path = f"{stage_dir}/{name}"
+                frames[name].write.mode("overwrite").parquet(path)
+                frames[name] = spark.read.parquet(path)
         return cls(**{f.name: frames[f.name] for f in fields(cls)})
 
 
+REFERENCE_TABLES = ["submission_register", "calendar", "terminology", "commissioner_succession",
+                    "commissioner_hierarchy", "provider_succession", "provider_hierarchy"]
+
 _CACHE: dict[tuple[int, str], Sources] = {}
 
 
 def driver_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    """Fixture sources for ``sf_dir``, built once per session (plans only, no data)."""
+    """Fixture sources for ``sf_dir``, built once per session; reference
+    tables staged under the session's shared checkpoint folder."""
+    from pathwise.sources.publish import new_run_dir
+
     key = (id(spark), sf_dir)
     if key not in _CACHE:
-        _CACHE[key] = Sources.from_driver_tables(spark, sf_dir)
+        _CACHE[key] = Sources.from_driver_tables(spark, sf_dir, new_run_dir(spark, "fixtures"))
     return _CACHE[key]
