@@ -27,6 +27,7 @@ from pathwise.plans import outcomes as O  # noqa: E402
 from pathwise.plans.catalog import QUERIES, refresh  # noqa: E402
 from pathwise.session import local_session  # noqa: E402
 from pathwise.sources import publish as P  # noqa: E402
+from pathwise.sources.tables import driver_sources  # noqa: E402
 
 JOBS = [
     "digital_summary", "contact_minutes", "pathway_base", "outcome_dashboard", "latest_answers",
@@ -56,10 +57,13 @@ def main() -> None:
     if not spark.conf.get("spark.checkpoint.dir", None):
         spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pathwise-bench-"))
 
+    times: dict[str, float] = {}
+    # source staging: derive the twelve source tables from the driver tables
+    # and write them once (production reads them as files); timed apart
+    times["stage_sources"] = timed(lambda: driver_sources(spark, sf_dir))
     # warm-up (JVM, codegen caches); not timed
     run(QUERIES["latest_only"](spark, sf_dir))
 
-    times: dict[str, float] = {}
     for name in JOBS:
         times[name] = timed(lambda: run(QUERIES[name](spark, sf_dir)))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pathwise.functions import labels as L
 from pathwise.functions import rules as R
-from pathwise.operators.ranking import rank_newest
+from pathwise.operators.ranking import flag_newest, rank_newest
 from pathwise.operators.rollup import Count, level_bucket_rollup
 from pathwise.operators.versions import ReportingWindow, latest_only
 from pathwise.plans.outcomes import flag, latest_referrals, with_orgs
@@ -23,16 +23,24 @@ def digital_contact_rows(src: Sources) -> DataFrame:
                       L.canonical_product("product").alias("product")).distinct()
 
 
-def digital_contacts(src: Sources) -> DataFrame:
-    """Distinct digital contacts ranked newest first per pathway.
+def digital_order() -> list:
+    """Newest first by start date; the reference stops there, so ties are
+    broken by end date, minutes (both newest / largest first), product and
+    month id (K4)."""
+    return [F.col("start_date").desc_nulls_last(), F.col("end_date").desc_nulls_last(),
+            F.col("minutes").desc_nulls_last(), F.col("product").asc_nulls_last(),
+            F.col("unique_month_id").asc_nulls_last()]
 
-    The reference orders by start date only; ties are broken by end date,
-    minutes (both newest / largest first), product and month id (K4).
-    """
-    return rank_newest(digital_contact_rows(src), ["pathway_id"], [
-        F.col("start_date").desc_nulls_last(), F.col("end_date").desc_nulls_last(),
-        F.col("minutes").desc_nulls_last(), F.col("product").asc_nulls_last(),
-        F.col("unique_month_id").asc_nulls_last()])
+
+def digital_contacts(src: Sources, rows: DataFrame | None = None) -> DataFrame:
+    """Distinct digital contacts ranked newest first per pathway."""
+    rows = digital_contact_rows(src) if rows is None else rows
+    return rank_newest(rows, ["pathway_id"], digital_order())
+
+
+def digital_contacts_flagged(rows: DataFrame) -> DataFrame:
+    """J09 rows with ``_newest`` (= rank 1) instead of the full rank (skew-safe)."""
+    return flag_newest(rows, ["pathway_id"], digital_order())
 
 
 APPOINTMENT_COLUMNS = ["month", "pathway_id", "unique_month_id", "product", "minutes",

@@ -15,9 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathwise.functions import labels as L
 from pathwise.functions import rules as R
-from pathwise.operators.ranking import rank_newest
+from pathwise.operators.ranking import flag_newest, rank_newest
 from pathwise.operators.rollup import AVG_TYPE, AvgOfParts, Sum, level_bucket_rollup
 from pathwise.operators.versions import latest_only
 from pathwise.sources.tables import Sources
@@ -31,9 +30,13 @@ def _base_projection(base: DataFrame) -> DataFrame:
 
 
 def _contact_keys(contacts: DataFrame, date_col: str) -> DataFrame:
-    """Distinct (pathway, date, minutes, newest?) -- what survives the DISTINCT."""
-    return (contacts.select("pathway_id", date_col, "minutes",
-                            (F.col("latest_rank") == 1).alias("_newest"))
+    """Distinct (pathway, date, minutes, newest?) -- what survives the DISTINCT.
+
+    ``contacts`` carries either the full rank (``latest_rank``) or the
+    skew-safe ``_newest`` flag (``flag_newest``)."""
+    newest = (F.col("_newest") if "_newest" in contacts.columns
+              else (F.col("latest_rank") == 1))
+    return (contacts.select("pathway_id", date_col, "minutes", newest.alias("_newest"))
             .distinct())
 
 
@@ -110,9 +113,18 @@ def contact_activity_pairs(src: Sources) -> DataFrame:
             .distinct())
 
 
-def all_contacts(src: Sources) -> DataFrame:
-    """All contacts with activity minutes, ranked newest first per pathway
-    (ties: minutes largest first, then month id)."""
-    return rank_newest(contact_activity_pairs(src), ["pathway_id"], [
-        F.col("contact_date").desc_nulls_last(), F.col("minutes").desc_nulls_last(),
-        F.col("unique_month_id").asc_nulls_last()])
+def any_order() -> list:
+    """Newest first by contact date; ties: minutes largest first, then month id (K4)."""
+    return [F.col("contact_date").desc_nulls_last(), F.col("minutes").desc_nulls_last(),
+            F.col("unique_month_id").asc_nulls_last()]
+
+
+def all_contacts(src: Sources, rows: DataFrame | None = None) -> DataFrame:
+    """All contacts with activity minutes, ranked newest first per pathway."""
+    rows = contact_activity_pairs(src) if rows is None else rows
+    return rank_newest(rows, ["pathway_id"], any_order())
+
+
+def all_contacts_flagged(rows: DataFrame) -> DataFrame:
+    """J16 rows with ``_newest`` (= rank 1) instead of the full rank (skew-safe)."""
+    return flag_newest(rows, ["pathway_id"], any_order())

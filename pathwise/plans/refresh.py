@@ -3,12 +3,13 @@
 ``MonthlyRefresh`` exposes each job as a lazily-built DataFrame.  Nothing
 runs until an action; ``publish`` writes the seven dashboards, first
 materialising the working tables that several jobs read (the pathway base,
-the two ranked contact tables and the digital summary) so each is computed
+the two newest-flagged contact tables and the digital summary) so each is computed
 once and lineage is cut at shared storage.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -77,13 +78,21 @@ class MonthlyRefresh:
     def questionnaire_dashboard(self) -> DataFrame:
         return Q.questionnaire_dashboard(self.questionnaire_base, fold=self.fold)
 
+    @cached_property
+    def digital_contact_rows(self) -> DataFrame:
+        return A.digital_contact_rows(self.src)
+
     @cached_property
     def digital_contacts(self) -> DataFrame:
-        return A.digital_contacts(self.src)
+        return A.digital_contacts(self.src, self.digital_contact_rows)
+
+    @cached_property
+    def digital_contacts_flagged(self) -> DataFrame:
+        return A.digital_contacts_flagged(self.digital_contact_rows)
 
     @cached_property
     def appointment_base(self) -> DataFrame:
-        return A.appointment_base(self.src, self.window, self.digital_contacts)
+        return A.appointment_base(self.src, self.window, self.digital_contacts_flagged)
 
     @cached_property
     def time_recorded_dashboard(self) -> DataFrame:
@@ -100,47 +109,81 @@ class MonthlyRefresh:
 
     @cached_property
     def digital_contact_base(self) -> DataFrame:
-        return V.digital_contact_base(self.pathway_base, self.digital_contacts)
+        return V.digital_contact_base(self.pathway_base, self.digital_contacts_flagged)
 
     @cached_property
     def digital_time_dashboard(self) -> DataFrame:
-        return V.digital_time_dashboard(self.pathway_base, self.digital_contacts, fold=self.fold)
+        return V.digital_time_dashboard(self.pathway_base, self.digital_contacts_flagged,
+                                        fold=self.fold)
+
+    @cached_property
+    def all_contact_rows(self) -> DataFrame:
+        return V.contact_activity_pairs(self.src)
 
     @cached_property
     def all_contacts(self) -> DataFrame:
-        return V.all_contacts(self.src)
+        return V.all_contacts(self.src, self.all_contact_rows)
+
+    @cached_property
+    def all_contacts_flagged(self) -> DataFrame:
+        return V.all_contacts_flagged(self.all_contact_rows)
 
     @cached_property
     def any_contact_base(self) -> DataFrame:
-        return V.any_contact_base(self.pathway_base, self.all_contacts)
+        return V.any_contact_base(self.pathway_base, self.all_contacts_flagged)
 
     @cached_property
     def any_time_dashboard(self) -> DataFrame:
-        return V.any_time_dashboard(self.pathway_base, self.all_contacts, fold=self.fold)
+        return V.any_time_dashboard(self.pathway_base, self.all_contacts_flagged, fold=self.fold)
 
     # running -------------------------------------------------------------
-    def materialized(self, run_dir: str) -> "MonthlyRefresh":
-        """A refresh whose shared working tables are written once under ``run_dir``."""
-        seeds = {name: P.materialize(getattr(self, name), f"{run_dir}/{name}")
-                 for name in ("digital_summary", "digital_contacts", "all_contacts")}
-        first = MonthlyRefresh(self.src, first=self.first, lag=self.lag,
-                               questionnaire_offset=self.questionnaire_offset, fold=self.fold,
-                               overrides=seeds)
-        seeds["pathway_base"] = P.materialize(first.pathway_base, f"{run_dir}/pathway_base")
+    def _with(self, seeds: dict[str, DataFrame]) -> "MonthlyRefresh":
         return MonthlyRefresh(self.src, first=self.first, lag=self.lag,
                               questionnaire_offset=self.questionnaire_offset, fold=self.fold,
                               overrides=seeds)
 
-    def publish(self, out_dir: str, run_dir: str, *, month_append: bool = False) -> dict[str, str]:
-        """Write all seven dashboards; the questionnaire one by month partition."""
-        ready = self.materialized(run_dir)
-        paths = {}
-        for name in DASHBOARDS:
-            path = f"{out_dir}/{name}"
-            df = getattr(ready, name)
+    def materialized(self, run_dir: str, *, parallel: bool = True) -> "MonthlyRefresh":
+        """A refresh whose shared working tables are written once under ``run_dir``.
+
+        The three per-source tables are independent jobs (run side by side);
+        the pathway base reads the digital summary, so it follows.
+        """
+        names = ("digital_summary", "digital_contacts_flagged", "all_contacts_flagged")
+        seeds = run_jobs({n: (lambda n=n: P.materialize(getattr(self, n), f"{run_dir}/{n}"))
+                          for n in names}, parallel)
+        first = self._with(seeds)
+        seeds["pathway_base"] = P.materialize(first.pathway_base, f"{run_dir}/pathway_base")
+        return self._with(seeds)
+
+    def publish(self, out_dir: str, run_dir: str, *, month_append: bool = False,
+                parallel: bool = True) -> dict[str, str]:
+        """Write all seven dashboards; the questionnaire one by month partition.
+
+        The dashboards only read the materialised working tables, so they are
+        submitted as concurrent Spark jobs: on a large cluster one small
+        dashboard stage cannot fill the slots, seven side by side can.
+        """
+        ready = self.materialized(run_dir, parallel=parallel)
+
+        def write(name: str) -> str:
+            path, df = f"{out_dir}/{name}", getattr(ready, name)
             if name == "questionnaire_dashboard":
                 (P.append_month if month_append else P.publish_month)(df, path)
             else:
                 P.publish_full(df, path)
-            paths[name] = path
-        return paths
+            return path
+
+        return run_jobs({n: (lambda n=n: write(n)) for n in DASHBOARDS}, parallel)
+
+
+def run_jobs(jobs: dict, parallel: bool = True) -> dict:
+    """Run independent Spark actions, concurrently from driver threads if asked.
+
+    Each action is its own Spark job; the scheduler interleaves their tasks.
+    A failure in any job is raised here after all have finished.
+    """
+    if not parallel:
+        return {name: fn() for name, fn in jobs.items()}
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}

@@ -42,39 +42,48 @@ class Sources:
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str,
                            stage_dir: str | None = None) -> "Sources":
-        """Fixture sources.  Facts stay lazy views over the driver tables.
-
-        With ``stage_dir``, the reference tables (register, calendar,
-        terminology, organisation successions and hierarchies) are written
-        there once and read back, as they exist in production: small files
-        whose real size Spark's broadcast check sees.  As views they would
-        carry the planner's product-of-inputs size estimate of the joins
-        that derive them, and never be broadcast.
+        """Fixture sources, derived by the fixture views.
+
+        Without ``stage_dir`` every source is a lazy view over the driver
+        tables.  With it, each source is written there once and read back,
+        in the layout production tables have:
+
+        * reference tables (register, calendar, terminology, organisation
+          successions and hierarchies) as small files, whose real size
+          Spark's broadcast check sees -- as views they carry the planner's
+          product-of-inputs estimate of the joins deriving them and are
+          never broadcast;
+        * fact tables spread evenly over several files -- each driver table
+          is one parquet row group, which Spark can only read with one task,
+          so a view over it runs every downstream join in a single task.
         """
         frames: dict[str, DataFrame] = {
             t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in fixtures.DRIVER_TABLES}
+        n_files = max(spark.sparkContext.defaultParallelism, 1)
         for name, text in fixtures.VIEWS.items():
             deps = fixtures.dependencies(name)
             frames[name] = spark.sql(text, **{d: frames[d] for d in deps})
-            if stage_dir and name in REFERENCE_TABLES:
+            if stage_dir and name in REFERENCE_TABLES + FACT_TABLES:
                 path = f"{stage_dir}/{name}"
-                frames[name].write.mode("overwrite").parquet(path)
+                df = frames[name].repartition(n_files) if name in FACT_TABLES else frames[name]
+                df.write.mode("overwrite").parquet(path)
                 frames[name] = spark.read.parquet(path)
         return cls(**{f.name: frames[f.name] for f in fields(cls)})
 
 
 REFERENCE_TABLES = ["submission_register", "calendar", "terminology", "commissioner_succession",
                     "commissioner_hierarchy", "provider_succession", "provider_hierarchy"]
+FACT_TABLES = ["referral", "digital_log", "care_contact", "care_activity", "assessment"]
 
-_CACHE: dict[tuple[int, str], Sources] = {}
+_CACHE: dict[tuple[str, str], Sources] = {}
 
 
 def driver_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    """Fixture sources for ``sf_dir``, built once per session; reference
-    tables staged under the session's shared checkpoint folder."""
+    """Fixture sources for ``sf_dir``, staged once per Spark application under
+    the session's shared checkpoint folder."""
     from pathwise.sources.publish import new_run_dir
 
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
         _CACHE[key] = Sources.from_driver_tables(spark, sf_dir, new_run_dir(spark, "fixtures"))
     return _CACHE[key]
