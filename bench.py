@@ -17,7 +17,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -54,8 +53,7 @@ def main() -> None:
     sf = float(m.group(1)) if m else None
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="pathwise-bench",
                           extra={"spark.driver.memory": "8g"})
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pathwise-bench-"))
+    P.shared_dir(spark)   # the session's checkpoint folder; a local one only if unset
 
     times: dict[str, float] = {}
     # source staging: derive the twelve source tables from the driver tables

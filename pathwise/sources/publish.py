@@ -14,14 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (set one only if unset)."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared checkpoint folder.
+
+    Read from the session (``spark.checkpoint.dir``, or a folder set by
+    ``setCheckpointDir``); only when neither exists -- a local session, as in
+    tests -- is a folder of our own set, through ``setCheckpointDir``
+    (``spark.checkpoint.dir`` cannot be changed on a running session).
+    """
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pathwise-checkpoints-"))
         d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="pathwise-checkpoints-")
-        spark.sparkContext.setCheckpointDir(d)
-        spark.conf.set("spark.checkpoint.dir", d)
     return d.rstrip("/")
 
 
