@@ -4,10 +4,11 @@ The reference joins every base row to every contact of its pathway, takes
 DISTINCT, and averages over that fan-out.  The contact bases (J14, J17) are
 built that way, with both sides de-duplicated *before* the join so the join
 output is already distinct.  The dashboards (J15, J18) never materialise the
-fan-out: a base row contributes (sum of minutes, count of minutes) over the
-distinct (date, minutes, newest?) contacts of its pathway, so contacts are
-pre-aggregated per pathway (partial aggregation, skew-safe) and joined 1:1
-to the base.  Sums and counts add exactly, so the averages are unchanged.
+fan-out, rank or join contacts: a base row contributes (sum of minutes,
+count of minutes) over the distinct (date, minutes, newest?) contacts of its
+pathway, so contacts are aggregated per pathway (partial aggregation,
+skew-safe) and joined 1:1 to the base.  Sums and counts add exactly, so the
+averages are unchanged.
 """
 
 from __future__ import annotations
@@ -63,36 +64,67 @@ def any_contact_base(base: DataFrame, contacts: DataFrame) -> DataFrame:
     return contact_base(base, contacts, "contact_date")
 
 
-def contact_minutes_per_pathway(contacts: DataFrame, date_col: str) -> DataFrame:
-    """Per pathway: exact decimal sum and non-null count of minutes over its
-    distinct (date, minutes, newest?) contacts."""
-    return (_contact_keys(contacts, date_col)
-            .groupBy("pathway_id")
-            .agg(F.sum(F.col("minutes").cast(AVG_TYPE)).alias("_minutes_sum"),
-                 F.count("minutes").alias("_minutes_n")))
-
-
-def contact_time_dashboard(base: DataFrame, contacts: DataFrame, date_col: str, name: str,
+def contact_minutes_per_pathway(rows: DataFrame, date_col: str,
+                                between: tuple[str, ...] = ()) -> DataFrame:
+    """Per pathway: exact decimal sum and non-null count of minutes over the
+    distinct (date, minutes, newest?) contacts of ``rows`` -- what a base row
+    contributes to the contact dashboards -- without ranking or joining.
+
+    ``rows`` are distinct contact rows ranked newest-first by ``date_col``,
+    then ``between`` (descending), then ``minutes`` (descending), NULLs last,
+    then further tie-breakers.  Each (date, minutes) pair counts once, except
+    that the newest row's pair counts twice when another row shares it (the
+    two differ in the newest flag).  The newest pair is the ``max_by`` of
+    (date, max of ``between``, minutes): struct ordering puts NULL lowest,
+    which is the order's NULLS LAST.  Two aggregations, both partial before
+    their shuffle, so no task sees a whole pathway.
+    """
+    pairs = (rows.groupBy("pathway_id", date_col, "minutes")
+             .agg(F.count(F.lit(1)).alias("_rows"), *[F.max(c).alias(c) for c in between]))
+    newest = F.struct(F.col(date_col), *[F.col(c) for c in between], F.col("minutes"))
+    per = pairs.groupBy("pathway_id").agg(
+        F.sum(F.col("minutes").cast(AVG_TYPE)).alias("_minutes_sum"),
+        F.count("minutes").alias("_minutes_n"),
+        F.max_by(F.struct(F.col("_rows").alias("rows"), F.col("minutes").alias("minutes")),
+                 newest).alias("_top"))
+    twice = (F.col("_top.rows") >= 2) & F.col("_top.minutes").isNotNull()
+    return per.select(
+        "pathway_id",
+        F.when(twice, F.col("_minutes_sum") + F.col("_top.minutes").cast(AVG_TYPE))
+        .otherwise(F.col("_minutes_sum")).alias("_minutes_sum"),
+        (F.col("_minutes_n") + F.when(twice, 1).otherwise(0)).alias("_minutes_n"))
+
+
+def contact_time_dashboard(base: DataFrame, per_pathway: DataFrame, name: str,
                            *, fold: bool = False) -> DataFrame:
-    """Average minutes per contact by quarter x product x level x bucket."""
-    per_pathway = contact_minutes_per_pathway(contacts, date_col)
+    """Average minutes per contact by quarter x product x level x bucket.
+
+    A base row with no contact contributes no minutes (count 0) and its
+    flag; every base row carries exactly one flagged row (its newest
+    contact, or its only row), so the flag sum is the base's sum.
+    """
     rows = (_base_projection(base).join(per_pathway, "pathway_id", "left")
             .withColumn("_minutes_n", F.coalesce(F.col("_minutes_n"), F.lit(0))))
-    # every base row carries exactly one flagged row (its newest contact, or
-    # its only row when it has none), so the flag sum is the base's sum.
     return level_bucket_rollup(rows, "quarter", ["product"],
                                [AvgOfParts(name, "_minutes_sum", "_minutes_n"), Sum("comp_flag")],
                                fold=fold)
 
 
-def digital_time_dashboard(base: DataFrame, contacts: DataFrame, *, fold: bool = False) -> DataFrame:
-    """Average digital therapist minutes per contact."""
-    return contact_time_dashboard(base, contacts, "start_date", "avg_iet_minutes", fold=fold)
+DIGITAL_BETWEEN = ("end_date",)   # J09 orders by start, end, minutes, ...
+
+
+def digital_time_dashboard(base: DataFrame, contact_rows: DataFrame, *,
+                           fold: bool = False) -> DataFrame:
+    """Average digital therapist minutes per contact (``contact_rows``: J09 rows)."""
+    per = contact_minutes_per_pathway(contact_rows, "start_date", DIGITAL_BETWEEN)
+    return contact_time_dashboard(base, per, "avg_iet_minutes", fold=fold)
 
 
-def any_time_dashboard(base: DataFrame, contacts: DataFrame, *, fold: bool = False) -> DataFrame:
-    """Average therapist minutes per contact, any contact type."""
-    return contact_time_dashboard(base, contacts, "contact_date", "avg_any_minutes", fold=fold)
+def any_time_dashboard(base: DataFrame, contact_rows: DataFrame, *,
+                       fold: bool = False) -> DataFrame:
+    """Average therapist minutes per contact, any contact type (J16 rows)."""
+    per = contact_minutes_per_pathway(contact_rows, "contact_date")
+    return contact_time_dashboard(base, per, "avg_any_minutes", fold=fold)
 
 
 def contact_activity_pairs(src: Sources) -> DataFrame:

@@ -1,10 +1,10 @@
 """The monthly refresh: every job of both reference scripts, wired together.
 
 ``MonthlyRefresh`` exposes each job as a lazily-built DataFrame.  Nothing
-runs until an action; ``publish`` writes the seven dashboards, first
+runs until an action; ``publish`` writes the seven dashboards, after
 materialising the working tables that several jobs read (the pathway base,
-the two newest-flagged contact tables and the digital summary) so each is computed
-once and lineage is cut at shared storage.
+the digital contact rows and the digital summary) so each is computed once
+and lineage is cut at shared storage.
 """
 
 from __future__ import annotations
@@ -92,7 +92,7 @@ class MonthlyRefresh:
 
     @cached_property
     def appointment_base(self) -> DataFrame:
-        return A.appointment_base(self.src, self.window, self.digital_contacts_flagged)
+        return A.appointment_base(self.src, self.window, self.digital_contact_rows)
 
     @cached_property
     def time_recorded_dashboard(self) -> DataFrame:
@@ -113,7 +113,7 @@ class MonthlyRefresh:
 
     @cached_property
     def digital_time_dashboard(self) -> DataFrame:
-        return V.digital_time_dashboard(self.pathway_base, self.digital_contacts_flagged,
+        return V.digital_time_dashboard(self.pathway_base, self.digital_contact_rows,
                                         fold=self.fold)
 
     @cached_property
@@ -134,7 +134,7 @@ class MonthlyRefresh:
 
     @cached_property
     def any_time_dashboard(self) -> DataFrame:
-        return V.any_time_dashboard(self.pathway_base, self.all_contacts_flagged, fold=self.fold)
+        return V.any_time_dashboard(self.pathway_base, self.all_contact_rows, fold=self.fold)
 
     # running -------------------------------------------------------------
     def _with(self, seeds: dict[str, DataFrame]) -> "MonthlyRefresh":
@@ -142,48 +142,72 @@ class MonthlyRefresh:
                               questionnaire_offset=self.questionnaire_offset, fold=self.fold,
                               overrides=seeds)
 
-    def materialized(self, run_dir: str, *, parallel: bool = True) -> "MonthlyRefresh":
-        """A refresh whose shared working tables are written once under ``run_dir``.
-
-        The three per-source tables are independent jobs (run side by side);
-        the pathway base reads the digital summary, so it follows.
-        """
-        names = ("digital_summary", "digital_contacts_flagged", "all_contacts_flagged")
-        seeds = run_jobs({n: (lambda n=n: P.materialize(getattr(self, n), f"{run_dir}/{n}"))
-                          for n in names}, parallel)
-        first = self._with(seeds)
-        seeds["pathway_base"] = P.materialize(first.pathway_base, f"{run_dir}/pathway_base")
-        return self._with(seeds)
-
     def publish(self, out_dir: str, run_dir: str, *, month_append: bool = False,
                 parallel: bool = True) -> dict[str, str]:
         """Write all seven dashboards; the questionnaire one by month partition.
 
-        The dashboards only read the materialised working tables, so they are
-        submitted as concurrent Spark jobs: on a large cluster one small
-        dashboard stage cannot fill the slots, seven side by side can.
+        Working tables read by several jobs are written once under
+        ``run_dir`` and read back (lineage cut at shared storage).  Each job
+        starts as soon as the tables it reads exist, so independent jobs run
+        side by side: on a large cluster one small dashboard stage cannot
+        fill the slots, several concurrent ones can.
         """
-        ready = self.materialized(run_dir, parallel=parallel)
-
-        def write(name: str) -> str:
-            path, df = f"{out_dir}/{name}", getattr(ready, name)
-            if name == "questionnaire_dashboard":
-                (P.append_month if month_append else P.publish_month)(df, path)
-            else:
-                P.publish_full(df, path)
-            return path
-
-        return run_jobs({n: (lambda n=n: write(n)) for n in DASHBOARDS}, parallel)
+        def work(name: str, *needs: str):
+            def run(done: dict[str, DataFrame]) -> DataFrame:
+                return P.materialize(getattr(self._with({n: done[n] for n in needs}), name),
+                                     f"{run_dir}/{name}")
+            return needs, run
+
+        def dashboard(name: str, *needs: str):
+            def run(done: dict[str, DataFrame]) -> str:
+                path, df = f"{out_dir}/{name}", getattr(self._with({n: done[n] for n in needs}), name)
+                if name == "questionnaire_dashboard":
+                    (P.append_month if month_append else P.publish_month)(df, path)
+                else:
+                    P.publish_full(df, path)
+                return path
+            return needs, run
+
+        base = ("pathway_base",)
+        done = run_jobs({
+            "digital_summary": work("digital_summary"),
+            "digital_contact_rows": work("digital_contact_rows"),
+            "pathway_base": work("pathway_base", "digital_summary"),
+            "outcome_dashboard": dashboard("outcome_dashboard", *base),
+            "wait_dashboard": dashboard("wait_dashboard", *base),
+            "treatment_dashboard": dashboard("treatment_dashboard", *base),
+            "questionnaire_dashboard": dashboard("questionnaire_dashboard", "digital_summary"),
+            "time_recorded_dashboard": dashboard("time_recorded_dashboard", "digital_contact_rows"),
+            "digital_time_dashboard": dashboard("digital_time_dashboard", *base,
+                                                "digital_contact_rows"),
+            "any_time_dashboard": dashboard("any_time_dashboard", *base),
+        }, parallel)
+        return {name: done[name] for name in DASHBOARDS}
 
 
 def run_jobs(jobs: dict, parallel: bool = True) -> dict:
-    """Run independent Spark actions, concurrently from driver threads if asked.
+    """Run Spark actions in dependency order: ``jobs`` maps a name to
+    ``(needs, fn)``, and ``fn`` gets the results of ``needs``.
 
-    Each action is its own Spark job; the scheduler interleaves their tasks.
-    A failure in any job is raised here after all have finished.
+    With ``parallel`` each action is submitted from its own driver thread
+    once its inputs exist, and the Spark scheduler interleaves the tasks of
+    concurrent jobs.  An error in any job is raised here.
     """
     if not parallel:
-        return {name: fn() for name, fn in jobs.items()}
+        done: dict = {}
+        pending = dict(jobs)
+        while pending:
+            name = next(n for n, (needs, _) in pending.items() if all(d in done for d in needs))
+            needs, fn = pending.pop(name)
+            done[name] = fn(done)
+        return done
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        futures: dict = {}
+
+        def call(name):
+            needs, fn = jobs[name]
+            return fn({d: futures[d].result() for d in needs})
+
+        for name in jobs:          # a job only waits on jobs listed before it
+            futures[name] = pool.submit(call, name)
         return {name: f.result() for name, f in futures.items()}

@@ -37,9 +37,12 @@ def test_no_pair_products_anywhere(refresh):
 
 
 def test_contact_dashboards_do_not_build_the_fanout(base, refresh):
-    # the per-pathway aggregate joins the base 1:1; no join of base rows to contact rows
-    p = plan(V.digital_time_dashboard(base, refresh.digital_contacts))
-    assert "partial_sum" in p and "partial_count" in p
+    # contacts are aggregated per pathway (partial aggregates) and joined 1:1 to
+    # the base: no window over a pathway, no join of contact rows
+    p = plan(V.digital_time_dashboard(base, refresh.digital_contact_rows))
+    assert "partial_sum" in p and "partial_count" in p and "partial_max_by" in p
+    assert "Window" not in p
+    assert p.count("Join [pathway_id") == 1     # base x per-pathway minutes, 1:1
 
 
 def test_scan_prunes_columns(base):
