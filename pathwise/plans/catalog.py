@@ -33,9 +33,20 @@ FIXTURE_QUESTIONNAIRE_OFFSET = -24
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_REFRESHES: dict[tuple[str, str, bool], MonthlyRefresh] = {}
+
+
 def refresh(spark: SparkSession, sf_dir: str, fold: bool = False) -> MonthlyRefresh:
-    return MonthlyRefresh(driver_sources(spark, sf_dir), first=FIXTURE_FIRST,
-                          questionnaire_offset=FIXTURE_QUESTIONNAIRE_OFFSET, fold=fold)
+    """The fixture refresh for ``sf_dir``.  One per Spark application: its
+    DataFrames are immutable, lazy plans, so queries sharing a job (the
+    pathway base, say) share the built plan instead of rebuilding it through
+    thousands of driver-to-JVM calls.  No data is cached."""
+    key = (spark.sparkContext.applicationId, sf_dir, fold)
+    if key not in _REFRESHES:
+        _REFRESHES[key] = MonthlyRefresh(driver_sources(spark, sf_dir), first=FIXTURE_FIRST,
+                                         questionnaire_offset=FIXTURE_QUESTIONNAIRE_OFFSET,
+                                         fold=fold)
+    return _REFRESHES[key]
 
 
 def _job(name: str) -> Query:
