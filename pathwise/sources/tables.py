@@ -53,9 +53,13 @@ class Sources:
           Spark's broadcast check sees -- as views they carry the planner's
           product-of-inputs estimate of the joins deriving them and are
           never broadcast;
-        * fact tables spread evenly over several files -- each driver table
-          is one parquet row group, which Spark can only read with one task,
-          so a view over it runs every downstream join in a single task.
+        * fact tables in several files -- each driver table is one parquet
+          row group, which Spark can only read with one task, so a view over
+          it runs every downstream join in a single task.  Facts that carry a
+          submission id are partitioned by it, as monthly submissions land:
+          a job that needs some months (the questionnaire month, the latest
+          versions) then reads only their folders, through dynamic
+          partition pruning from the filtered register it joins.
         """
         frames: dict[str, DataFrame] = {
             t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in fixtures.DRIVER_TABLES}
@@ -63,11 +67,19 @@ class Sources:
         for name, text in fixtures.VIEWS.items():
             deps = fixtures.dependencies(name)
             frames[name] = spark.sql(text, **{d: frames[d] for d in deps})
-            if stage_dir and name in REFERENCE_TABLES + FACT_TABLES:
+            if stage_dir and name in REFERENCE_TABLES:
                 path = f"{stage_dir}/{name}"
-                df = frames[name].repartition(n_files) if name in FACT_TABLES else frames[name]
-                df.write.mode("overwrite").parquet(path)
+                frames[name].write.mode("overwrite").parquet(path)
                 frames[name] = spark.read.parquet(path)
+            elif stage_dir and name in FACT_TABLES:
+                path, df = f"{stage_dir}/{name}", frames[name]
+                if "submission_id" in df.columns:
+                    # one folder per submission, as monthly submissions land
+                    (df.repartition("submission_id").write.mode("overwrite")
+                     .partitionBy("submission_id").parquet(path))
+                else:
+                    df.repartition(n_files).write.mode("overwrite").parquet(path)
+                frames[name] = spark.read.schema(df.schema).parquet(path).select(*df.columns)
         return cls(**{f.name: frames[f.name] for f in fields(cls)})
 
 
