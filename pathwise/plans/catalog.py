@@ -94,8 +94,7 @@ def _calendar_quarter(s: Sources) -> DataFrame:
 
 
 def _latest_answer_join(r: MonthlyRefresh) -> DataFrame:
-    newest = (r.latest_answers.filter(F.col("latest_rank") == 1)
-              .select("pathway_id", "code", "score", "term"))
+    newest = r.newest_answers.select("pathway_id", "code", "score", "term")
     return (r.src.referral.select("pathway_id", "unique_month_id")
             .join(newest, "pathway_id", "left")
             .select("pathway_id", "unique_month_id", "code", "score", "term"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pathwise.functions import labels as L
 from pathwise.functions import rules as R
-from pathwise.operators.ranking import rank_newest
+from pathwise.operators.ranking import newest_only, rank_newest
 from pathwise.operators.rollup import Sum, level_bucket_rollup
 from pathwise.operators.versions import ReportingWindow
 from pathwise.plans.outcomes import (
@@ -38,16 +38,24 @@ def answers_with_terms(src: Sources) -> DataFrame:
             .select("pathway_id", "code", "term", "score", "effective_from"))
 
 
+def answer_order() -> list:
+    """Newest first; ties on the date broken by score, then term (K4)."""
+    return [F.col("effective_from").desc_nulls_last(), F.col("score").asc_nulls_last(),
+            F.col("term").asc_nulls_last()]
+
+
 def latest_answers(src: Sources) -> DataFrame:
     """Distinct answers ranked newest first per pathway x question code.
 
-    Answers are not limited to latest submission versions (K5).  Ties on the
-    date are broken by score, then term (K4).
+    Answers are not limited to latest submission versions (K5).
     """
-    distinct = answers_with_terms(src).distinct()
-    return rank_newest(distinct, ["pathway_id", "code"],
-                       [F.col("effective_from").desc_nulls_last(),
-                        F.col("score").asc_nulls_last(), F.col("term").asc_nulls_last()])
+    return rank_newest(answers_with_terms(src).distinct(), ["pathway_id", "code"], answer_order())
+
+
+def newest_answers(src: Sources) -> DataFrame:
+    """J06 restricted to rank 1 (what J07 reads), via a per-group limit that
+    Spark applies partially before the shuffle."""
+    return newest_only(answers_with_terms(src).distinct(), ["pathway_id", "code"], answer_order())
 
 
 QUESTIONNAIRE_BASE_COLUMNS = ["month", "pathway_id", "product", "iet_count", "question", "answer",
@@ -68,7 +76,7 @@ def questionnaire_base(src: Sources, window: ReportingWindow, summary: DataFrame
     ref = with_orgs(ref, src)
     j01 = summary.select("pathway_id", "product", F.col("n_contacts").alias("iet_count"))
     newest = (answers.filter(F.col("latest_rank") == 1)
-              .select("pathway_id", "code", "score", "term"))
+              .select("pathway_id", "code", "score", "term"))   # ranks 1 of J06
     joined = ref.join(j01, "pathway_id", "left").join(newest, "pathway_id", "left")
     return joined.select(
         L.month_key("period_start").alias("month"), "pathway_id",

@@ -69,10 +69,14 @@ class MonthlyRefresh:
     def latest_answers(self) -> DataFrame:
         return Q.latest_answers(self.src)
 
+    @cached_property
+    def newest_answers(self) -> DataFrame:
+        return Q.newest_answers(self.src)
+
     @cached_property
     def questionnaire_base(self) -> DataFrame:
         return Q.questionnaire_base(self.src, self.questionnaire_window, self.digital_summary,
-                                    self.latest_answers)
+                                    self.newest_answers)
 
     @cached_property
     def questionnaire_dashboard(self) -> DataFrame:
