@@ -2,6 +2,7 @@
 
     python -m pathwise --sources <dir> --out <dir> [--work <dir>]
                        [--first 2020-09-01] [--lag 1] [--questionnaire-offset 0] [--append]
+                       [--collation UTF8_LCASE_RTRIM]
 
 ``--sources`` holds the twelve source tables as parquet folders named as in
 ``pathwise.sources.Sources``; ``--driver-tables <sf dir>`` derives them from
@@ -34,6 +35,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     ap.add_argument("--first", default=R.FIRST_REPORTING_DATE)
     ap.add_argument("--lag", type=int, default=R.REFRESH_LAG_MONTHS)
     ap.add_argument("--questionnaire-offset", type=int, default=0)
+    ap.add_argument("--collation", help="compare text under this collation, e.g. "
+                    "UTF8_LCASE_RTRIM for case-blind, trailing-blank-blind matching")
     ap.add_argument("--append", action="store_true",
                     help="append the questionnaire month instead of replacing it")
     args = ap.parse_args(argv)
@@ -44,6 +47,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     spark = builder.getOrCreate()
     sources = (Sources.from_tables(spark, args.sources) if args.sources
                else driver_sources(spark, args.driver_tables))
+    if args.collation:
+        sources = sources.with_collation(args.collation)
     refresh = MonthlyRefresh(sources, first=args.first, lag=args.lag,
                              questionnaire_offset=args.questionnaire_offset)
     work = args.work or P.new_run_dir(spark, "monthly-refresh")

@@ -82,11 +82,19 @@ def _level_value(v) -> Column:
     return F.col(v[1]) if isinstance(v, tuple) else F.lit(v)
 
 
-def levels_column(levels=R.ORG_LEVELS) -> Column:
-    """array<struct<org_type, region, org_name, org_code>>: one cell per level."""
+def levels_column(levels=R.ORG_LEVELS, text_type=None) -> Column:
+    """array<struct<org_type, region, org_name, org_code>>: one cell per level.
+
+    ``text_type``: the string type of the geography columns; constants are
+    cast to it so all cells share one type (and one collation, if any).
+    """
+    def v(x) -> Column:
+        c = _level_value(x)
+        return c.cast(text_type) if text_type is not None else c
+
     return F.array(*[
-        F.struct(F.lit(t).alias("org_type"), _level_value(region).alias("region"),
-                 _level_value(name).alias("org_name"), _level_value(code).alias("org_code"))
+        F.struct(v(t).alias("org_type"), v(region).alias("region"),
+                 v(name).alias("org_name"), v(code).alias("org_code"))
         for t, region, name, code in levels])
 
 
@@ -144,7 +152,10 @@ def level_bucket_rollup(df: DataFrame, time: str, dims: list[str], measures: lis
 
     if bucket_col:
         rows = rows.select("*", F.explode(buckets_column(n_expr)).alias("appointment_type"))
-    expanded = rows.select(time, *bucket_keys, *dims, *partial_names, F.inline(levels_column(levels)))
+    geo = level_source_columns(levels)
+    text_type = rows.schema[geo[0]].dataType if geo else None
+    expanded = rows.select(time, *bucket_keys, *dims, *partial_names,
+                           F.inline(levels_column(levels, text_type)))
     out = expanded.groupBy(time, *org_keys, *bucket_keys, *dims).agg(*merge)
     return out.select(time, *org_keys, *bucket_keys, *dims, *[m.final() for m in measures])
 

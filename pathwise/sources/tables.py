@@ -16,6 +16,8 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pathwise.sources import fixtures
 
@@ -35,6 +37,22 @@ class Sources:
     provider_hierarchy: DataFrame
     calendar: DataFrame
 
+    def with_collation(self, collation: str = "UTF8_LCASE_RTRIM") -> "Sources":
+        """Every text column compared under ``collation``.
+
+        The reference compares text under its database's default collation,
+        which is case-blind and ignores trailing blanks on SQL Server.  By
+        default this library compares exactly; giving the source columns a
+        collation makes every comparison, join, IN list, prefix test and
+        GROUP BY of every plan follow it, with no change to the plans.
+        """
+        def collated(df: DataFrame) -> DataFrame:
+            return df.select(*[
+                F.col(f.name).cast(T.StringType(collation)).alias(f.name)
+                if isinstance(f.dataType, T.StringType) else F.col(f.name)
+                for f in df.schema.fields])
+        return Sources(**{f.name: collated(getattr(self, f.name)) for f in fields(self)})
+
     @classmethod
     def from_tables(cls, spark: SparkSession, path: str) -> "Sources":
         return cls(**{f.name: spark.read.parquet(f"{path}/{f.name}") for f in fields(cls)})
