@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pathwise.functions import labels as L
 from pathwise.functions import rules as R
+from pathwise.operators.checks import reference_duplicates
 from pathwise.operators.orgs import resolve_commissioner, resolve_provider
 from pathwise.operators.ranking import rank_newest
 from pathwise.operators.rollup import Avg, Count, Sum, buckets_column, level_bucket_rollup
@@ -294,6 +295,7 @@ QUERIES: dict[str, Query] = {
     "org_levels": _refresh(_org_levels),
     "rank_newest": _src(_rank_newest),
     "distinct_rows": _src(A.digital_contact_rows),
+    "reference_duplicates": _src(reference_duplicates),
     "month_publish": _month_publish,
     "full_publish": _full_publish,
 }

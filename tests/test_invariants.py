@@ -54,3 +54,16 @@ def test_contact_base_flag_once_per_projected_row(refresh):
     keys = ["month", "quarter", "pathway_id", "iet_count", "product", *R.GEO_COLUMNS]
     assert flagged.count() == flagged.select(*keys).distinct().count()
     assert jb.count() == jb.distinct().count()  # already distinct without a final DISTINCT
+
+
+def test_reference_duplicates_reports_fanout_keys(spark, refresh):
+    from dataclasses import replace
+
+    from pathwise.operators.checks import reference_duplicates
+
+    src = refresh.src
+    assert reference_duplicates(src).count() == 0       # the fixtures are clean
+    doubled = replace(src, provider_succession=src.provider_succession.unionByName(
+        src.provider_succession))
+    got = {(r.table_name, r.n_rows) for r in reference_duplicates(doubled).collect()}
+    assert got == {("provider_succession", 2)}
