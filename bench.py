@@ -8,7 +8,8 @@ Prints one JSON line:
 all seven dashboards written (what the two reference scripts do per month).
 Each job is also timed alone from the source tables, executed in full by a
 ``noop`` write (nothing collected to the driver).  Variants: the
-reference-shaped 15-branch union vs the single-pass rollup, fold on / off.
+reference-shaped 15-branch union vs the single-pass rollup, fold on / off,
+and the plain window vs the skew-safe sorted ranking.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pathwise.operators.ranking import rank_newest  # noqa: E402
 from pathwise.operators.rollup import Sum, unrolled_rollup  # noqa: E402
+from pathwise.plans import appointments as A  # noqa: E402
 from pathwise.plans import outcomes as O  # noqa: E402
 from pathwise.plans.catalog import QUERIES, refresh  # noqa: E402
 from pathwise.session import local_session  # noqa: E402
@@ -74,6 +77,14 @@ def main() -> None:
     times["j05_unrolled_15_branch_from_base"] = timed(
         lambda: run(unrolled_rollup(base, "month", O.OUTCOME_DIMS, measures)))
 
+    # ranking J09: plain window vs the skew-safe sorted method (written sort)
+    rows = P.materialize(A.digital_contact_rows(driver_sources(spark, sf_dir)),
+                         f"{P.new_run_dir(spark, 'bench')}/j09_rows")
+    times["j09_rank_window"] = timed(
+        lambda: run(rank_newest(rows, ["pathway_id"], A.digital_order(), method="window")))
+    times["j09_rank_sorted_skew_safe"] = timed(
+        lambda: run(rank_newest(rows, ["pathway_id"], A.digital_order(), method="sorted")))
+
     r = refresh(spark, sf_dir)
     out_dir = P.new_run_dir(spark, "bench-publish")
     total = timed(lambda: r.publish(f"{out_dir}/dashboards", f"{out_dir}/work"))

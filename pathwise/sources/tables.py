@@ -59,7 +59,8 @@ class Sources:
 
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str,
-                           stage_dir: str | None = None) -> "Sources":
+                           stage_dir: str | None = None,
+                           partition_facts: bool = True) -> "Sources":
         """Fixture sources, derived by the fixture views.
 
         Without ``stage_dir`` every source is a lazy view over the driver
@@ -91,7 +92,7 @@ class Sources:
                 frames[name] = spark.read.parquet(path)
             elif stage_dir and name in FACT_TABLES:
                 path, df = f"{stage_dir}/{name}", frames[name]
-                if "submission_id" in df.columns:
+                if partition_facts and "submission_id" in df.columns:
                     # one folder per submission, as monthly submissions land
                     (df.repartition("submission_id").write.mode("overwrite")
                      .partitionBy("submission_id").parquet(path))
