@@ -1,0 +1,10 @@
+"""Streaming: intentionally empty.
+
+The reference has no stream, watermark, event-time window or state.  It
+absorbs late and corrected data in batch: a resubmission flips the
+register's latest flag (``operators.versions.latest_only``), and every
+month's run recomputes the whole history (``plans.refresh``).  The one
+incremental output, the questionnaire month, is a partition overwrite
+(``sources.publish.publish_month``).  Nothing here would be exercised by
+the reference's semantics, so nothing is built.
+"""
