@@ -44,18 +44,23 @@ def answer_order() -> list:
             F.col("term").asc_nulls_last()]
 
 
-def latest_answers(src: Sources) -> DataFrame:
-    """Distinct answers ranked newest first per pathway x question code.
+def answer_rows(src: Sources) -> DataFrame:
+    """J06's input: distinct (pathway, code, term, score, date) answer rows.
 
     Answers are not limited to latest submission versions (K5).
     """
-    return rank_newest(answers_with_terms(src).distinct(), ["pathway_id", "code"], answer_order())
+    return answers_with_terms(src).distinct()
+
+
+def latest_answers(src: Sources) -> DataFrame:
+    """Distinct answers ranked newest first per pathway x question code."""
+    return rank_newest(answer_rows(src), ["pathway_id", "code"], answer_order())
 
 
 def newest_answers(src: Sources) -> DataFrame:
     """J06 restricted to rank 1 (what J07 reads), via a per-group limit that
     Spark applies partially before the shuffle."""
-    return newest_only(answers_with_terms(src).distinct(), ["pathway_id", "code"], answer_order())
+    return newest_only(answer_rows(src), ["pathway_id", "code"], answer_order())
 
 
 QUESTIONNAIRE_BASE_COLUMNS = ["month", "pathway_id", "product", "iet_count", "question", "answer",
@@ -63,19 +68,31 @@ QUESTIONNAIRE_BASE_COLUMNS = ["month", "pathway_id", "product", "iet_count", "qu
 
 
 def questionnaire_base(src: Sources, window: ReportingWindow, summary: DataFrame,
-                       answers: DataFrame) -> DataFrame:
+                       answer_rows: DataFrame) -> DataFrame:
     """Completed pathways of the questionnaire month(s) with their newest answers.
 
     Month range: ``offset_start .. period_start`` (one month at offset 0).
     Rows equal in every label merge (K16).  No calendar join here (K10).
+
+    ``summary`` (J01) and ``answer_rows`` (J06's distinct answers) cover every
+    pathway ever; both are first cut to the pathways of the month(s) by a
+    semi-join, which changes nothing in the result (a pathway's newest answer
+    depends on its own answers only, and both are left-joined on the
+    pathway) but means only those pathways' rows are ranked and shuffled.
+    The month's pathway list is small, so AQE turns the semi-joins into
+    broadcasts once it has measured it; beyond the threshold they stay
+    shuffle joins.
     """
     ref = latest_referrals(src)
     ref = ref.filter(completed_in_period(ref)
                      & F.col("received_date").between(window.first_date, window.period_end)
                      & F.col("period_start").between(window.offset_start, window.period_start))
     ref = with_orgs(ref, src)
-    j01 = summary.select("pathway_id", "product", F.col("n_contacts").alias("iet_count"))
-    newest = (answers.filter(F.col("latest_rank") == 1)
+    in_scope = ref.select("pathway_id").distinct()
+    j01 = (summary.join(in_scope, "pathway_id", "left_semi")
+           .select("pathway_id", "product", F.col("n_contacts").alias("iet_count")))
+    newest = (newest_only(answer_rows.join(in_scope, "pathway_id", "left_semi"),
+                          ["pathway_id", "code"], answer_order())
               .select("pathway_id", "code", "score", "term"))   # ranks 1 of J06
     joined = ref.join(j01, "pathway_id", "left").join(newest, "pathway_id", "left")
     return joined.select(

@@ -76,7 +76,7 @@ class MonthlyRefresh:
     @cached_property
     def questionnaire_base(self) -> DataFrame:
         return Q.questionnaire_base(self.src, self.questionnaire_window, self.digital_summary,
-                                    self.newest_answers)
+                                    Q.answer_rows(self.src))
 
     @cached_property
     def questionnaire_dashboard(self) -> DataFrame:

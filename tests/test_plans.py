@@ -49,3 +49,13 @@ def test_scan_prunes_columns(base):
     p = plan(O.wait_dashboard(base))
     scan = [line for line in p.splitlines() if "FileScan parquet" in line][0]
     assert "wait_ref_to_assess" in scan and "end_code_desc" not in scan
+
+
+def test_questionnaire_month_cuts_inputs_to_its_pathways(refresh):
+    # J01 and the answers are semi-joined to the month's pathways; for the
+    # answers the cut comes before the newest-per-question limit
+    p = refresh.questionnaire_base._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("Join LeftSemi") == 2
+    lines = p.splitlines()
+    limit = next(i for i, line in enumerate(lines) if "WindowGroupLimit" in line)
+    assert any("Join LeftSemi" in line for line in lines[limit:limit + 3])
