@@ -21,6 +21,7 @@ from pathwise.plans import averages as V
 from pathwise.plans import outcomes as O
 from pathwise.plans import questionnaire as Q
 from pathwise.sources import publish as P
+from pathwise.sources.schemas import DASHBOARD_SCHEMAS, conform
 from pathwise.sources.tables import Sources
 
 DASHBOARDS = [
@@ -148,7 +149,8 @@ class MonthlyRefresh:
 
     def publish(self, out_dir: str, run_dir: str, *, month_append: bool = False,
                 parallel: bool = True) -> dict[str, str]:
-        """Write all seven dashboards; the questionnaire one by month partition.
+        """Write all seven dashboards, by name with their published schemas
+        (``schemas.DASHBOARD_SCHEMAS``); the questionnaire one by month partition.
 
         Working tables read by several jobs are written once under
         ``run_dir`` and read back (lineage cut at shared storage).  Each job
@@ -164,7 +166,9 @@ class MonthlyRefresh:
 
         def dashboard(name: str, *needs: str):
             def run(done: dict[str, DataFrame]) -> str:
-                path, df = f"{out_dir}/{name}", getattr(self._with({n: done[n] for n in needs}), name)
+                path = f"{out_dir}/{name}"
+                df = conform(getattr(self._with({n: done[n] for n in needs}), name),
+                             DASHBOARD_SCHEMAS[name])
                 if name == "questionnaire_dashboard":
                     (P.append_month if month_append else P.publish_month)(df, path)
                 else:

@@ -37,6 +37,16 @@ class Sources:
     provider_hierarchy: DataFrame
     calendar: DataFrame
 
+    def validate(self) -> "Sources":
+        """Check every source against its contract (``schemas.SOURCE_SCHEMAS``);
+        raise with the full list of problems, or return ``self``."""
+        from pathwise.sources.schemas import problems
+
+        found = [p for f in fields(self) for p in problems(getattr(self, f.name), f.name)]
+        if found:
+            raise ValueError("source tables do not match their schemas:\n  " + "\n  ".join(found))
+        return self
+
     def with_collation(self, collation: str = "UTF8_LCASE_RTRIM") -> "Sources":
         """Every text column compared under ``collation``.
 
@@ -55,7 +65,8 @@ class Sources:
 
     @classmethod
     def from_tables(cls, spark: SparkSession, path: str) -> "Sources":
-        return cls(**{f.name: spark.read.parquet(f"{path}/{f.name}") for f in fields(cls)})
+        """Read ``<path>/<name>`` parquet tables and check them against their schemas."""
+        return cls(**{f.name: spark.read.parquet(f"{path}/{f.name}") for f in fields(cls)}).validate()
 
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str,
@@ -99,7 +110,7 @@ class Sources:
                 else:
                     df.repartition(n_files).write.mode("overwrite").parquet(path)
                 frames[name] = spark.read.schema(df.schema).parquet(path).select(*df.columns)
-        return cls(**{f.name: frames[f.name] for f in fields(cls)})
+        return cls(**{f.name: frames[f.name] for f in fields(cls)}).validate()
 
 
 REFERENCE_TABLES = ["submission_register", "calendar", "terminology", "commissioner_succession",
