@@ -44,14 +44,29 @@ def _contact_keys(contacts: DataFrame, date_col: str) -> DataFrame:
 def contact_base(base: DataFrame, contacts: DataFrame, date_col: str) -> DataFrame:
     """Base x contacts of the pathway, count-once completion flag.
 
+    The reference's left join, written as two exact parts so that no task
+    holds a whole pathway however many contacts it has:
+
+    * base x its contacts (inner join: AQE can split a skewed partition on
+      either side, which it cannot for the right side of a left join);
+    * base rows whose pathway has no contact, with NULL contact columns --
+      an anti-join against the distinct contact pathways (one row each).
+
     ``_newest`` is non-NULL on matched rows and ``comp_flag`` is never NULL,
     so distinct inputs give distinct outputs: no DISTINCT after the join.
     """
-    joined = _base_projection(base).join(_contact_keys(contacts, date_col), "pathway_id", "left")
-    return joined.select(
+    b = _base_projection(base)
+    keys = _contact_keys(contacts, date_col)
+    matched = b.join(keys, "pathway_id", "inner").select(
         "month", "quarter", "pathway_id", "iet_count", date_col, "minutes", "product",
-        F.when(F.col("_newest") | F.col("_newest").isNull(), F.col("comp_flag")).alias("comp_flag"),
-        *R.GEO_COLUMNS)
+        F.when(F.col("_newest"), F.col("comp_flag")).alias("comp_flag"), *R.GEO_COLUMNS)
+    with_contacts = keys.select("pathway_id").distinct()
+    alone = b.join(with_contacts, "pathway_id", "left_anti").select(
+        "month", "quarter", "pathway_id", "iet_count",
+        F.lit(None).cast(keys.schema[date_col].dataType).alias(date_col),
+        F.lit(None).cast(keys.schema["minutes"].dataType).alias("minutes"),
+        "product", "comp_flag", *R.GEO_COLUMNS)
+    return matched.unionByName(alone)
 
 
 def digital_contact_base(base: DataFrame, contacts: DataFrame) -> DataFrame:
