@@ -13,7 +13,7 @@ averages are unchanged.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathwise.functions import rules as R
@@ -22,6 +22,8 @@ from pathwise.operators.rollup import AVG_TYPE, AvgOfParts, Sum, level_bucket_ro
 from pathwise.operators.versions import latest_only
 from pathwise.sources.tables import Sources
 
+DIGITAL_BETWEEN = ("end_date",)   # J09 orders by start, end, minutes, ...
+
 BASE_PROJECTION = ["month", "quarter", "pathway_id", "iet_count", "product", "comp_flag",
                    *R.GEO_COLUMNS]
 
@@ -31,17 +33,51 @@ def _base_projection(base: DataFrame) -> DataFrame:
 
 
 def _contact_keys(contacts: DataFrame, date_col: str) -> DataFrame:
-    """Distinct (pathway, date, minutes, newest?) -- what survives the DISTINCT.
-
-    ``contacts`` carries either the full rank (``latest_rank``) or the
-    skew-safe ``_newest`` flag (``flag_newest``)."""
+    """Distinct (pathway, date, minutes, newest?) from rows carrying the full
+    rank (``latest_rank``) or a ``_newest`` flag."""
     newest = (F.col("_newest") if "_newest" in contacts.columns
               else (F.col("latest_rank") == 1))
     return (contacts.select("pathway_id", date_col, "minutes", newest.alias("_newest"))
             .distinct())
 
 
-def contact_base(base: DataFrame, contacts: DataFrame, date_col: str) -> DataFrame:
+def _pairs(rows: DataFrame, date_col: str, between: tuple[str, ...]) -> DataFrame:
+    """Per (pathway, date, minutes): number of distinct contact rows, and the
+    largest value of each ``between`` order column."""
+    return (rows.groupBy("pathway_id", date_col, "minutes")
+            .agg(F.count(F.lit(1)).alias("_rows"), *[F.max(c).alias(c) for c in between]))
+
+
+def _newest_order(date_col: str, between: tuple[str, ...]) -> Column:
+    """The ranking order as one struct: NULL sorts lowest, i.e. DESC NULLS LAST."""
+    return F.struct(F.col(date_col), *[F.col(c) for c in between], F.col("minutes"))
+
+
+def contact_keys(rows: DataFrame, date_col: str, between: tuple[str, ...] = ()) -> DataFrame:
+    """Distinct (pathway, date, minutes, newest?) of distinct contact rows, as
+    ``_contact_keys`` of their ranking gives it, without ranking.
+
+    Each (date, minutes) pair appears with ``_newest`` false, except the
+    pathway's newest pair (the ``max_by`` of the order), which appears with
+    true -- and also with false when another row shares it.  Only pairs are
+    shuffled, never contact rows, and every step aggregates partially; the
+    join meets one row per pathway on its right and is an inner join, which
+    AQE can split.
+    """
+    pairs = _pairs(rows, date_col, between)
+    top = (pairs.groupBy("pathway_id")
+           .agg(F.max_by(F.struct(F.col(date_col).alias("d"), F.col("minutes").alias("m"),
+                                  F.col("_rows").alias("n")),
+                         _newest_order(date_col, between)).alias("_top")))
+    joined = pairs.join(top, "pathway_id", "inner")
+    is_top = F.col(date_col).eqNullSafe(F.col("_top.d")) & F.col("minutes").eqNullSafe(F.col("_top.m"))
+    flags = (F.when(is_top & (F.col("_top.n") >= 2), F.array(F.lit(True), F.lit(False)))
+             .when(is_top, F.array(F.lit(True)))
+             .otherwise(F.array(F.lit(False))))
+    return joined.select("pathway_id", date_col, "minutes", F.explode(flags).alias("_newest"))
+
+
+def contact_base(base: DataFrame, keys: DataFrame, date_col: str) -> DataFrame:
     """Base x contacts of the pathway, count-once completion flag.
 
     The reference's left join, written as two exact parts so that no task
@@ -56,7 +92,6 @@ def contact_base(base: DataFrame, contacts: DataFrame, date_col: str) -> DataFra
     so distinct inputs give distinct outputs: no DISTINCT after the join.
     """
     b = _base_projection(base)
-    keys = _contact_keys(contacts, date_col)
     matched = b.join(keys, "pathway_id", "inner").select(
         "month", "quarter", "pathway_id", "iet_count", date_col, "minutes", "product",
         F.when(F.col("_newest"), F.col("comp_flag")).alias("comp_flag"), *R.GEO_COLUMNS)
@@ -69,14 +104,15 @@ def contact_base(base: DataFrame, contacts: DataFrame, date_col: str) -> DataFra
     return matched.unionByName(alone)
 
 
-def digital_contact_base(base: DataFrame, contacts: DataFrame) -> DataFrame:
-    """Base x digital contacts."""
-    return contact_base(base, contacts, "start_date")
+def digital_contact_base(base: DataFrame, contact_rows: DataFrame) -> DataFrame:
+    """Base x digital contacts (``contact_rows``: J09's distinct rows)."""
+    return contact_base(base, contact_keys(contact_rows, "start_date", DIGITAL_BETWEEN),
+                        "start_date")
 
 
-def any_contact_base(base: DataFrame, contacts: DataFrame) -> DataFrame:
-    """Base x all contacts."""
-    return contact_base(base, contacts, "contact_date")
+def any_contact_base(base: DataFrame, contact_rows: DataFrame) -> DataFrame:
+    """Base x all contacts (``contact_rows``: J16's distinct rows)."""
+    return contact_base(base, contact_keys(contact_rows, "contact_date"), "contact_date")
 
 
 def contact_minutes_per_pathway(rows: DataFrame, date_col: str,
@@ -94,9 +130,8 @@ def contact_minutes_per_pathway(rows: DataFrame, date_col: str,
     which is the order's NULLS LAST.  Two aggregations, both partial before
     their shuffle, so no task sees a whole pathway.
     """
-    pairs = (rows.groupBy("pathway_id", date_col, "minutes")
-             .agg(F.count(F.lit(1)).alias("_rows"), *[F.max(c).alias(c) for c in between]))
-    newest = F.struct(F.col(date_col), *[F.col(c) for c in between], F.col("minutes"))
+    pairs = _pairs(rows, date_col, between)
+    newest = _newest_order(date_col, between)
     per = pairs.groupBy("pathway_id").agg(
         F.sum(F.col("minutes").cast(AVG_TYPE)).alias("_minutes_sum"),
         F.count("minutes").alias("_minutes_n"),
@@ -125,9 +160,6 @@ def contact_time_dashboard(base: DataFrame, per_pathway: DataFrame, name: str,
                                fold=fold)
 
 
-DIGITAL_BETWEEN = ("end_date",)   # J09 orders by start, end, minutes, ...
-
-
 def digital_time_dashboard(base: DataFrame, contact_rows: DataFrame, *,
                            fold: bool = False) -> DataFrame:
     """Average digital therapist minutes per contact (``contact_rows``: J09 rows)."""

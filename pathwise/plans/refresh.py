@@ -114,7 +114,7 @@ class MonthlyRefresh:
 
     @cached_property
     def digital_contact_base(self) -> DataFrame:
-        return V.digital_contact_base(self.pathway_base, self.digital_contacts_flagged)
+        return V.digital_contact_base(self.pathway_base, self.digital_contact_rows)
 
     @cached_property
     def digital_time_dashboard(self) -> DataFrame:
@@ -135,7 +135,7 @@ class MonthlyRefresh:
 
     @cached_property
     def any_contact_base(self) -> DataFrame:
-        return V.any_contact_base(self.pathway_base, self.all_contacts_flagged)
+        return V.any_contact_base(self.pathway_base, self.all_contact_rows)
 
     @cached_property
     def any_time_dashboard(self) -> DataFrame:

@@ -73,3 +73,37 @@ def test_every_small_case_exhaustively(spark):
              F.col("unique_month_id").asc_nulls_last()]
     assert as_dict(contact_minutes_per_pathway(df, "contact_date")) == as_dict(
         brute(df, "contact_date", order))
+
+
+def test_contact_keys_equal_ranked_keys(spark):
+    from pathwise.plans.averages import _contact_keys, contact_keys
+
+    def bag(df):
+        from collections import Counter
+
+        return Counter(tuple(r) for r in df.select("pathway_id", df.columns[1], "minutes",
+                                                    "_newest").collect())
+
+    rnd = random.Random(5)
+    any_rows = set()
+    dig_rows = set()
+    for p in range(70):
+        for _ in range(rnd.randint(1, 6)):
+            any_rows.add((p, rnd.choice(D), rnd.choice(M), rnd.choice([1, 2, 3])))
+            dig_rows.add((p, rnd.choice(D), rnd.choice(D), rnd.choice(M), rnd.choice([1, 2]),
+                          rnd.choice(["A", None])))
+    a = spark.createDataFrame(sorted(any_rows, key=str), "pathway_id long, contact_date date, "
+                                                         "minutes int, unique_month_id long")
+    order = [F.col("contact_date").desc_nulls_last(), F.col("minutes").desc_nulls_last(),
+             F.col("unique_month_id").asc_nulls_last()]
+    want = _contact_keys(rank_newest(a, ["pathway_id"], order), "contact_date")
+    assert bag(contact_keys(a, "contact_date")) == bag(want)
+
+    d = spark.createDataFrame(sorted(dig_rows, key=str),
+                              "pathway_id long, start_date date, end_date date, minutes int, "
+                              "unique_month_id long, product string")
+    order = [F.col("start_date").desc_nulls_last(), F.col("end_date").desc_nulls_last(),
+             F.col("minutes").desc_nulls_last(), F.col("product").asc_nulls_last(),
+             F.col("unique_month_id").asc_nulls_last()]
+    want = _contact_keys(rank_newest(d, ["pathway_id"], order), "start_date")
+    assert bag(contact_keys(d, "start_date", ("end_date",))) == bag(want)
