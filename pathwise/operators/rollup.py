@@ -123,11 +123,19 @@ def _bucket_class(n: Column) -> Column:
 
 def level_bucket_rollup(df: DataFrame, time: str, dims: list[str], measures: list[Measure], *,
                         bucket_col: str | None = "iet_count", levels=R.ORG_LEVELS,
-                        fold: bool = False) -> DataFrame:
+                        fold: bool = False,
+                        derived: dict[str, Column] | None = None) -> DataFrame:
     """One aggregation for all (level, bucket) branches of a dashboard.
 
     Output: time, org_type, region, org_name, org_code, [appointment_type],
-    dims..., measures... (sum/count -> bigint, averages -> double).
+    dims..., derived..., measures... (sum/count -> bigint, averages -> double).
+
+    ``derived``: output columns that are functions of the grouping keys only
+    (a label of a code, say).  Grouping by the key alone gives the same
+    groups as grouping by key and label, so the label is computed once per
+    output group after the aggregation instead of being hashed, compared
+    and shuffled with every row -- long text keys dominate this operator's
+    cost.
     """
     partials = [p for m in measures for p in m.partials()]
     partial_names = [name for name, _ in partials]
@@ -157,7 +165,9 @@ def level_bucket_rollup(df: DataFrame, time: str, dims: list[str], measures: lis
     expanded = rows.select(time, *bucket_keys, *dims, *partial_names,
                            F.inline(levels_column(levels, text_type)))
     out = expanded.groupBy(time, *org_keys, *bucket_keys, *dims).agg(*merge)
-    return out.select(time, *org_keys, *bucket_keys, *dims, *[m.final() for m in measures])
+    extra = [c.alias(name) for name, c in (derived or {}).items()]
+    return out.select(time, *org_keys, *bucket_keys, *dims, *extra,
+                      *[m.final() for m in measures])
 
 
 _UNROLLED_BUCKETS = [

@@ -133,9 +133,16 @@ OUTCOME_FLAGS = ["rec_flag", "not_case_flag", "rel_imp_flag", "rel_rec_flag", "c
 
 
 def outcome_dashboard(base: DataFrame, *, fold: bool = False) -> DataFrame:
-    """Outcome flag sums by month x clinical dims x level x bucket."""
-    out = level_bucket_rollup(base, "month", OUTCOME_DIMS,
-                              [Sum("iet_count"), *[Sum(f) for f in OUTCOME_FLAGS]], fold=fold)
+    """Outcome flag sums by month x clinical dims x level x bucket.
+
+    The end-code description is a function of the end code, so the rollup
+    groups by the code and labels each output group afterwards (same groups,
+    far shorter keys).
+    """
+    keys = [d for d in OUTCOME_DIMS if d != "end_code_desc"]
+    out = level_bucket_rollup(base, "month", keys,
+                              [Sum("iet_count"), *[Sum(f) for f in OUTCOME_FLAGS]], fold=fold,
+                              derived={"end_code_desc": L.end_code_label("end_code")})
     return out.select("month", "org_type", "region", "org_name", "org_code", "appointment_type",
                       "iet_count", *OUTCOME_DIMS, *OUTCOME_FLAGS)
 
