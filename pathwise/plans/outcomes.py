@@ -107,7 +107,7 @@ def pathway_base(src: Sources, window: ReportingWindow, summary: DataFrame,
     joined = (ref.join(j01, "pathway_id", "left")
               .join(j02, "pathway_id", "left")
               .join(cal, "period_start", "inner"))
-    return joined.select(
+    rows = joined.select(
         L.month_key("period_start").alias("month"), "quarter", "period_start", "period_end",
         "pathway_id", "unique_month_id", "received_date", "first_assessment_date",
         "first_therapy_date", "second_therapy_date", "discharge_date",
@@ -116,7 +116,6 @@ def pathway_base(src: Sources, window: ReportingWindow, summary: DataFrame,
         L.wait_days("first_therapy_date", "second_therapy_date").alias("wait_first_to_second"),
         "old_iet_count", "iet_count", L.product_or_default("product").alias("product"),
         "iet_minutes", "any_minutes", "integrated", "end_code",
-        L.end_code_label("end_code").alias("end_code_desc"),
         *outcome_flag_columns(ref),
         L.problem_label("higher_category", "primary_complaint", "lower_category",
                         "second_complaint").alias("problem"),
@@ -124,7 +123,13 @@ def pathway_base(src: Sources, window: ReportingWindow, summary: DataFrame,
         L.phq9_band("depression_score").alias("phq9_band"),
         L.usage_mix("iet_count", "contact_count").alias("mix_class"),
         *R.GEO_COLUMNS,
-    ).distinct()
+    )
+    # the end-code description is a function of the end code: DISTINCT over
+    # the other columns gives the same rows, without hashing the long text
+    at = BASE_COLUMNS.index("end_code_desc")
+    return rows.distinct().select(*BASE_COLUMNS[:at],
+                                  L.end_code_label("end_code").alias("end_code_desc"),
+                                  *BASE_COLUMNS[at + 1:])
 
 
 OUTCOME_DIMS = ["product", "integrated", "end_code", "end_code_desc", "problem",
