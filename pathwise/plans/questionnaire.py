@@ -9,7 +9,7 @@ from pathwise.functions import labels as L
 from pathwise.functions import rules as R
 from pathwise.operators.ranking import newest_only, rank_newest
 from pathwise.operators.rollup import Sum, level_bucket_rollup
-from pathwise.operators.versions import ReportingWindow
+from pathwise.operators.versions import VERSION_KEYS, ReportingWindow, latest_register
 from pathwise.plans.outcomes import (
     completed_in_period, discharged_in_period, flag, latest_referrals, with_orgs,
 )
@@ -30,9 +30,15 @@ def question_terms(terminology: DataFrame) -> DataFrame:
             .filter(F.col("_concept").isin(R.QUESTION_CODES)))
 
 
-def answers_with_terms(src: Sources) -> DataFrame:
+def answers_with_terms(src: Sources, latest_versions_only: bool = False) -> DataFrame:
     """JN9: questionnaire answers with their question term (NULL if none)."""
     ans = src.assessment.filter(F.col("code").isin(R.QUESTION_CODES))
+    if latest_versions_only:
+        missing = {"submission_id", "audit_id"} - set(ans.columns)
+        if missing:
+            raise ValueError(f"assessment has no {sorted(missing)}: cannot keep latest versions")
+        ans = ans.join(latest_register(src.submission_register).select(*VERSION_KEYS),
+                       VERSION_KEYS, "left_semi")
     terms = question_terms(src.terminology)
     return (ans.join(terms, F.col("code") == F.col("_concept"), "left")
             .select("pathway_id", "code", "term", "score", "effective_from"))
@@ -44,12 +50,15 @@ def answer_order() -> list:
             F.col("term").asc_nulls_last()]
 
 
-def answer_rows(src: Sources) -> DataFrame:
+def answer_rows(src: Sources, latest_versions_only: bool = False) -> DataFrame:
     """J06's input: distinct (pathway, code, term, score, date) answer rows.
 
-    Answers are not limited to latest submission versions (K5).
+    As in the reference, answers are not limited to latest submission
+    versions (K5).  ``latest_versions_only=True`` limits them, for sources
+    whose answers carry ``submission_id`` / ``audit_id``.
     """
-    return answers_with_terms(src).distinct()
+    rows = answers_with_terms(src, latest_versions_only)
+    return rows.distinct()
 
 
 def latest_answers(src: Sources) -> DataFrame:

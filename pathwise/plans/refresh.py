@@ -33,8 +33,10 @@ DASHBOARDS = [
 class MonthlyRefresh:
     def __init__(self, src: Sources, *, first: str = R.FIRST_REPORTING_DATE,
                  lag: int = R.REFRESH_LAG_MONTHS, questionnaire_offset: int = 0,
-                 fold: bool = False, overrides: dict[str, DataFrame] | None = None):
+                 fold: bool = False, answers_latest_versions_only: bool = False,
+                 overrides: dict[str, DataFrame] | None = None):
         self.src = src
+        self.answers_latest_versions_only = answers_latest_versions_only
         self.first, self.lag, self.questionnaire_offset, self.fold = first, lag, questionnaire_offset, fold
         for name, df in (overrides or {}).items():
             self.__dict__[name] = df          # pre-seed cached_property values
@@ -77,7 +79,7 @@ class MonthlyRefresh:
     @cached_property
     def questionnaire_base(self) -> DataFrame:
         return Q.questionnaire_base(self.src, self.questionnaire_window, self.digital_summary,
-                                    Q.answer_rows(self.src))
+                                    Q.answer_rows(self.src, self.answers_latest_versions_only))
 
     @cached_property
     def questionnaire_dashboard(self) -> DataFrame:
@@ -145,6 +147,7 @@ class MonthlyRefresh:
     def _with(self, seeds: dict[str, DataFrame]) -> "MonthlyRefresh":
         return MonthlyRefresh(self.src, first=self.first, lag=self.lag,
                               questionnaire_offset=self.questionnaire_offset, fold=self.fold,
+                              answers_latest_versions_only=self.answers_latest_versions_only,
                               overrides=seeds)
 
     def publish(self, out_dir: str, run_dir: str, *, month_append: bool = False,

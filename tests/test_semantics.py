@@ -144,3 +144,27 @@ def test_decimal_overflow_fails_like_the_reference(world, spark):
     big = world.pathway_base.withColumn("iet_minutes", F.lit(100000))
     with pytest.raises(ArithmeticException):
         level_bucket_rollup(big, "quarter", [], [Avg("a", "iet_minutes")]).collect()
+
+
+def test_answers_latest_versions_option(spark, world):
+    from dataclasses import replace
+
+    from pathwise.functions import rules as R
+    from pathwise.plans import questionnaire as Q
+
+    code = R.TREATMENT_CODES[0]
+    ans = spark.createDataFrame(
+        [(1, code, "4", D(2021, 3, 9), 202103, 2),      # latest version
+         (1, code, "0", D(2021, 3, 20), 202103, 1)],    # superseded, newer date
+        "pathway_id long, code string, score string, effective_from date, "
+        "submission_id long, audit_id int")
+    src = replace(world.src, assessment=ans)
+    # default (as the reference): the superseded, newer answer wins
+    top = Q.newest_only(Q.answer_rows(src), ["pathway_id", "code"], Q.answer_order()).first()
+    assert top.score == "0"
+    # with the option, only the latest version's answer is left
+    top = Q.newest_only(Q.answer_rows(src, True), ["pathway_id", "code"],
+                        Q.answer_order()).first()
+    assert top.score == "4"
+    with pytest.raises(ValueError):
+        Q.answer_rows(world.src, True)      # no version keys on these answers
