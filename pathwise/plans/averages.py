@@ -1,14 +1,18 @@
 """Per-contact averages: contact bases and their dashboards.
 
 The reference joins every base row to every contact of its pathway, takes
-DISTINCT, and averages over that fan-out.  The contact bases (J14, J17) are
-built that way, with both sides de-duplicated *before* the join so the join
-output is already distinct.  The dashboards (J15, J18) never materialise the
-fan-out, rank or join contacts: a base row contributes (sum of minutes,
-count of minutes) over the distinct (date, minutes, newest?) contacts of its
-pathway, so contacts are aggregated per pathway (partial aggregation,
-skew-safe) and joined 1:1 to the base.  Sums and counts add exactly, so the
-averages are unchanged.
+DISTINCT, and averages over that fan-out.  Both families here start from the
+same two partial aggregations of the distinct contact rows: per (pathway,
+date, minutes) pair, and per pathway (its newest pair, by ``max_by``), so
+no contact is ranked and no task holds a whole pathway.
+
+* The contact bases (J14, J17) expand the pairs into the distinct (date,
+  minutes, newest?) keys the reference's DISTINCT keeps, and join them to
+  the de-duplicated base projection: the output is already distinct.
+* The dashboards (J15, J18) never build the fan-out: a base row contributes
+  (sum of minutes, count of minutes) over its pathway's keys, aggregated per
+  pathway and joined 1:1 to the base.  Sums and counts add exactly, so the
+  averages are unchanged.
 """
 
 from __future__ import annotations
