@@ -4,11 +4,13 @@ Two ways in:
 
 * ``Sources.from_tables(spark, path)`` reads ``<path>/<name>`` parquet tables
   that already have the neutral schema (production layout);
-* ``Sources.from_driver_tables(spark, sf_dir)`` derives them from the
-  driver's TPC-H-style parquet files through the fixture views.
+* ``Sources.from_driver_tables(spark, sf_dir, stage_dir)`` derives them
+  from the driver's TPC-H-style parquet files through the fixture views and,
+  given ``stage_dir``, writes them there once in production layout
+  (``driver_sources`` does so under the shared checkpoint folder).
 
-Either way nothing is read until an action runs; Catalyst prunes columns and
-pushes filters into the parquet scans of whatever a plan actually uses.
+Either way the jobs' plans stay lazy; Catalyst prunes columns and pushes
+filters into the parquet scans of whatever a plan actually uses.
 """
 
 from __future__ import annotations
