@@ -109,11 +109,15 @@ def level_source_columns(levels=R.ORG_LEVELS) -> list[str]:
 
 def buckets_column(n: Column) -> Column:
     """Usage buckets a row falls in: 2+ also counts in 1+; 0 or NULL is none.
-    (A negative count matches no bucket, as in the reference.)"""
-    return F.array_compact(F.array(
-        F.when(n >= 1, F.lit(R.BUCKET_ONE)),
-        F.when(n >= 2, F.lit(R.BUCKET_TWO)),
-        F.when(n.isNull() | (n == 0), F.lit(R.BUCKET_NONE))))
+    (A negative count matches no bucket, as in the reference.)
+
+    A CASE over literal arrays, not a filtered array: a higher-order
+    function (lambda) cannot be code-generated and would take the expansion
+    out of whole-stage codegen."""
+    return (F.when(n >= 2, F.array(F.lit(R.BUCKET_ONE), F.lit(R.BUCKET_TWO)))
+            .when(n >= 1, F.array(F.lit(R.BUCKET_ONE)))
+            .when(n.isNull() | (n == 0), F.array(F.lit(R.BUCKET_NONE)))
+            .otherwise(F.array().cast("array<string>")))
 
 
 def _bucket_class(n: Column) -> Column:
