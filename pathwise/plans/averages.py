@@ -57,6 +57,34 @@ def _newest_order(date_col: str, between: tuple[str, ...]) -> Column:
     return F.struct(F.col(date_col), *[F.col(c) for c in between], F.col("minutes"))
 
 
+def _packed_order(date_col: str) -> Column:
+    """(date, minutes) DESC NULLS LAST as one exact long: date as days from
+    0001-01-01 plus one (0 = NULL, < 2^22) above 33 bits of minutes shifted
+    to be non-negative plus one (0 = NULL)."""
+    days = F.datediff(F.col(date_col), F.lit("0001-01-01").cast("date")).cast("bigint") + 1
+    mins = F.col("minutes").cast("bigint") + F.lit(2 ** 31 + 1)
+    return (F.shiftleft(F.coalesce(days, F.lit(0).cast("bigint")), 33)
+            + F.coalesce(mins, F.lit(0).cast("bigint")))
+
+
+def _newest_pair(date_col: str, between: tuple[str, ...]) -> list[Column]:
+    """Aggregates giving each pathway's newest pair: ``_top_d``, ``_top_m``
+    (its date and minutes) and ``_top_n`` (its number of rows).
+
+    With no ``between`` column the order packs into one long, so three
+    scalar ``max_by``s keep Spark's hash aggregate; otherwise one ``max_by``
+    over the order struct (exact, but Spark aggregates struct buffers by
+    sorting)."""
+    if not between:
+        order = _packed_order(date_col)
+        return [F.max_by(F.col(date_col), order).alias("_top_d"),
+                F.max_by(F.col("minutes"), order).alias("_top_m"),
+                F.max_by(F.col("_rows"), order).alias("_top_n")]
+    top = F.max_by(F.struct(F.col(date_col).alias("d"), F.col("minutes").alias("m"),
+                            F.col("_rows").alias("n")), _newest_order(date_col, between))
+    return [top.d.alias("_top_d"), top.m.alias("_top_m"), top.n.alias("_top_n")]
+
+
 def contact_keys(rows: DataFrame, date_col: str, between: tuple[str, ...] = ()) -> DataFrame:
     """Distinct (pathway, date, minutes, newest?) of distinct contact rows, as
     ``_contact_keys`` of their ranking gives it, without ranking.
@@ -69,13 +97,10 @@ def contact_keys(rows: DataFrame, date_col: str, between: tuple[str, ...] = ())
     AQE can split.
     """
     pairs = _pairs(rows, date_col, between)
-    top = (pairs.groupBy("pathway_id")
-           .agg(F.max_by(F.struct(F.col(date_col).alias("d"), F.col("minutes").alias("m"),
-                                  F.col("_rows").alias("n")),
-                         _newest_order(date_col, between)).alias("_top")))
+    top = pairs.groupBy("pathway_id").agg(*_newest_pair(date_col, between))
     joined = pairs.join(top, "pathway_id", "inner")
-    is_top = F.col(date_col).eqNullSafe(F.col("_top.d")) & F.col("minutes").eqNullSafe(F.col("_top.m"))
-    flags = (F.when(is_top & (F.col("_top.n") >= 2), F.array(F.lit(True), F.lit(False)))
+    is_top = F.col(date_col).eqNullSafe(F.col("_top_d")) & F.col("minutes").eqNullSafe(F.col("_top_m"))
+    flags = (F.when(is_top & (F.col("_top_n") >= 2), F.array(F.lit(True), F.lit(False)))
              .when(is_top, F.array(F.lit(True)))
              .otherwise(F.array(F.lit(False))))
     return joined.select("pathway_id", date_col, "minutes", F.explode(flags).alias("_newest"))
@@ -135,16 +160,14 @@ def contact_minutes_per_pathway(rows: DataFrame, date_col: str,
     their shuffle, so no task sees a whole pathway.
     """
     pairs = _pairs(rows, date_col, between)
-    newest = _newest_order(date_col, between)
     per = pairs.groupBy("pathway_id").agg(
         F.sum(F.col("minutes").cast(AVG_TYPE)).alias("_minutes_sum"),
         F.count("minutes").alias("_minutes_n"),
-        F.max_by(F.struct(F.col("_rows").alias("rows"), F.col("minutes").alias("minutes")),
-                 newest).alias("_top"))
-    twice = (F.col("_top.rows") >= 2) & F.col("_top.minutes").isNotNull()
+        *_newest_pair(date_col, between))
+    twice = (F.col("_top_n") >= 2) & F.col("_top_m").isNotNull()
     return per.select(
         "pathway_id",
-        F.when(twice, F.col("_minutes_sum") + F.col("_top.minutes").cast(AVG_TYPE))
+        F.when(twice, F.col("_minutes_sum") + F.col("_top_m").cast(AVG_TYPE))
         .otherwise(F.col("_minutes_sum")).alias("_minutes_sum"),
         (F.col("_minutes_n") + F.when(twice, 1).otherwise(0)).alias("_minutes_n"))
 

@@ -107,3 +107,15 @@ def test_contact_keys_equal_ranked_keys(spark):
              F.col("unique_month_id").asc_nulls_last()]
     want = _contact_keys(rank_newest(d, ["pathway_id"], order), "start_date")
     assert bag(contact_keys(d, "start_date", ("end_date",))) == bag(want)
+
+
+def test_packed_order_sorts_like_the_struct_order(spark):
+    from pathwise.plans.averages import _newest_order, _packed_order
+
+    dates = [None, dt.date(1, 1, 1), dt.date(1, 1, 2), dt.date(1970, 1, 1), dt.date(9999, 12, 31)]
+    mins = [None, -2 ** 31, -1, 0, 1, 2 ** 31 - 1]
+    df = spark.createDataFrame(list(itertools.product(dates, mins)),
+                               "contact_date date, minutes int")
+    packed = [tuple(r) for r in df.orderBy(_packed_order("contact_date").desc()).collect()]
+    struct = [tuple(r) for r in df.orderBy(_newest_order("contact_date", ()).desc()).collect()]
+    assert packed == struct
