@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pathwise.llm import exact_dedup as op1
+from pathwise.llm import language_id as op2
 from pathwise.llm import packing as op3
 from pathwise.llm import secret_scan as op9
+from pathwise.llm import substring_dedup as op6
 from pathwise.llm.common import table
 
 
@@ -16,17 +18,27 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2.identify_corpus(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3.pack_documents(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9.secret_digest(op9.scan_secrets(table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_language_id": op2_language_id,
     "op3_packing": op3_packing,
+    "op6_substring_dedup": op6_substring_dedup,
     "op9_secret_scan": op9_secret_scan,
 }
 
