@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pathwise.llm import exact_dedup as op1
+from pathwise.llm import jaccard_join as op5
 from pathwise.llm import language_id as op2
 from pathwise.llm import packing as op3
 from pathwise.llm import secret_scan as op9
@@ -26,6 +27,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3.pack_documents(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -38,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
     "op3_packing": op3_packing,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_substring_dedup": op6_substring_dedup,
     "op9_secret_scan": op9_secret_scan,
 }
