@@ -148,16 +148,17 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     heads = (scan.filter(F.size("anchors") > 0).join(classes, ["key1", "key2"])
              .filter(F.col("doc_id") == F.col("first_id")).select("doc_id", "key1", "anchors"))
     anchors = stage(heads.select("doc_id", "key1", F.explode("anchors").alias("anchor")), "substring-anchors")
-    repeated = (anchors.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-                .filter("lo < hi").select("anchor"))
+    # written, so that the joins below read plain exchanges, which AQE can split at a hot key
+    repeated = stage(anchors.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+                     .filter("lo < hi").select("anchor"), "substring-repeated")
     alive = (anchors.join(repeated, "anchor", "left_semi").groupBy("doc_id", "key1")
              .agg(F.collect_set("anchor").alias("alive")))  # bounded by the document's length
     longer = stage(_extend(docs.join(alive, "doc_id").select("doc_id", "text", "key1", "alive"),
                            first, window), "substring-windows")
 
     windows = longer.select("doc_id", "key1", F.inline(F.arrays_zip("starts", "h1", "h2")))
-    shared = (windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-              .filter("lo < hi").select("h1", "h2", "lo"))
+    shared = stage(windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+                   .filter("lo < hi").select("h1", "h2", "lo"), "substring-shared")
     covered = (windows.join(shared, ["h1", "h2"]).filter(F.col("doc_id") > F.col("lo"))
                .groupBy("doc_id", "key1").agg(F.collect_list("starts").alias("at")))
     removed = _remove(covered.join(longer.select("doc_id", "key1", "z"), ["doc_id", "key1"])
