@@ -1,8 +1,9 @@
 """Exact set-similarity join on word shingles, using relations between sets.
 
 Index lists: a shingle's list holds the sets that have it in their prefix (the
-n - ceil(t n) + 1 first shingles in one fixed order, rarer ones first).  Lists
-are cut into blocks by set size; a set is entered in the next larger block only
+n - ceil(t n) + SHARED first shingles in one fixed order, rarer ones first).
+Sets that reach the threshold share SHARED lists at least, so a set that meets
+others in fewer lists is dropped at once.  Lists are cut into blocks by set size; a set is entered in the next larger block only
 from positions that can still reach the overlap needed there, so blocks are
 skipped by position.
 
@@ -34,6 +35,8 @@ from pathwise.llm.components import components
 
 #: The sketch: 2^20 counters, sent to the tasks as one byte each.
 SKETCH_BITS, SKETCH_PARTS = 20, 128
+#: Lists that two linked sets share at least (all their shingles if they have fewer).
+SHARED = 3
 _MASK = 0x2545F4914F6CDD1D
 
 
@@ -89,7 +92,7 @@ def _signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 s = shingle_set(text, k)
                 n = len(s)
                 key = xxhash.xxh3_128_digest(s.tobytes())
-                least = n - -(-num * n // den) + 1 if n else 0
+                least = n - -(-num * n // den) + SHARED if n else 0
                 prefix = s[np.lexsort((s, rarity[s >> shift]))[:least]]
                 row = (doc_id, n, int.from_bytes(key[:8], "little", signed=True),
                        int.from_bytes(key[8:], "little", signed=True), prefix.view(np.int64))
@@ -104,7 +107,8 @@ def _lists(heads: DataFrame, num: int, den: int) -> DataFrame:
     """token, block, doc_id, n, reach (largest partner the position allows), own."""
     step = math.log(den / num * 1.0001) if den > num else 1.0
     size = F.floor(F.log(F.col("n")) / step + 1e-12).cast("int")
-    reach = F.floor((F.col("n") - F.col("pos")) * F.lit((num + den) / num) + 1e-6).cast("int") - F.col("n")
+    # the first SHARED common shingles of two sets leave that many positions at least
+    reach = F.floor((F.col("n") - F.col("pos") + SHARED - 1) * F.lit((num + den) / num) + 1e-6).cast("int") - F.col("n")
     least = F.ceil(F.exp((F.col("size") + 1) * step) - 1e-6)  # smallest size of the next block
     entries = (heads.withColumn("size", size)
                .select("doc_id", "n", "size", F.posexplode("prefix").alias("pos", "token"))
@@ -131,7 +135,7 @@ def _texts(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             yield to_batch(out, schema)
 
     return (docs.join(wanted, "doc_id").select("doc_id", "text", "key1")
-            .mapInArrow(run, "doc_id bigint, z binary").dropDuplicates(["doc_id"]))
+            .mapInArrow(run, "doc_id bigint, z binary"))
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -176,7 +180,8 @@ def _with_family(lists: DataFrame, families: DataFrame) -> DataFrame:
 def _leader_pairs(rows: DataFrame, leaders: DataFrame) -> DataFrame:
     """Each document with the leader it shares most lists with."""
     met = (rows.join(leaders, ["token", "block"]).filter("family <> leader AND doc_id <> leader")
-           .groupBy("doc_id", "leader").agg(F.count(F.lit(1)).alias("shared")))
+           .groupBy("doc_id", "leader").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
+           .filter(f"shared >= least({SHARED}, n)"))  # others wait for the last step
     return met.groupBy("doc_id").agg(F.max_by("leader", "shared").alias("b")).select(
         F.col("doc_id").alias("a"), "b")
 
@@ -207,6 +212,9 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     met = stage(lists.groupBy("token", "block").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("hi"))
                 .filter("leader < hi").select("token", "block", "leader"), "jaccard-met")
     shared = stage(lists.join(met, ["token", "block"]), "jaccard-lists")
+    enough = (shared.groupBy("doc_id").agg(F.count_distinct("token").alias("lists"), F.max("n").alias("n"))
+              .filter(f"lists >= least({SHARED}, ceil({num} * n / {den}))").select("doc_id"))
+    shared = stage(shared.join(enough, "doc_id", "left_semi"), "jaccard-shared")
     wanted = shared.select("doc_id").distinct().join(heads.select("doc_id", "key1"), "doc_id")
     texts = stage(_texts(docs, wanted, k), "jaccard-texts")
 
@@ -255,8 +263,9 @@ def _family_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
             .filter("a_family <> b_family AND (b_family = main OR a_doc_id < b_doc_id) AND (a_own OR b_own) "
                     "AND a_n <= b_reach AND b_n <= a_reach "
                     f"AND {num} * greatest(a_n, b_n) <= {den} * least(a_n, b_n)")
-            .select(F.least("a_doc_id", "b_doc_id").alias("a"), F.greatest("a_doc_id", "b_doc_id").alias("b"))
-            .distinct())
+            .groupBy(F.least("a_doc_id", "b_doc_id").alias("a"), F.greatest("a_doc_id", "b_doc_id").alias("b"))
+            .agg(F.count_distinct("token").alias("shared"), F.min(F.least("a_n", "b_n")).alias("n"))
+            .filter(f"shared >= least({SHARED}, ceil({num} * n / {den}))").select("a", "b"))
 
 
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
