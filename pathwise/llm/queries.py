@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
+from pathwise.llm import decontaminate as op8
 from pathwise.llm import exact_dedup as op1
 from pathwise.llm import jaccard_join as op5
 from pathwise.llm import language_id as op2
@@ -35,6 +37,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9.secret_digest(op9.scan_secrets(table(spark, sf_dir, "documents")))
 
@@ -45,7 +51,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_substring_dedup": op6_substring_dedup,
+    "op8_decontamination": op8_decontamination,
     "op9_secret_scan": op9_secret_scan,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": op1.ORACLE}
