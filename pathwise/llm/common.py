@@ -90,6 +90,23 @@ def to_batch(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
         [pa.array(columns[f.name], type=f.type, from_pandas=False) for f in schema], schema=schema)
 
 
+_KEPT: dict[str, object] = {}
+
+
+def kept_in_worker(name: str, make: Callable[[], object]):
+    """A table that a Python worker keeps between tasks; one at a time, so
+    that the stages of a job do not add up in a worker's memory."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def free_worker() -> None:
+    """Drop what earlier stages kept in this Python worker."""
+    _KEPT.clear()
+
+
 # ---- words and hashes -----------------------------------------------------------
 def words(text: str, lower: bool = False) -> list[bytes]:
     """Runs of characters other than space and U+0009-000D, in UTF-8.  On

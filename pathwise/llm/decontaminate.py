@@ -17,6 +17,7 @@ size, so neither side's growth makes a broadcast grow.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -24,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathwise.llm.common import mix, shingle_hashes, slices, to_batch, word_hashes, words
+from pathwise.llm.common import kept_in_worker, mix, shingle_hashes, slices, to_batch, word_hashes, words
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 16
 #: Bound of what one block sends to the tasks.
 ITEMS_PER_BLOCK, CHARS_PER_BLOCK = 2_000, 8_000_000
 _PAIR_BITS = 22
+#: Shingles whose windows are compared together: bounds a task's memory.
+SHINGLES_AT_ONCE = 40_000
 _POPCOUNT = np.array([bin(i).count("1") for i in range(1 << 16)], np.uint8)
 
 
@@ -49,12 +52,17 @@ def pair_hashes(h: np.ndarray) -> np.ndarray:
     return mix(mix(h[:-1]) + h[1:])
 
 
-def simhash(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Fingerprints of rows of shingle hashes: the sign of each bit's weighted sum."""
-    bits = np.unpackbits(np.ascontiguousarray(hashes).view(np.uint8).reshape(*hashes.shape, 8),
-                         axis=-1, bitorder="little").astype(np.float32)
-    sums = np.einsum("...sb,...s->...b", bits * 2 - 1, weights.astype(np.float32))
-    return np.packbits(sums > 0, axis=-1, bitorder="little").view(np.uint64)[..., 0]
+def bit_sums(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Running sums, one row more than hashes, of each hash bit's weighted sign."""
+    bits = np.unpackbits(np.ascontiguousarray(hashes).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    out = np.zeros((len(hashes) + 1, 64))
+    np.cumsum((bits * 2.0 - 1.0) * weights[:, None], axis=0, out=out[1:])
+    return out
+
+
+def prints_of(sums: np.ndarray) -> np.ndarray:
+    """64-bit fingerprints: the sign of each bit's sum."""
+    return np.packbits(sums > 1e-9, axis=-1, bitorder="little").view(np.uint64)[..., 0]
 
 
 class BlockIndex:
@@ -89,6 +97,7 @@ class Benchmark:
     """One block of items.  ``frequency``: items that hold a shingle, if over one."""
 
     def __init__(self, items: list[tuple[int, str]], frequency: dict[int, int]):
+        self.key = uuid.uuid4().hex
         self.ids, self.shingles, self.weights = [], [], []
         pairs, sizes = [np.empty(0, np.uint64)], []
         for item_id, text in items:
@@ -110,7 +119,7 @@ class Benchmark:
         prints = []
         for i, (size, s) in enumerate(sizes):
             self.by_size.setdefault(size, []).append(i)
-            prints.append(simhash(s[None], self.weight(s)[None])[0])
+            prints.append(prints_of(bit_sums(s, self.weight(s))[-1:])[0])
         self.prints = np.array(prints, np.uint64)
         self.least = min(self.by_size, default=0)
         # a window of any size holds a least-sized one with at most so many foreign pairs
@@ -153,29 +162,51 @@ class Benchmark:
                 out.append((size, starts))
         return out
 
-    def matches(self, text: str) -> dict[int, tuple[float, int, int]]:
-        """Item index -> best (similarity, first word, words)."""
-        h = word_hashes(words(text, lower=True))
-        found: dict[int, tuple[float, int, int]] = {}
-        spots = self.windows(h)
-        if not spots:
-            return found
-        s = shingle_hashes(h, SHINGLE)
-        weights = self.weight(s)
-        for size, starts in spots:
-            w = min(size, len(h))
-            span = np.arange(w - SHINGLE + 1)
-            for at in range(0, len(starts), 1024):  # bounded memory
-                part = starts[at:at + 1024]
-                rows = part[:, None] + span
-                queries, items = self.index(size).near(simhash(s[rows], weights[rows]))
-                for q, i in zip(queries.tolist(), items.tolist()):
-                    item, start = self.by_size[size][i], int(part[q])
-                    value = self.similarity(s[start:start + len(span)].tolist(), item)
-                    if value >= SIMILARITY and (item not in found or value > found[item][0]):
-                        found[item] = (value, start, w)
+    def matches(self, texts: list[str]) -> dict[tuple[int, int], tuple[float, int, int]]:
+        """(text, item) indexes -> best (similarity, first word, words)."""
+        found: dict[tuple[int, int], tuple[float, int, int]] = {}
+        parts, held = [], 0
+        for t, text in enumerate(texts):
+            h = word_hashes(words(text, lower=True))
+            spots = self.windows(h)
+            if not spots:
+                continue
+            s = shingle_hashes(h, SHINGLE)
+            for lo in range(0, len(s), SHINGLES_AT_ONCE):  # a long text in parts
+                near = [(size, min(size, len(h)), starts[(starts >= lo) & (starts < lo + SHINGLES_AT_ONCE)] - lo)
+                        for size, starts in spots]
+                parts.append((t, lo, s[lo:lo + SHINGLES_AT_ONCE + max(self.by_size)], near))
+                held += len(parts[-1][2])
+                if held >= SHINGLES_AT_ONCE:
+                    self._compare(parts, found)
+                    parts, held = [], 0
+        if parts:
+            self._compare(parts, found)
         return found
 
+    def _compare(self, parts: list[tuple], found: dict[tuple[int, int], tuple[float, int, int]]) -> None:
+        s = np.concatenate([p[2] for p in parts])
+        sums = bit_sums(s, self.weight(s))
+        by_window: dict[tuple[int, int], list[tuple]] = {}
+        base = 0
+        for t, lo, own, near in parts:
+            for size, w, starts in near:
+                if len(starts):
+                    by_window.setdefault((size, w), []).append((t, lo, base, starts))
+            base += len(own)
+        for (size, w), spots in by_window.items():
+            n = w - SHINGLE + 1
+            at = np.concatenate([base + starts for _, _, base, starts in spots])
+            of = np.repeat([t for t, _, _, _ in spots], [len(starts) for _, _, _, starts in spots])
+            first = np.concatenate([lo + starts for _, lo, _, starts in spots])
+            queries, items = self.index(size).near(prints_of(sums[at + n] - sums[at]))
+            for q, x in zip(queries.tolist(), items.tolist()):
+                item = self.by_size[size][x]
+                value = self.similarity(s[at[q]:at[q] + n].tolist(), item)
+                key = (int(of[q]), item)
+                if value >= SIMILARITY and (key not in found or value > found[key][0]):
+                    found[key] = (value, int(first[q]), w)
+
 
 def _blocks(benchmark: DataFrame) -> list[Benchmark]:
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"),
@@ -230,12 +261,12 @@ def _search(block: Benchmark):
                         ("first_word", pa.int64()), ("n_words", pa.int64())])
 
     def run(batches):
+        index = kept_in_worker(f"benchmark-{block.key}", lambda: block)  # with the tables it has built
         for ids, texts in slices(batches):
             out = {f.name: [] for f in schema}
-            for doc_id, text in zip(ids, texts):
-                for item, (value, start, w) in block.matches(text).items():
-                    for values, v in zip(out.values(), (doc_id, block.ids[item], value, start, w)):
-                        values.append(v)
+            for (t, item), (value, start, w) in index.matches(texts).items():
+                for values, v in zip(out.values(), (ids[t], index.ids[item], value, start, w)):
+                    values.append(v)
             yield to_batch(out, schema)
 
     return run

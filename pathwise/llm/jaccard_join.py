@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathwise.llm.common import shingle_hashes, slices, stage, to_batch, word_hashes, words
+from pathwise.llm.common import free_worker, shingle_hashes, slices, stage, to_batch, word_hashes, words
 from pathwise.llm.components import components
 
 #: The sketch: 2^20 counters, sent to the tasks as one byte each.
@@ -52,6 +52,7 @@ def _sketch(docs: DataFrame, k: int) -> np.ndarray:
     shift = np.uint64(64 - SKETCH_BITS)
 
     def count(batches):
+        free_worker()
         total = np.zeros(1 << SKETCH_BITS, np.uint32)
         for _, texts in slices(batches):
             found = [(shingle_set(t, k) >> shift).astype(np.int64) for t in texts]

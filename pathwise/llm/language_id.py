@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pathwise.llm.common import slices, stage, to_batch
+from pathwise.llm.common import free_worker, slices, stage, to_batch
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
@@ -174,6 +174,7 @@ def _score(evidence: DataFrame, model: TextModel) -> DataFrame:
         ("loglik", pa.list_(pa.float64())), ("post", pa.list_(pa.float64()))])
 
     def run(batches):
+        free_worker()
         for ids, texts, is_html, declared, host, domain, suffix, key in slices(batches):
             ns, lls, posts = [], [], []
             for t, markup in zip(texts, is_html):

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathwise.llm.common import slices, to_batch
+from pathwise.llm.common import kept_in_worker, slices, to_batch
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -38,9 +38,6 @@ NOT_SPACE = regex.compile("[\x1c-\x1f]")
 # Fixed value, from the tokenizer file: what it encodes by itself, after NFC and lower case.
 PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\p{{N}}]+")
 
-_ENCODERS: dict[str, "WordEncoder"] = {}
-
-
 def default_tokenizer_path() -> str:
     import public_tokenizers
     return public_tokenizers.path(TOKENIZER)
@@ -120,9 +117,7 @@ def encoder(path: str | None) -> WordEncoder:
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
     path = path or default_tokenizer_path()
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return kept_in_worker(f"encoder-{path}", lambda: WordEncoder(path))
 
 
 class HarmonicPacker:

@@ -11,9 +11,11 @@ from pathwise.llm import decontaminate as op8
 from pathwise.llm import exact_dedup as op1
 from pathwise.llm import jaccard_join as op5
 from pathwise.llm import language_id as op2
+from pathwise.llm import line_dedup as op10
 from pathwise.llm import packing as op3
 from pathwise.llm import secret_scan as op9
 from pathwise.llm import substring_dedup as op6
+from pathwise.llm import warc as op4
 from pathwise.llm.common import table
 
 
@@ -29,6 +31,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3.pack_documents(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5.jaccard_groups(table(spark, sf_dir, "documents"))
 
@@ -45,14 +51,20 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9.secret_digest(op9.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
     "op3_packing": op3_packing,
+    "op4_warc": op4_warc,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_substring_dedup": op6_substring_dedup,
     "op8_decontamination": op8_decontamination,
     "op9_secret_scan": op9_secret_scan,
+    "op10_line_dedup": op10_line_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
