@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pathwise.llm import decontaminate as op8
 from pathwise.llm import exact_dedup as op1
+from pathwise.llm import html_wrapper as op7
 from pathwise.llm import jaccard_join as op5
 from pathwise.llm import language_id as op2
 from pathwise.llm import line_dedup as op10
@@ -43,6 +44,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_html_extraction": op7_html_extraction,
     "op8_decontamination": op8_decontamination,
     "op9_secret_scan": op9_secret_scan,
     "op10_line_dedup": op10_line_dedup,
