@@ -81,8 +81,12 @@ def slices(batches: Iterable[pa.RecordBatch], text: int = 1) -> Iterator[list[li
             yield out
 
 
-def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand rows to Python some megabytes at a time, whatever the length of
+    texts, unless the session itself sets a bound."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(8 << 20))
 
 
 def to_batch(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:

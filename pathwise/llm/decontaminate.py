@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathwise.llm.common import kept_in_worker, mix, shingle_hashes, slices, to_batch, word_hashes, words
+from pathwise.llm.common import bounded_batches, kept_in_worker, mix, shingle_hashes, slices, to_batch, word_hashes, words
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 16
 #: Bound of what one block sends to the tasks.
-ITEMS_PER_BLOCK, CHARS_PER_BLOCK = 2_000, 8_000_000
+ITEMS_PER_BLOCK, CHARS_PER_BLOCK = 1_000, 8_000_000
 _PAIR_BITS = 22
 #: Shingles whose windows are compared together: bounds a task's memory.
-SHINGLES_AT_ONCE = 40_000
+SHINGLES_AT_ONCE, QUERIES_AT_ONCE = 40_000, 8_192
 _POPCOUNT = np.array([bin(i).count("1") for i in range(1 << 16)], np.uint8)
 
 
@@ -66,7 +66,7 @@ def prints_of(sums: np.ndarray) -> np.ndarray:
 
 
 class BlockIndex:
-    """Fingerprints of one window size; ``near`` gives the items within the radius."""
+    """Fingerprints of a block of items; ``near`` gives the items within the radius."""
 
     def __init__(self, prints: np.ndarray):
         self.prints = prints
@@ -74,23 +74,27 @@ class BlockIndex:
         values = np.arange(1 << 16, dtype=np.uint16)
         self.tables = []
         for block in range(4):
-            close = _POPCOUNT[values[:, None] ^ parts[None, :, block]] <= RADIUS // 4
-            self.tables.append((np.concatenate(([0], np.cumsum(close.sum(axis=1)))), np.nonzero(close)[1]))
+            held, counts = [], []
+            for lo in range(0, len(values), 4096):  # bounded memory
+                close = _POPCOUNT[values[lo:lo + 4096, None] ^ parts[None, :, block]] <= RADIUS // 4
+                counts.append(close.sum(axis=1))
+                held.append(np.nonzero(close)[1].astype(np.int32))
+            self.tables.append((np.concatenate(([0], np.cumsum(np.concatenate(counts)))), np.concatenate(held)))
 
     def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(query, item) index pairs with at most RADIUS differing bits."""
         parts = prints.view(np.uint16).reshape(-1, 4)
-        queries, items = [], []
+        found = []
         for block, (starts, held) in enumerate(self.tables):
             lo, hi = starts[parts[:, block]], starts[parts[:, block].astype(np.int64) + 1]
             n = hi - lo
             q = np.repeat(np.arange(len(prints)), n)
-            queries.append(q)
-            items.append(held[np.arange(len(q)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)])
-        pairs = np.unique(np.stack([np.concatenate(queries), np.concatenate(items)]), axis=1)
-        apart = (prints[pairs[0]] ^ self.prints[pairs[1]]).view(np.uint16).reshape(-1, 4)
-        close = _POPCOUNT[apart].sum(axis=1) <= RADIUS
-        return pairs[0][close], pairs[1][close]
+            items = held[np.arange(len(q)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
+            apart = (prints[q] ^ self.prints[items]).view(np.uint16).reshape(-1, 4)
+            close = _POPCOUNT[apart].sum(axis=1) <= RADIUS
+            found.append(q[close] * len(self.prints) + items[close])
+        pairs = np.unique(np.concatenate(found))
+        return pairs // len(self.prints), pairs % len(self.prints)
 
 
 class Benchmark:
@@ -125,7 +129,8 @@ class Benchmark:
         # a window of any size holds a least-sized one with at most so many foreign pairs
         self.least_allowed = max((math.floor(_unknown_allowed(w) / (w // self.least)) for w in self.by_size),
                                  default=0)
-        self.indexes: dict[int, BlockIndex] = {}
+        self.sizes = np.array([size for size, _ in sizes], np.int64)
+        self.index: BlockIndex | None = None
 
     def weight(self, s: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.known, s), len(self.known) - 1)
@@ -140,11 +145,6 @@ class Benchmark:
         every += sum(c for x, c in mine.items() if x not in own)
         return both / every
 
-    def index(self, size: int) -> BlockIndex:
-        if size not in self.indexes:
-            self.indexes[size] = BlockIndex(self.prints[self.by_size[size]])
-        return self.indexes[size]
-
     def windows(self, h: np.ndarray) -> list[tuple[int, np.ndarray]]:
         """(window words, starts) of the windows that can reach the similarity."""
         n = len(h)
@@ -187,25 +187,27 @@ class Benchmark:
     def _compare(self, parts: list[tuple], found: dict[tuple[int, int], tuple[float, int, int]]) -> None:
         s = np.concatenate([p[2] for p in parts])
         sums = bit_sums(s, self.weight(s))
-        by_window: dict[tuple[int, int], list[tuple]] = {}
-        base = 0
+        if self.index is None:
+            self.index = BlockIndex(self.prints)
+        base, spots = 0, []
         for t, lo, own, near in parts:
-            for size, w, starts in near:
-                if len(starts):
-                    by_window.setdefault((size, w), []).append((t, lo, base, starts))
+            spots += [(t, lo - base, size, w, base + starts) for size, w, starts in near if len(starts)]
             base += len(own)
-        for (size, w), spots in by_window.items():
-            n = w - SHINGLE + 1
-            at = np.concatenate([base + starts for _, _, base, starts in spots])
-            of = np.repeat([t for t, _, _, _ in spots], [len(starts) for _, _, _, starts in spots])
-            first = np.concatenate([lo + starts for _, lo, _, starts in spots])
-            queries, items = self.index(size).near(prints_of(sums[at + n] - sums[at]))
-            for q, x in zip(queries.tolist(), items.tolist()):
-                item = self.by_size[size][x]
-                value = self.similarity(s[at[q]:at[q] + n].tolist(), item)
-                key = (int(of[q]), item)
+        if not spots:
+            return
+        lengths = [len(at) for *_, at in spots]
+        text, shift, sizes, w = (np.repeat([spot[i] for spot in spots], lengths) for i in range(4))
+        at = np.concatenate([at for *_, at in spots])
+        n = w - SHINGLE + 1
+        for lo in range(0, len(at), QUERIES_AT_ONCE):
+            part = slice(lo, lo + QUERIES_AT_ONCE)
+            queries, items = self.index.near(prints_of(sums[at[part] + n[part]] - sums[at[part]]))
+            same = self.sizes[items] == sizes[part][queries]
+            for q, item in zip((queries[same] + lo).tolist(), items[same].tolist()):
+                value = self.similarity(s[at[q]:at[q] + n[q]].tolist(), item)
+                key = (int(text[q]), item)
                 if value >= SIMILARITY and (key not in found or value > found[key][0]):
-                    found[key] = (value, int(first[q]), w)
+                    found[key] = (value, int(at[q] + shift[q]), int(w[q]))
 
 
 def _blocks(benchmark: DataFrame) -> list[Benchmark]:
@@ -247,6 +249,7 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items count once; rows that repeat an id are searched each.  Other columns
     are ignored.
     """
+    bounded_batches(df.sparkSession)
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     out = None
     for block in _blocks(benchmark):
