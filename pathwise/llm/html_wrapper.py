@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathwise.llm.common import free_worker, slices, stage, to_batch
+from pathwise.llm.common import bounded_batches, free_worker, slices, stage, to_batch
 
 # HTML element names by their role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -343,6 +343,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     under the empty host.  Rows that repeat are extracted each.  Nothing is
     cut off.  Other columns are ignored.
     """
+    bounded_batches(pages.sparkSession)
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),

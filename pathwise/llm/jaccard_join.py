@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathwise.llm.common import free_worker, shingle_hashes, slices, stage, to_batch, word_hashes, words
+from pathwise.llm.common import bounded_batches, free_worker, shingle_hashes, slices, stage, to_batch, word_hashes, words
 from pathwise.llm.components import components
 
 #: The sketch: 2^20 counters, sent to the tasks as one byte each.
@@ -200,6 +200,7 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeat an id and a text give equal rows.  A row with a null id links with
     nothing and has a null component.  Other columns are ignored.
     """
+    bounded_batches(df.sparkSession)
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"),
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     signed = stage(_signatures(docs, k, num, den), "jaccard-signatures")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pathwise.llm.common import free_worker, slices, stage, to_batch
+from pathwise.llm.common import bounded_batches, free_worker, slices, stage, to_batch
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
@@ -139,6 +139,7 @@ def identify(evidence: DataFrame, model: TextModel) -> DataFrame:
     that share an id.  Accepted: a language other than none, with at least
     MIN_PROBABILITY, seen in the text.
     """
+    bounded_batches(evidence.sparkSession)
     spark, langs = evidence.sparkSession, model.languages
     k = len(langs)
     scored = stage(_score(evidence, model), "language-scores")

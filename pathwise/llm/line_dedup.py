@@ -8,7 +8,8 @@ EDITS + 1 segments are indexed under (segment, length, text); a line at most
 EDITS longer probes, for each indexed length, the few substrings that a common
 segment can be (the start is bounded by the edits left on either side).  Two
 lines within EDITS edits agree in one segment at least, so none is missed.
-Candidates are verified by the edit distance within a band of EDITS.  All is
+Candidates are verified by the edit distance within a band of EDITS (Spark's
+own; a bit-parallel one cannot be written in DataFrame functions).  All is
 DataFrame functions; hashes only choose candidates, texts decide.
 """
 
@@ -22,6 +23,8 @@ from pathwise.llm.common import stage
 EDITS = 2
 #: Shorter lines are compared for equality only.
 LEAST_CHARS = 20
+#: Letters whose counts are compared before the distance is.
+BAG = "etaoinsr"
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -43,7 +46,8 @@ def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
 
 
 def _key(i: int, length: Column, start: Column, size: Column) -> Column:
-    return F.xxhash64(F.lit(i), length, F.substring(F.col("line"), start, size))
+    # four bytes a character: the place of a substring is known without a scan
+    return F.xxhash64(F.lit(i), length, F.substring(F.col("wide"), start * 4 - 3, size * 4))
 
 
 def index_keys(edits: int) -> Column:
@@ -61,29 +65,41 @@ def probe_keys(edits: int) -> Column:
             low = max(-i, gap - (edits - i))
             high = min(i, gap + (edits - i))
             keys += [_key(i, length, start + shift, size) for shift in range(low, high + 1)]
-    return F.array_distinct(F.array(*keys))
+    return F.array(*keys)
 
 
 def near_lines(lines: DataFrame, edits: int) -> DataFrame:
-    """Lines (of distinct ``lines``: line, id, first) that an earlier line is near to."""
-    long = (lines.withColumn("length", F.char_length("line")).filter(F.col("length") >= LEAST_CHARS)
-            .select("id", "line", "length"))
+    """Lines (of distinct ``lines``: line, id, first) that an earlier line is near to.
+
+    The lines that meet another under a key are found first, by semi-joins of
+    narrow rows; only those are compared, inside the join, so that no pair is
+    written that is not near.
+    """
+    long = (lines.filter(F.char_length("line") >= LEAST_CHARS)
+            .select("id", F.char_length("line").alias("length"), F.encode("line", "UTF-32").alias("wide")))
     held = long.select("id", F.explode(index_keys(edits)).alias("key"))
-    probes = long.select(F.col("id").alias("probe"), F.explode(probe_keys(edits)).alias("key"))
-    pairs = stage(held.join(probes, "key").filter("id <> probe")
-                  .select(F.least("id", "probe").alias("a"), F.greatest("id", "probe").alias("b"))
-                  .distinct(), "line-pairs")
-    sides = lines.select("id", "line", "first")
-    a = sides.select(F.col("id").alias("a"), F.col("line").alias("line_a"), F.col("first").alias("first_a"))
-    b = sides.select(F.col("id").alias("b"), F.col("line").alias("line_b"), F.col("first").alias("first_b"))
-    # two lines may share an id: the join then brings both, and the texts decide
-    apart = F.levenshtein("line_a", "line_b", edits)
-    return (pairs.join(a, "a").join(b, "b").filter((apart >= 0) & (F.col("line_a") != F.col("line_b")))
-            .select(F.when(F.col("first_a") < F.col("first_b"), F.struct("b", "first_b")
-                           .cast("struct<id:bigint,first:struct<doc_id:bigint,line_no:int>>"))
-                    .otherwise(F.struct("a", "first_a")
-                               .cast("struct<id:bigint,first:struct<doc_id:bigint,line_no:int>>")).alias("x"))
-            .select("x.id", "x.first").distinct())
+    probes = long.select("id", F.explode(probe_keys(edits)).alias("key"))
+
+    def meeting(own: DataFrame, other: DataFrame) -> DataFrame:
+        # both semi-joins read the same two exchanges
+        own, other = own.alias("own"), other.alias("other")
+        return own.join(other, (F.col("own.key") == F.col("other.key")) & (F.col("own.id") != F.col("other.id")),
+                        "left_semi")
+
+    met = stage(meeting(held, probes).withColumn("held", F.lit(True))
+                .unionByName(meeting(probes, held).withColumn("held", F.lit(False))), "line-keys")
+    counts = [(F.octet_length("line") - F.octet_length(F.replace("line", F.lit(c)))).alias(f"n_{c}") for c in BAG]
+    texts = met.select("id").distinct().join(lines, "id").select("id", "line", "first", *counts)
+    rows = stage(met.join(texts, "id"), "line-texts")
+    a = rows.filter("held").select("key", *[F.col(c).alias(f"a_{c}") for c in texts.columns])
+    b = rows.filter("NOT held").select("key", *[F.col(c).alias(f"b_{c}") for c in texts.columns])
+    # an edit changes two letter counts at most: a cheap test before the distance
+    bag = " + ".join(f"abs(a_n_{c} - b_n_{c})" for c in BAG)
+    near = (a.join(b, (a["key"] == b["key"]) & (F.col("a_id") != F.col("b_id")) & F.expr(f"{bag} <= {2 * edits}")
+                   & (F.levenshtein("a_line", "b_line", edits) >= 0)))
+    later = F.col("a_first") > F.col("b_first")
+    return (near.select(F.when(later, F.col("a_id")).otherwise(F.col("b_id")).alias("id"),
+                        F.greatest("a_first", "b_first").alias("first")).distinct())
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS) -> DataFrame:
@@ -93,8 +109,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Lines are cut at \\n and compared without blanks, tabs and \\r at their
     ends; blank lines stay.  Null text is one blank line.  A null id sorts
-    before all others.  Rows that repeat an id are one document.  Other
-    columns are ignored.
+    before all others.  Rows that repeat an id make one row, with the counts of
+    all; other columns are ignored.
     """
     spoken = _lines(docs, id_col, text_col)
     distinct = stage(spoken.filter("line <> ''").groupBy("line")
@@ -114,7 +130,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.sum(F.col("spoken").cast("bigint")).alias("n_lines"),
         F.sum(copy.cast("bigint")).alias("n_copies"),
         F.sum((gone & ~copy).cast("bigint")).alias("n_near"),
-        F.sort_array(F.collect_list(F.when(gone, F.col("line_no")))).alias("dropped"))
+        F.sort_array(F.array_distinct(F.collect_list(F.when(gone, F.col("line_no"))))).alias("dropped"))
 
 
 def drop_lines(docs: DataFrame, result: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathwise.llm.common import kept_in_worker, slices, to_batch
+from pathwise.llm.common import bounded_batches, kept_in_worker, slices, to_batch
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -187,6 +187,7 @@ def pack_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     id stays null.  ``tokenizer_path`` must be readable on every executor
     (default: the installed file).  Other columns of ``df`` are ignored.
     """
+    bounded_batches(df.sparkSession)
     fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
               ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()),
               ("offset", pa.int64())] + [("ids", pa.list_(pa.int32()))] * with_ids

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathwise.llm.common import slices, to_batch
+from pathwise.llm.common import bounded_batches, slices, to_batch
 
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
                     rb"""([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE)
@@ -133,6 +133,7 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     has no spans; rows that repeat an id are scanned each; other columns are
     ignored.
     """
+    bounded_batches(df.sparkSession)
     span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())])
     schema = pa.schema([("doc_id", pa.int64()), ("spans", pa.list_(span))])
 

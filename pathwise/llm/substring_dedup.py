@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathwise.llm.common import mix, slices, stage, to_batch, window_hashes, word_hashes, words
+from pathwise.llm.common import bounded_batches, mix, slices, stage, to_batch, window_hashes, word_hashes, words
 
 WINDOW = 50
 _SECOND_BASE = 0xA0761D6478BD642F
@@ -137,6 +137,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     nothing.  Rows that repeat an id are one document for that comparison.
     Texts shorter than a window stay whole.  Other columns are ignored.
     """
+    bounded_batches(df.sparkSession)
     first = max(1, window // 2)
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"),
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))

@@ -28,7 +28,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathwise.llm.common import new_dir, slices, stage, to_batch
+from pathwise.llm.common import bounded_batches, new_dir, slices, stage, to_batch
 
 SHARD_BYTES, ROLL_BYTES, BINS = 16 << 20, 4 << 20, 1 << 16
 DATE = "2024-01-01T00:00:00Z"
@@ -160,6 +160,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, least_bytes: int
     characters not allowed in a URI are percent-encoded.  Other columns are
     ignored.
     """
+    bounded_batches(pages.sparkSession)
     spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("payload"))
