@@ -105,18 +105,21 @@ def _signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
 
 def _lists(heads: DataFrame, num: int, den: int) -> DataFrame:
-    """token, block, doc_id, n, reach (largest partner the position allows), own."""
+    """token, block, doc_id, n, own, and strict: the largest partner that the
+    position allows for a first common shingle, null where it can't be one."""
     step = math.log(den / num * 1.0001) if den > num else 1.0
     size = F.floor(F.log(F.col("n")) / step + 1e-12).cast("int")
     # the first SHARED common shingles of two sets leave that many positions at least
     reach = F.floor((F.col("n") - F.col("pos") + SHARED - 1) * F.lit((num + den) / num) + 1e-6).cast("int") - F.col("n")
+    strict = F.floor((F.col("n") - F.col("pos")) * F.lit((num + den) / num) + 1e-6).cast("int") - F.col("n")
     least = F.ceil(F.exp((F.col("size") + 1) * step) - 1e-6)  # smallest size of the next block
     entries = (heads.withColumn("size", size)
                .select("doc_id", "n", "size", F.posexplode("prefix").alias("pos", "token"))
-               .withColumn("reach", reach)
+                  .withColumn("reach", reach)
+               .withColumn("strict", F.when(F.col("pos") <= F.col("n") - F.ceil(F.lit(num) * F.col("n") / den), strict))
                .withColumn("block", F.explode(F.when(F.col("reach") >= least, F.array("size", F.col("size") + 1))
                                               .otherwise(F.array("size")))))
-    return entries.select("token", "block", "doc_id", "n", "reach",
+    return entries.select("token", "block", "doc_id", "n", "strict",
                           (F.col("block") == F.col("size")).alias("own"))
 
 
@@ -238,7 +241,7 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = _with_family(shared.drop("leader").join(leaders.select("token", "block"), ["token", "block"], "left_semi"),
                         families)
     rows = stage(rows, "jaccard-rest")
-    pairs = stage(_family_pairs(rows, num, den), "jaccard-pairs")
+    pairs = stage(_family_pairs(rows, heads, num, den), "jaccard-pairs")
     links = links.unionByName(_linked(pairs, texts, k, num, den))
     found = components(links).select(F.col("node").alias("class_id"), "component")
 
@@ -248,26 +251,37 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     .alias("component_id")))
 
 
-def _family_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of different families that meet in a block and can reach the
-    threshold.  A block's largest family is only ever the other side, so a
-    family's members are not set against each other."""
+def _family_pairs(rows: DataFrame, heads: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of different families that can reach the threshold.
+
+    They are found by their first common shingle, which lies before the last
+    SHARED - 1 (the most frequent) of either prefix, and kept if their prefixes
+    share SHARED.  A block's largest family is only ever the other side, so a
+    family's members are not set against each other.
+    """
+    rows = rows.filter("strict IS NOT NULL")
     sizes = rows.groupBy("token", "block", "family").agg(F.count(F.lit(1)).alias("members"))
     blocks = stage(sizes.groupBy("token", "block")
                    .agg(F.max_by("family", "members").alias("main"), F.count(F.lit(1)).alias("families"))
                    .filter("families > 1").drop("families"), "jaccard-blocks")
-    held = rows.join(blocks, ["token", "block"])
-    a = held.filter("family <> main").select(
-        "token", "block", *[F.col(c).alias(f"a_{c}") for c in ("doc_id", "n", "reach", "own", "family")])
-    b = held.select("token", "block", "main",
-                    *[F.col(c).alias(f"b_{c}") for c in ("doc_id", "n", "reach", "own", "family")])
-    return (a.join(b, ["token", "block"])
-            .filter("a_family <> b_family AND (b_family = main OR a_doc_id < b_doc_id) AND (a_own OR b_own) "
-                    "AND a_n <= b_reach AND b_n <= a_reach "
-                    f"AND {num} * greatest(a_n, b_n) <= {den} * least(a_n, b_n)")
-            .groupBy(F.least("a_doc_id", "b_doc_id").alias("a"), F.greatest("a_doc_id", "b_doc_id").alias("b"))
-            .agg(F.count_distinct("token").alias("shared"), F.min(F.least("a_n", "b_n")).alias("n"))
-            .filter(f"shared >= least({SHARED}, ceil({num} * n / {den}))").select("a", "b"))
+    held = stage(rows.join(blocks, ["token", "block"]), "jaccard-held")
+    sides = ("doc_id", "n", "strict", "own", "family")
+    a = held.filter("family <> main").select("token", "block", *[F.col(c).alias(f"a_{c}") for c in sides])
+    b = held.select("token", "block", "main", *[F.col(c).alias(f"b_{c}") for c in sides])
+    a, b = a.alias("a"), b.alias("b")
+    met = (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.block") == F.col("b.block")) & F.expr(
+        "a_family <> b_family AND (b_family = main OR a_doc_id < b_doc_id) AND (a_own OR b_own) "
+        "AND a_n <= b_strict AND b_n <= a_strict "
+        f"AND {num} * greatest(a_n, b_n) <= {den} * least(a_n, b_n)"))
+           .select(F.least("a_doc_id", "b_doc_id").alias("a"), F.greatest("a_doc_id", "b_doc_id").alias("b"))
+           .distinct())
+    prefixes = heads.select("doc_id", "n", "prefix")
+    pa_, pb = (prefixes.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"),
+                               F.col("prefix").alias(f"prefix_{c}")) for c in ("a", "b"))
+    return (stage(met, "jaccard-candidates").join(pa_, "a").join(pb, "b")
+            .filter(F.size(F.array_intersect("prefix_a", "prefix_b"))
+                    >= F.expr(f"least({SHARED}, ceil({num} * least(n_a, n_b) / {den}))"))
+            .select("a", "b").distinct())
 
 
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
