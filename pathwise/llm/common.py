@@ -51,7 +51,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     again instead of repeating the work above them.
     """
     path = new_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -214,20 +214,23 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
              .dropDuplicates(["doc_id", *keys]))
     lists = _lists(heads, num, den)
     # written, so that AQE can split the join at a hot list
-    met = stage(lists.groupBy("token", "block").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("hi"))
-                .filter("leader < hi").select("token", "block", "leader"), "jaccard-met")
+    met = stage(lists.groupBy("token", "block").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+                .filter("lo < hi").select("token", "block"), "jaccard-met")
     shared = stage(lists.join(met, ["token", "block"]), "jaccard-lists")
     enough = (shared.groupBy("doc_id").agg(F.count_distinct("token").alias("lists"), F.max("n").alias("n"))
-              .filter(f"lists >= least({SHARED}, ceil({num} * n / {den}))").select("doc_id"))
-    shared = stage(shared.join(enough, "doc_id", "left_semi"), "jaccard-shared")
+              .filter(f"lists >= least({SHARED}, ceil({num} * n / {den}))").select("doc_id", "lists"))
+    shared = stage(shared.join(enough, "doc_id"), "jaccard-shared")
     wanted = shared.select("doc_id").distinct().join(heads.select("doc_id", "key1"), "doc_id")
     texts = stage(_texts(docs, wanted, k), "jaccard-texts")
 
+    # an original is in more lists than its copies, whose changed shingles are their own
+    leaders = stage(shared.groupBy("token", "block").agg(F.max_by("doc_id", "lists").alias("leader")),
+                    "jaccard-leaders")
     own = shared.withColumn("family", F.col("doc_id"))
-    links = stage(_linked(_leader_pairs(own.drop("leader"), met), texts, k, num, den), "jaccard-links")
+    links = stage(_linked(_leader_pairs(own, leaders), texts, k, num, den), "jaccard-links")
     families = components(links)
 
-    rows = stage(_with_family(shared.drop("leader"), families), "jaccard-families")
+    rows = stage(_with_family(shared, families), "jaccard-families")
     mask = F.lit(_MASK).cast("bigint")
     leaders = stage(rows.groupBy("token", "block")
                     .agg(F.min("family").alias("lo"), F.max("family").alias("hi"),
@@ -238,7 +241,7 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     links = links.unionByName(more)
     families = components(links)
 
-    rows = _with_family(shared.drop("leader").join(leaders.select("token", "block"), ["token", "block"], "left_semi"),
+    rows = _with_family(shared.join(leaders.select("token", "block"), ["token", "block"], "left_semi"),
                         families)
     rows = stage(rows, "jaccard-rest")
     pairs = stage(_family_pairs(rows, heads, num, den), "jaccard-pairs")
