@@ -103,7 +103,7 @@ def _latest_answer_join(r: MonthlyRefresh) -> DataFrame:
 
 def _contacts_in_period(r: MonthlyRefresh) -> DataFrame:
     ref = latest_only(r.src.referral, r.src.submission_register)
-    return (ref.join(r.digital_contacts.drop("latest_rank"), ["pathway_id", "unique_month_id"])
+    return (ref.join(A.digital_contact_rows(r.src), ["pathway_id", "unique_month_id"])
             .filter(F.col("end_date").between(F.col("period_start"), F.col("period_end")))
             .select("pathway_id", "unique_month_id", "start_date", "end_date", "minutes", "product"))
 
@@ -172,7 +172,7 @@ def _question_answer_labels(r: MonthlyRefresh) -> DataFrame:
 
 
 def _time_recorded_flag(r: MonthlyRefresh) -> DataFrame:
-    return r.digital_contacts.select("pathway_id", "start_date", "end_date", "minutes",
+    return A.digital_contact_rows(r.src).select("pathway_id", "start_date", "end_date", "minutes",
                                      L.time_recorded_flag("minutes").alias("time_recorded"))
 
 
@@ -193,7 +193,7 @@ def _conditional_distinct(s: Sources) -> DataFrame:
 
 
 def _non_null_count(r: MonthlyRefresh) -> DataFrame:
-    return r.digital_contacts.groupBy("product").agg(F.count("minutes").alias("n_minutes"),
+    return A.digital_contact_rows(r.src).groupBy("product").agg(F.count("minutes").alias("n_minutes"),
                                                      F.count(F.lit(1)).alias("n_rows"))
 
 

@@ -128,7 +128,7 @@ FROM (SELECT o_orderkey AS pathway_id, o_custkey, o_orderstatus, c_nationkey, d,
       FROM {{dated}}) r""",
 
     "digital_log": """
-SELECT l_orderkey AS pathway_id,
+SELECT CASE WHEN l_orderkey % 4 = 0 THEN -l_orderkey ELSE l_orderkey END AS pathway_id,
        l_orderkey * 10 + l_linenumber AS log_id,
        ym * 10 + a AS submission_id,
        a AS audit_id,
@@ -146,25 +146,22 @@ SELECT l_orderkey AS pathway_id,
             ELSE CAST(l_quantity AS INT) END AS minutes,
        d + CAST(l_partkey % 40 - 20 AS INT) AS start_date,
        d + CAST(l_partkey % 40 - 20 + l_linenumber % 3 AS INT) AS end_date
-FROM {lines}
-WHERE l_orderkey % 4 <> 0""",
+FROM {lines}""",
 
     "care_contact": """
-SELECT l_orderkey AS pathway_id,
+SELECT CASE WHEN l_orderkey % 3 = 0 THEN -l_orderkey ELSE l_orderkey END AS pathway_id,
        ym * 10 + a AS submission_id,
        a AS audit_id,
        l_orderkey * 1000000 + ym AS unique_month_id,
        d + CAST(l_partkey % 30 - 15 AS INT) AS contact_date
-FROM {lines}
-WHERE l_orderkey % 3 <> 0""",
+FROM {lines}""",
 
     "care_activity": """
 SELECT l_orderkey AS pathway_id,
        ym * 10 + a AS submission_id,
        a AS audit_id,
        CASE WHEN l_suppkey % 9 = 0 THEN NULL ELSE CAST(l_quantity AS INT) END AS minutes
-FROM {lines}
-WHERE l_linenumber <= 3""",
+FROM {lines}""",
 
     "assessment": f"""
 SELECT CAST((event_id - event_id % 4) / 4 AS BIGINT) AS pathway_id,

@@ -23,6 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pathwise-checkpoints-"))
         d = spark.sparkContext.getCheckpointDir()
     return d.rstrip("/")
