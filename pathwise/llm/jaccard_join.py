@@ -38,6 +38,9 @@ SKETCH_BITS, SKETCH_PARTS = 20, 128
 #: Lists that two linked sets share at least (all their shingles if they have fewer).
 SHARED = 3
 _MASK = 0x2545F4914F6CDD1D
+#: 64-bit words of a set's parity bits.
+PARITY_WORDS = 8
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shingle_set(text: str, k: int) -> np.ndarray:
@@ -45,6 +48,13 @@ def shingle_set(text: str, k: int) -> np.ndarray:
     return np.unique(shingle_hashes(word_hashes(words(text, lower=True)), k))
 
 
+def parity_bits(s: np.ndarray) -> np.ndarray:
+    """512 bits, each the parity of the number of shingles it stands for: two
+    sets differ in as many shingles at least as their bits differ."""
+    slot = ((s * _SPREAD) >> np.uint64(55)).astype(np.int64)
+    return np.packbits((np.bincount(slot, minlength=64 * PARITY_WORDS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _sketch(docs: DataFrame, k: int) -> np.ndarray:
     """One byte per counter: twice the binary logarithm of its count."""
     schema = pa.schema([("part", pa.int32()), ("counts", pa.binary())])
@@ -80,11 +90,12 @@ def _sketch(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """doc_id, size, set key, prefix in the common order."""
+    """doc_id, size, set key, prefix in the common order, parity bits."""
     rarity = _sketch(docs, k)
     shift = np.uint64(64 - SKETCH_BITS)
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("key1", pa.int64()),
-                        ("key2", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+                        ("key2", pa.int64()), ("prefix", pa.list_(pa.int64())),
+                        ("bits", pa.list_(pa.int64()))])
 
     def run(batches):
         for ids, texts in slices(batches):
@@ -96,12 +107,13 @@ def _signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 least = n - -(-num * n // den) + SHARED if n else 0
                 prefix = s[np.lexsort((s, rarity[s >> shift]))[:least]]
                 row = (doc_id, n, int.from_bytes(key[:8], "little", signed=True),
-                       int.from_bytes(key[8:], "little", signed=True), prefix.view(np.int64))
+                       int.from_bytes(key[8:], "little", signed=True), prefix.view(np.int64), parity_bits(s))
                 for values, v in zip(out.values(), row):
                     values.append(v)
             yield to_batch(out, schema)
 
-    return docs.mapInArrow(run, "doc_id bigint, n int, key1 bigint, key2 bigint, prefix array<bigint>")
+    return docs.mapInArrow(run, "doc_id bigint, n int, key1 bigint, key2 bigint, prefix array<bigint>, "
+                               "bits array<bigint>")
 
 
 def _lists(heads: DataFrame, num: int, den: int) -> DataFrame:
@@ -248,7 +260,7 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     links = links.unionByName(_linked(pairs, texts, k, num, den))
     found = components(links).select(F.col("node").alias("class_id"), "component")
 
-    return (signed.drop("prefix").join(classes, keys, "left").join(found, "class_id", "left")
+    return (signed.drop("prefix", "bits").join(classes, keys, "left").join(found, "class_id", "left")
             .select("doc_id", F.col("n").cast("bigint").alias("n_shingles"),
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "class_id", "doc_id"))
                     .alias("component_id")))
@@ -260,22 +272,27 @@ def _family_pairs(rows: DataFrame, heads: DataFrame, num: int, den: int) -> Data
     They are found by their first common shingle, which lies before the last
     SHARED - 1 (the most frequent) of either prefix, and kept if their prefixes
     share SHARED.  A block's largest family is only ever the other side, so a
-    family's members are not set against each other.
+    family's members are not set against each other.  Sets whose parity bits
+    differ in more places than the threshold lets the sets differ are left out
+    in the join itself, without loss.
     """
     rows = rows.filter("strict IS NOT NULL")
     sizes = rows.groupBy("token", "block", "family").agg(F.count(F.lit(1)).alias("members"))
     blocks = stage(sizes.groupBy("token", "block")
                    .agg(F.max_by("family", "members").alias("main"), F.count(F.lit(1)).alias("families"))
                    .filter("families > 1").drop("families"), "jaccard-blocks")
-    held = stage(rows.join(blocks, ["token", "block"]), "jaccard-held")
-    sides = ("doc_id", "n", "strict", "own", "family")
+    held = stage(rows.join(blocks, ["token", "block"]).join(heads.select("doc_id", "bits"), "doc_id"),
+                 "jaccard-held")
+    sides = ("doc_id", "n", "strict", "own", "family", "bits")
+    differ = " + ".join(f"bit_count(a_bits[{i}] ^ b_bits[{i}])" for i in range(PARITY_WORDS))
     a = held.filter("family <> main").select("token", "block", *[F.col(c).alias(f"a_{c}") for c in sides])
     b = held.select("token", "block", "main", *[F.col(c).alias(f"b_{c}") for c in sides])
     a, b = a.alias("a"), b.alias("b")
     met = (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.block") == F.col("b.block")) & F.expr(
         "a_family <> b_family AND (b_family = main OR a_doc_id < b_doc_id) AND (a_own OR b_own) "
         "AND a_n <= b_strict AND b_n <= a_strict "
-        f"AND {num} * greatest(a_n, b_n) <= {den} * least(a_n, b_n)"))
+        f"AND {num} * greatest(a_n, b_n) <= {den} * least(a_n, b_n) "
+        f"AND {num + den} * ({differ}) <= {den - num} * (a_n + b_n)"))
            .select(F.least("a_doc_id", "b_doc_id").alias("a"), F.greatest("a_doc_id", "b_doc_id").alias("b"))
            .distinct())
     prefixes = heads.select("doc_id", "n", "prefix")
