@@ -63,22 +63,3 @@ def newest_only(df: DataFrame, partition: list[str], order: list[Column],
     """Rows ranked 1.  Catalyst plans a partial ``WindowGroupLimit`` before the
     shuffle, so a hot group is cut to one row per map task before it moves."""
     return rank_newest(df, partition, order, name, method="window").filter(F.col(name) == 1)
-
-
-def flag_newest(df: DataFrame, partition: list[str], order: list[Column],
-                name: str = "_newest") -> DataFrame:
-    """``df`` (distinct rows) plus boolean ``name``: is the row ranked 1 in its group?
-
-    Same answer as ``rank == 1`` of ``rank_newest`` when ``order`` breaks all
-    ties, without a full window: the top row per group comes from
-    ``newest_only`` (partial limit before the shuffle) and is matched back by
-    a null-safe equi-join on every column.  That join is keyed by the whole
-    row, so a group holding a large share of all rows still spreads over many
-    tasks; no task ever holds a whole group.
-    """
-    cols = df.columns
-    top = (newest_only(df, partition, order, "_rank").drop("_rank")
-           .select(*[F.col(c).alias(f"_top_{c}") for c in cols], F.lit(True).alias("_top_hit")))
-    cond = [F.col(c).eqNullSafe(F.col(f"_top_{c}")) for c in cols]
-    return (df.join(top, cond, "left")
-            .select(*cols, F.coalesce(F.col("_top_hit"), F.lit(False)).alias(name)))

@@ -21,9 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathwise.functions import rules as R
-from pathwise.operators.ranking import flag_newest, rank_newest
+from pathwise.operators.ranking import rank_newest
 from pathwise.operators.rollup import AVG_TYPE, AvgOfParts, Sum, level_bucket_rollup
-from pathwise.operators.versions import latest_only
+from pathwise.operators.versions import VERSION_KEYS, latest_only, latest_register
 from pathwise.sources.tables import Sources
 
 DIGITAL_BETWEEN = ("end_date",)   # J09 orders by start, end, minutes, ...
@@ -36,15 +36,6 @@ def _base_projection(base: DataFrame) -> DataFrame:
     return base.select(*BASE_PROJECTION).distinct()
 
 
-def _contact_keys(contacts: DataFrame, date_col: str) -> DataFrame:
-    """Distinct (pathway, date, minutes, newest?) from rows carrying the full
-    rank (``latest_rank``) or a ``_newest`` flag."""
-    newest = (F.col("_newest") if "_newest" in contacts.columns
-              else (F.col("latest_rank") == 1))
-    return (contacts.select("pathway_id", date_col, "minutes", newest.alias("_newest"))
-            .distinct())
-
-
 def _pairs(rows: DataFrame, date_col: str, between: tuple[str, ...]) -> DataFrame:
     """Per (pathway, date, minutes): number of distinct contact rows, and the
     largest value of each ``between`` order column."""
@@ -87,7 +78,7 @@ def _newest_pair(date_col: str, between: tuple[str, ...]) -> list[Column]:
 
 def contact_keys(rows: DataFrame, date_col: str, between: tuple[str, ...] = ()) -> DataFrame:
     """Distinct (pathway, date, minutes, newest?) of distinct contact rows, as
-    ``_contact_keys`` of their ranking gives it, without ranking.
+    their full ranking gives it (newest: rank 1), without ranking.
 
     Each (date, minutes) pair appears with ``_newest`` false, except the
     pathway's newest pair (the ``max_by`` of the order), which appears with
@@ -207,12 +198,16 @@ def contact_activity_pairs(src: Sources) -> DataFrame:
 
     Both sides are reduced to their distinct join keys + needed columns first:
     the projection after the join keeps only those columns, so the set is the
-    same, and the N:M product is built from de-duplicated rows only.
+    same, and the N:M product is built from de-duplicated rows only.  Activities
+    are cut to latest versions like the contacts (the join keys hold the version),
+    so superseded submissions are pruned from both scans.
     """
     con = (latest_only(src.care_contact, src.submission_register)
            .select("pathway_id", "submission_id", "audit_id", "contact_date", "unique_month_id")
            .distinct())
-    act = (src.care_activity.select("pathway_id", "submission_id", "audit_id", "minutes")
+    latest = latest_register(src.submission_register).select(*VERSION_KEYS)
+    act = (src.care_activity.join(latest, VERSION_KEYS, "left_semi")
+           .select("pathway_id", "submission_id", "audit_id", "minutes")
            .distinct())
     return (con.join(act, ["pathway_id", "submission_id", "audit_id"], "left")
             .select("pathway_id", "contact_date", "minutes", "unique_month_id")
@@ -229,8 +224,3 @@ def all_contacts(src: Sources, rows: DataFrame | None = None) -> DataFrame:
     """All contacts with activity minutes, ranked newest first per pathway."""
     rows = contact_activity_pairs(src) if rows is None else rows
     return rank_newest(rows, ["pathway_id"], any_order())
-
-
-def all_contacts_flagged(rows: DataFrame) -> DataFrame:
-    """J16 rows with ``_newest`` (= rank 1) instead of the full rank (skew-safe)."""
-    return flag_newest(rows, ["pathway_id"], any_order())

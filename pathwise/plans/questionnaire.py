@@ -68,8 +68,9 @@ def latest_answers(src: Sources) -> DataFrame:
 
 def newest_answers(src: Sources) -> DataFrame:
     """J06 restricted to rank 1 (what J07 reads), via a per-group limit that
-    Spark applies partially before the shuffle."""
-    return newest_only(answer_rows(src), ["pathway_id", "code"], answer_order())
+    Spark applies partially before the shuffle.  The order covers every column
+    besides the group, so repeated rows need no DISTINCT first."""
+    return newest_only(answers_with_terms(src), ["pathway_id", "code"], answer_order())
 
 
 QUESTIONNAIRE_BASE_COLUMNS = ["month", "pathway_id", "product", "iet_count", "question", "answer",
@@ -77,20 +78,18 @@ QUESTIONNAIRE_BASE_COLUMNS = ["month", "pathway_id", "product", "iet_count", "qu
 
 
 def questionnaire_base(src: Sources, window: ReportingWindow, summary: DataFrame,
-                       answer_rows: DataFrame) -> DataFrame:
+                       answers: DataFrame) -> DataFrame:
     """Completed pathways of the questionnaire month(s) with their newest answers.
 
     Month range: ``offset_start .. period_start`` (one month at offset 0).
     Rows equal in every label merge (K16).  No calendar join here (K10).
 
-    ``summary`` (J01) and ``answer_rows`` (J06's distinct answers) cover every
-    pathway ever; both are first cut to the pathways of the month(s) by a
-    semi-join, which changes nothing in the result (a pathway's newest answer
-    depends on its own answers only, and both are left-joined on the
-    pathway) but means only those pathways' rows are ranked and shuffled.
-    The month's pathway list is small, so AQE turns the semi-joins into
-    broadcasts once it has measured it; beyond the threshold they stay
-    shuffle joins.
+    ``summary`` (J01) and ``answers`` (answers with their terms, repeats
+    included) cover every pathway ever.  Answers are limited to the newest of
+    each pathway and code first: the limit runs partially in every map task, so
+    a hot pathway is cut to one row per code and task before anything is
+    shuffled.  Both are then cut to the pathways of the month(s), which
+    changes nothing in the result.
     """
     ref = latest_referrals(src)
     ref = ref.filter(completed_in_period(ref)
@@ -100,8 +99,8 @@ def questionnaire_base(src: Sources, window: ReportingWindow, summary: DataFrame
     in_scope = ref.select("pathway_id").distinct()
     j01 = (summary.join(in_scope, "pathway_id", "left_semi")
            .select("pathway_id", "product", F.col("n_contacts").alias("iet_count")))
-    newest = (newest_only(answer_rows.join(in_scope, "pathway_id", "left_semi"),
-                          ["pathway_id", "code"], answer_order())
+    newest = (newest_only(answers, ["pathway_id", "code"], answer_order())
+              .join(in_scope, "pathway_id")   # distinct; a semi-join would be pushed below the limit
               .select("pathway_id", "code", "score", "term"))   # ranks 1 of J06
     joined = ref.join(j01, "pathway_id", "left").join(newest, "pathway_id", "left")
     return joined.select(

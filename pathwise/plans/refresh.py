@@ -9,6 +9,7 @@ and lineage is cut at shared storage.
 
 from __future__ import annotations
 
+import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
@@ -79,7 +80,7 @@ class MonthlyRefresh:
     @cached_property
     def questionnaire_base(self) -> DataFrame:
         return Q.questionnaire_base(self.src, self.questionnaire_window, self.digital_summary,
-                                    Q.answer_rows(self.src, self.answers_latest_versions_only))
+                                    Q.answers_with_terms(self.src, self.answers_latest_versions_only))
 
     @cached_property
     def questionnaire_dashboard(self) -> DataFrame:
@@ -93,10 +94,6 @@ class MonthlyRefresh:
     def digital_contacts(self) -> DataFrame:
         return A.digital_contacts(self.src, self.digital_contact_rows)
 
-    @cached_property
-    def digital_contacts_flagged(self) -> DataFrame:
-        return A.digital_contacts_flagged(self.digital_contact_rows)
-
     @cached_property
     def appointment_base(self) -> DataFrame:
         return A.appointment_base(self.src, self.window, self.digital_contact_rows)
@@ -131,10 +128,6 @@ class MonthlyRefresh:
     def all_contacts(self) -> DataFrame:
         return V.all_contacts(self.src, self.all_contact_rows)
 
-    @cached_property
-    def all_contacts_flagged(self) -> DataFrame:
-        return V.all_contacts_flagged(self.all_contact_rows)
-
     @cached_property
     def any_contact_base(self) -> DataFrame:
         return V.any_contact_base(self.pathway_base, self.all_contact_rows)
@@ -143,6 +136,14 @@ class MonthlyRefresh:
     def any_time_dashboard(self) -> DataFrame:
         return V.any_time_dashboard(self.pathway_base, self.all_contact_rows, fold=self.fold)
 
+    def questionnaire_months(self) -> list[dt.date]:
+        """First days of the months the questionnaire run covers."""
+        w = self.questionnaire_window.frame.first()
+        if w.period_start is None:
+            return []
+        first, last = (d.year * 12 + d.month - 1 for d in (w.offset_start, w.period_start))
+        return [dt.date(m // 12, m % 12 + 1, 1) for m in range(first, last + 1)]
+
     # running -------------------------------------------------------------
     def _with(self, seeds: dict[str, DataFrame]) -> "MonthlyRefresh":
         return MonthlyRefresh(self.src, first=self.first, lag=self.lag,
@@ -173,7 +174,10 @@ class MonthlyRefresh:
                 df = conform(getattr(self._with({n: done[n] for n in needs}), name),
                              DASHBOARD_SCHEMAS[name])
                 if name == "questionnaire_dashboard":
-                    (P.append_month if month_append else P.publish_month)(df, path)
+                    if month_append:
+                        P.append_month(df, path)
+                    else:
+                        P.publish_month(df, path, months=self.questionnaire_months())
                 else:
                     P.publish_full(df, path)
                 return path

@@ -7,8 +7,10 @@ our own is set only when the session names none (local runs and tests).
 
 from __future__ import annotations
 
+import datetime as dt
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,15 +49,37 @@ def publish_full(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def publish_month(df: DataFrame, path: str, month_col: str = "month") -> None:
-    """SNK3: replace only the month partitions present in ``df``.
+def _folder(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _files(spark: SparkSession, path: str) -> set[str]:
+    p, fs = _folder(spark, path)
+    return {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p, fs = _folder(spark, path)
+    fs.delete(p, True)
+
+
+def publish_month(df: DataFrame, path: str, month_col: str = "month",
+                  months: Iterable[dt.date] = ()) -> None:
+    """SNK3: replace the month partitions present in ``df``, and remove those of
+    ``months`` (the run's month range) that it has no rows for.
 
     Re-running a month rewrites that month and leaves the others, so a
     repeated refresh does not double rows (the reference's plain INSERT
     does, K9).  ``mode='append'`` reproduces the reference exactly.
     """
+    folders = [f"{path}/{month_col}={m.isoformat()}" for m in months]
+    before = {f: files for f in folders if (files := _files(df.sparkSession, f))}
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(month_col).parquet(path))
+    for folder, files in before.items():  # a month written anew has other files
+        if _files(df.sparkSession, folder) == files:
+            _delete(df.sparkSession, folder)
 
 
 def append_month(df: DataFrame, path: str, month_col: str = "month") -> None:

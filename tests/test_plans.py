@@ -51,11 +51,24 @@ def test_scan_prunes_columns(base):
     assert "wait_ref_to_assess" in scan and "end_code_desc" not in scan
 
 
-def test_questionnaire_month_cuts_inputs_to_its_pathways(refresh):
-    # J01 and the answers are semi-joined to the month's pathways; for the
-    # answers the cut comes before the newest-per-question limit
-    p = refresh.questionnaire_base._jdf.queryExecution().optimizedPlan().toString()
-    assert p.count("Join LeftSemi") == 2
-    lines = p.splitlines()
-    limit = next(i for i, line in enumerate(lines) if "WindowGroupLimit" in line)
-    assert any("Join LeftSemi" in line for line in lines[limit:limit + 3])
+def test_questionnaire_answers_are_limited_before_their_first_shuffle(spark, refresh):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")   # the terms of the codes only
+    try:
+        lines = plan(refresh.questionnaire_base.select("*")).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    partial = next(i for i, line in enumerate(lines) if "WindowGroupLimit" in line and "Partial" in line)
+    final = next(i for i, line in enumerate(lines) if "WindowGroupLimit" in line and "Final" in line)
+    # the partial limit lies below the exchange of the final one
+    assert final < partial and any("Exchange hashpartitioning" in line for line in lines[final:partial])
+    # and the answers are not joined to the month's pathways below it
+    assert "LeftSemi" not in "".join(lines[final:partial + 2])
+
+
+def test_superseded_activities_are_pruned(refresh):
+    """Activities, like contacts, are read from the folders of latest versions only."""
+    p = plan(V.contact_activity_pairs(refresh.src).select("*"))
+    scans = [line for line in p.splitlines() if "FileScan parquet [pathway_id" in line]
+    assert any("minutes" in line for line in scans) and any("contact_date" in line for line in scans)
+    assert all("dynamicpruningexpression(submission_id" in line for line in scans)

@@ -26,6 +26,23 @@ def test_month_publish_replaces_only_its_months(spark, refresh):
     assert P.read_published(spark, path, df.columns).count() == first + one.count()
 
 
+def test_month_publish_removes_a_month_that_became_empty(spark, refresh):
+    df = refresh.questionnaire_dashboard
+    path = f"{P.new_run_dir(spark, 'test-publish')}/q"
+    P.publish_month(df, path)
+    gone, *kept = sorted(r[0] for r in df.select("month").distinct().collect())
+    run = refresh.questionnaire_months()
+    assert {gone, *kept} <= set(run)
+    # the re-run of one month finds no rows: its old rows go, other months stay
+    P.publish_month(df.filter("month IS NULL"), path, months=[gone])
+    back = P.read_published(spark, path, df.columns)
+    assert sorted(r[0] for r in back.select("month").distinct().collect()) == kept
+    # a run over all months that has rows for some of them
+    P.publish_month(df.filter(F.col("month") == gone), path, months=run)
+    back = P.read_published(spark, path, df.columns)
+    assert {r[0] for r in back.select("month").distinct().collect()} == {gone}
+
+
 def test_materialize_reads_back_same_rows(spark, refresh):
     df = refresh.digital_summary
     back = P.materialize(df, f"{P.new_run_dir(spark, 'test-mat')}/j01")

@@ -6,7 +6,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from pathwise.operators.ranking import flag_newest, newest_only, rank_newest
+from pathwise.operators.ranking import newest_only, rank_newest
 
 def order():
     return [F.col("d").desc_nulls_last(), F.col("m").desc_nulls_last(),
@@ -56,11 +56,8 @@ def test_sorted_rank_spreads_a_hot_group(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_newest_and_flag_agree_with_rank(spark):
+def test_newest_agrees_with_rank(spark):
     df = spark.createDataFrame(rows(), "g long, d date, m int, k long")
     ranked = rank_newest(df, ["g"], order(), method="window")
     top = newest_only(df, ["g"], order()).drop("latest_rank")
     assert bag(top) == bag(ranked.filter("latest_rank = 1").drop("latest_rank"))
-    flagged = flag_newest(df, ["g"], order())
-    assert bag(flagged) == bag(ranked.select("g", "d", "m", "k", (F.col("latest_rank") == 1)
-                                            .alias("_newest")))
