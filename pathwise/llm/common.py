@@ -55,6 +55,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` is called
+    so (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z and nothing else.  For pure ASCII text ``lower`` does
     just that, several times faster than ``translate``."""

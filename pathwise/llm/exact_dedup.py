@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pathwise.llm.common import LOWER, UPPER, ascii_lower
+from pathwise.llm.common import LOWER, UPPER, ascii_lower, unused
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str,
@@ -55,15 +55,17 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay, with their columns.  Rows that repeat an
-    id and a text are one document: one of them stays."""
+    """The rows of ``df`` that stay, with their columns, whatever the names of
+    further ones.  Rows that repeat an id and a text are one document: one of
+    them stays."""
+    own = unused(df, "_own")
     kept = (exact_groups(df, id_col, text_col)
             .select(F.col("keep_id").alias("_keep"), F.col("text_sha256").alias("_sha")))
     text = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
-    rows = df.withColumn("_own", F.sha2(text, 256))
-    return (rows.join(kept, rows[id_col].eqNullSafe(kept["_keep"]) & (rows["_own"] == kept["_sha"]),
+    rows = df.withColumn(own, F.sha2(text, 256))
+    return (rows.join(kept, rows[id_col].eqNullSafe(kept["_keep"]) & (rows[own] == kept["_sha"]),
                       "left_semi")
-            .dropDuplicates([id_col, "_own"]).drop("_own").select(*df.columns))
+            .dropDuplicates([id_col, own]).drop(own).select(*df.columns))
 
 
 ORACLE = f"""

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pathwise.llm.common import bounded_batches, free_worker, slices, stage, to_batch
+from pathwise.llm.common import bounded_batches, free_worker, slices, stage, to_batch, unused
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
@@ -256,11 +256,13 @@ def identify_corpus(docs: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language is accepted, with their columns."""
+    """The rows of ``docs`` whose language is accepted, with their columns,
+    whatever the names of further ones."""
     evidence = document_evidence(docs)
+    ident, key, own = unused(docs, "_id"), unused(docs, "_key"), unused(docs, "_own")
     rejected = (identify(evidence, fit_text_model(docs)).filter(~F.col("accepted"))
-                .select(F.col("id").alias("_id"), F.col("row_key").alias("_key")).distinct())
-    keyed = docs.withColumn("_own", F.xxhash64(F.col("text").cast("string"), _primary(F.col("lang")),
-                                               F.col("source").cast("string")))
-    return keyed.join(rejected, F.col("doc_id").eqNullSafe(F.col("_id"))
-                      & (F.col("_own") == F.col("_key")), "left_anti").select(*docs.columns)
+                .select(F.col("id").alias(ident), F.col("row_key").alias(key)).distinct())
+    keyed = docs.withColumn(own, F.xxhash64(F.col("text").cast("string"), _primary(F.col("lang")),
+                                            F.col("source").cast("string")))
+    return keyed.join(rejected, F.col("doc_id").eqNullSafe(F.col(ident)) & (F.col(own) == F.col(key)),
+                      "left_anti").select(*docs.columns)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pathwise.llm.common import stage
+from pathwise.llm.common import stage, unused
 
 EDITS = 2
 #: Shorter lines are compared for equality only.
@@ -135,8 +135,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_lines(docs: DataFrame, result: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the lines that ``dedup_lines`` drops taken out of the text."""
-    gone = result.filter(F.size("dropped") > 0).select(F.col("doc_id").alias("_id"), F.col("dropped").alias("_gone"))
+    ident, out = unused(docs, "_id"), unused(docs, "_gone")
+    gone = result.filter(F.size("dropped") > 0).select(F.col("doc_id").alias(ident), F.col("dropped").alias(out))
     lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.coalesce("_gone", F.array().cast("array<int>")), i)), "\n")
-    return (docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]), "left")
+    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.coalesce(out, F.array().cast("array<int>")), i)), "\n")
+    return (docs.join(gone, docs[id_col].eqNullSafe(gone[ident]), "left")
             .withColumn(text_col, kept).select(*docs.columns))
