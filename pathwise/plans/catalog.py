@@ -238,6 +238,18 @@ def _month_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.read_published(spark, path, df.columns)
 
 
+def _month_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK3 as it is run each month, at questionnaire offset 0: the month before
+    the latest, then the latest, then the latest again."""
+    src = driver_sources(spark, sf_dir)
+    path = f"{P.new_run_dir(spark, 'month-runs')}/questionnaire_dashboard"
+    before, latest = (MonthlyRefresh(src, first=FIXTURE_FIRST, lag=lag).questionnaire_dashboard
+                      for lag in (R.REFRESH_LAG_MONTHS + 1, R.REFRESH_LAG_MONTHS))
+    for df in (before, latest, latest):
+        P.publish_month(df, path)
+    return P.read_published(spark, path, latest.columns)
+
+
 def _full_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK1 twice: overwrite leaves one copy."""
     df = refresh(spark, sf_dir).time_recorded_dashboard
@@ -297,5 +309,6 @@ QUERIES: dict[str, Query] = {
     "distinct_rows": _src(A.digital_contact_rows),
     "reference_duplicates": _src(reference_duplicates),
     "month_publish": _month_publish,
+    "month_runs": _month_runs,
     "full_publish": _full_publish,
 }
