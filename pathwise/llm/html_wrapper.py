@@ -5,7 +5,7 @@ expression over tags: a sequence of items, each optional (?) or repeated (+),
 with text slots.  It is inferred by aligning page after page with what is
 known so far: an item that a page lacks becomes optional, one that occurs again
 becomes repeated, a text that differs becomes a variable slot, and a text that
-is the same on all pages belongs to the template.
+is the same on pages whose main text differs belongs to the template.
 
 The fold is distributed: each task folds its pages by host, partial wrappers
 are folded again in two streamed rounds (first within a part of a host, then
@@ -55,8 +55,10 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 MAX_DEPTH, MAX_ITEMS = 60, 64
-#: Distinct texts a slot must be seen with before sameness says something.
+#: Distinct main texts a slot must be seen with before sameness says something.
 LEAST_PAGES = 3
+#: Blocks of so many characters tell main texts apart; where a page has none, all do.
+LONG_BLOCK = 60
 #: Hosts a task folds at a time.
 OPEN_HOSTS = 2_000
 
@@ -129,23 +131,34 @@ def parse(html: str) -> Node:
 
 
 # ---- wrappers --------------------------------------------------------------------
-# A wrapper item: n occurrences-bearing pages, opt and rep flags, chrome flag, the
+# A wrapper item: the keys of its pages' main texts (the LEAST_PAGES smallest: copies
+# count once, however they are dealt over tasks), opt and rep flags, chrome flag, the
 # text slot ([hash of the only text or None, characters, of them in links]) and items
 # by label, in order of first appearance.
-def _item(chrome: bool) -> dict:
-    return {"n": 1, "opt": False, "rep": False, "chrome": chrome, "slot": None, "items": {}}
+def _item(chrome: bool, key: int) -> dict:
+    return {"keys": [key], "opt": False, "rep": False, "chrome": chrome, "slot": None, "items": {}}
 
 
-def wrap(node: Node, linked: bool = False) -> dict:
+def content_key(root: Node) -> int:
+    """Hash of a page's text outside chrome.  Words with digits and, beside
+    long blocks, short ones are left out: a date or a nonce makes no new text."""
+    blocks = extract(root, None).split("\n")
+    said = [" ".join(w for w in b.split() if w.isalpha() or not any(map(str.isdigit, w)))
+            for b in [b for b in blocks if len(b) >= LONG_BLOCK] or blocks]
+    return xxhash.xxh32_intdigest("\n".join(said).encode("utf-8", "surrogatepass"))
+
+
+def wrap(node: Node, linked: bool = False, key: int | None = None) -> dict:
     """The wrapper of one page: equal neighbours are squared into repeats."""
-    w = _item(node.chrome)
+    key = content_key(node) if key is None else key
+    w = _item(node.chrome, key)
     own = []
     for child in node.items:
         if isinstance(child, str):
             own.append(child)
         elif child.label not in RAW:
             label = child.label if child.label in w["items"] or len(w["items"]) < MAX_ITEMS else child.tag
-            part = wrap(child, linked or child.tag == "a")
+            part = wrap(child, linked or child.tag == "a", key)
             if label in w["items"]:
                 fold(w["items"][label], part, same_page=True)
             else:
@@ -161,8 +174,8 @@ def fold(a: dict, b: dict, same_page: bool = False) -> dict:
     a["opt"] |= b["opt"]
     a["rep"] |= b["rep"] or same_page
     a["chrome"] |= b["chrome"]
-    if not same_page:
-        a["n"] += b["n"]
+    if a["keys"] != b["keys"]:
+        a["keys"] = sorted({*a["keys"], *b["keys"]})[:LEAST_PAGES]
     if a["slot"] and b["slot"]:
         same = a["slot"][0] == b["slot"][0] and not same_page
         a["slot"] = [a["slot"][0] if same else None, a["slot"][1] + b["slot"][1], a["slot"][2] + b["slot"][2]]
@@ -189,7 +202,7 @@ def expression(w: dict, label: str = "page") -> str:
     """The wrapper as a union-free regular expression."""
     inner = []
     if w["slot"]:
-        inner.append("#same" if w["slot"][0] is not None and w["n"] >= LEAST_PAGES else "#text")
+        inner.append("#same" if w["slot"][0] is not None and len(w["keys"]) >= LEAST_PAGES else "#text")
     inner += [expression(item, name) for name, item in w["items"].items()]
     mark = "*" if w["opt"] and w["rep"] else "?" if w["opt"] else "+" if w["rep"] else ""
     return f"{label}({' '.join(inner)}){mark}"
@@ -214,8 +227,8 @@ def _amount(w: dict) -> int:
 
 
 def _template(w: dict) -> bool:
-    """The slot holds the same text on every page."""
-    return bool(w["slot"]) and w["slot"][0] is not None and w["n"] >= LEAST_PAGES and not w["rep"]
+    """The slot holds the same text on every page, and their main texts differ."""
+    return bool(w["slot"]) and w["slot"][0] is not None and len(w["keys"]) >= LEAST_PAGES and not w["rep"]
 
 
 def region_tag(w: dict) -> str | None:
@@ -229,7 +242,8 @@ def region_tag(w: dict) -> str | None:
 # ---- extraction ------------------------------------------------------------------
 def extract(root: Node, wrapper: dict | None) -> str:
     """Main text of a page: the blocks of its main region, without template
-    slots and chrome, each on one line."""
+    slots and chrome, each on one line.  Where nothing else is said, template
+    slots stay."""
     tag = region_tag(wrapper) if wrapper else None
     blocks: list[str] = []
     line: list[str] = []
@@ -272,7 +286,7 @@ def extract(root: Node, wrapper: dict | None) -> str:
 
     walk(root, wrapper, tag is None)
     end()
-    return "\n".join(blocks)
+    return "\n".join(blocks) if blocks or not wrapper else extract(root, None)
 
 
 def _has_tag(node: Node, tag: str) -> bool:
@@ -290,7 +304,7 @@ def _emit(open_: dict[str, dict], part: int) -> pa.RecordBatch:
 
 
 def infer_wrappers(pages: DataFrame, parts: int = 64) -> DataFrame:
-    """host, wrapper (JSON) of pages (host, html); equal pages count once per task."""
+    """host, wrapper (JSON) of pages (host, html); pages of one main text count once."""
 
     def first(batches):
         free_worker()
@@ -300,7 +314,7 @@ def infer_wrappers(pages: DataFrame, parts: int = 64) -> DataFrame:
                 key = xxhash.xxh3_64_intdigest(html.encode("utf-8", "surrogatepass") + host.encode())
                 if key in seen:
                     continue
-                if len(seen) < 1_000_000:  # copies beyond only weigh more
+                if len(seen) < 1_000_000:  # copies beyond only add characters
                     seen.add(key)
                 w = wrap(parse(html))
                 if host in open_:

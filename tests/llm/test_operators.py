@@ -253,6 +253,30 @@ def test_html(spark):
     assert [got[i].text for i in (90, 91, 92, 93)] == ["", "", "plain < text", "a\nb"]
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_html_copies_are_no_template(spark, parts):
+    said = "The river rose again over night and the lower streets of the town stood under water."
+    bodies = {"copy.example": "<div><h1>Flood</h1><p>{said}</p></div>",
+              "date.example": "<div><h1>Flood</h1><p>{said}</p><span>2024-01-0{i}</span></div>",
+              "art.example": "<nav>menu {i}</nav><article><h1>Flood</h1><p>{said}</p></article><p>more</p>",
+              "short.example": "<div><h1>Flood</h1><p>It rose. {i}</p></div>"}
+    rows = [(10 * h + i, f"http://{host}/{i}", body.format(said=said, i=i))
+            for h, (host, body) in enumerate(bodies.items()) for i in range(6)]
+    # a template stays one where main texts differ, and copies of a page do not hide it
+    rows += [(100 + i, f"http://mixed.example/{i}", f"<div><h4>Our shop</h4><p>{said} {'abcdef'[i // 2] * 9}</p></div>")
+             for i in range(12)]
+    # an element that only the copies of one page have
+    rows += [(200 + i, f"http://own.example/{i}", "<div><p>" + (f"{said}</p><h2>Only here</h2>" if i < 4 else
+             f"{said} {'xyz' * i}</p>") + f"<i>{i}</i></div>") for i in range(9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts)
+    got = {i: r.text for i, r in by_id(html_wrapper.extract_main_text(pages)).items()}
+    for i in range(6):
+        assert got[i] == f"Flood\n{said}" and got[10 + i].startswith(f"Flood\n{said}")
+        assert got[20 + i] == f"Flood\n{said}" and got[30 + i] == f"Flood\nIt rose. {i}"
+    assert all("Our shop" not in got[100 + i] and said in got[100 + i] for i in range(12))
+    assert all("Only here" in got[200 + i] for i in range(4))
+
+
 def test_decontamination(spark):
     rng = random.Random(8)
     items = [(i, prose(rng, rng.randint(15, 60))) for i in range(40)] + [(90, None), (91, "too short"), (92, "")]
