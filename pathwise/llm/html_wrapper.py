@@ -19,6 +19,7 @@ from __future__ import annotations
 import html as html_lib
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -46,6 +47,10 @@ CHROME_WORDS = set("ad ads advert adverts advertisement advertising sponsor spon
 # a start tag that closes an open element of these kinds
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+P = {"p"}
+# words for the frame of a page, which may enclose its main text; the others mark text of their own
+FRAME_WORDS = set("sidebar side menu nav navbar navigation header topbar masthead notice notices banner widget share "
+                  "sharing social newsletter cookie cookies consent modal overlay skip toolbar".split())
 SCOPES = set("html body article aside section nav main header footer form div ul ol dl table td th blockquote "
              "figure details".split())
 
@@ -54,7 +59,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
-MAX_DEPTH, MAX_ITEMS = 60, 64
+MAX_ITEMS = 64
 #: Distinct main texts a slot must be seen with before sameness says something.
 LEAST_PAGES = 3
 #: Blocks of so many characters tell main texts apart; where a page has none, all do.
@@ -64,10 +69,10 @@ OPEN_HOSTS = 2_000
 
 
 class Node:
-    __slots__ = ("tag", "label", "chrome", "items")
+    __slots__ = ("tag", "label", "chrome", "words", "items")
 
-    def __init__(self, tag: str, label: str, chrome: bool):
-        self.tag, self.label, self.chrome = tag, label, chrome
+    def __init__(self, tag: str, label: str, chrome: bool, words: frozenset[str] = frozenset()):
+        self.tag, self.label, self.chrome, self.words = tag, label, chrome or bool(words), words
         self.items: list[Node | str] = []
 
 
@@ -79,21 +84,36 @@ def _element(tag: str, attributes: str) -> Node:
     role = found.get("role", "").lower()
     parts = {w.lower() for w in WORD.findall(names)}
     chrome = tag in CHROME or role in CHROME_ROLES or "hidden" in attributes.lower().split()
-    if tag not in ("html", "body", "article", "main"):
-        chrome = chrome or bool(parts & CHROME_WORDS)
+    # the words that alone make it chrome
+    words = parts & CHROME_WORDS if not chrome and tag not in ("html", "body", "article", "main") else ()
     mark = ".".join(sorted(re.sub(r"\d+", "#", w) for w in names.split())[:3])
-    return Node(tag, f"{tag}.{mark}" if mark else tag, chrome)
+    return Node(tag, f"{tag}.{mark}" if mark else tag, chrome, frozenset(words))
 
 
 def parse(html: str) -> Node:
-    """Tree of a page; unclosed and stray tags are put up with."""
+    """Tree of a page, however deep; unclosed and stray tags are put up with."""
     root = Node("root", "root", False)
     stack, at = [root], 0
+    # numbers of open elements by tag, of the whole stack and of each open scope
+    every: Counter[str] = Counter()
+    scopes: list[Counter[str]] = [Counter()]
+    unclosed: set[str] = set()
 
     def text(chunk: str) -> None:
         if chunk:
             stack[-1].items.append(html_lib.unescape(chunk) if "&" in chunk else chunk)
 
+    def close(tags: set[str]) -> None:
+        """Up to the innermost open element of these tags."""
+        tag = None
+        while tag not in tags:
+            tag = stack.pop().tag
+            every[tag] -= 1
+            if tag in SCOPES:
+                scopes.pop()
+            else:
+                scopes[-1][tag] -= 1
+
     n = len(html)
     while at < n:
         m = TOKEN.search(html, at)
@@ -106,30 +126,60 @@ def parse(html: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if stack[i].tag in SCOPES and tag not in SCOPES:
-                    break  # a stray end tag does not close its surroundings
+            # a stray end tag does not close its surroundings
+            if (every if tag in SCOPES else scopes[-1])[tag]:
+                close({tag})
             continue
-        closed = CLOSES.get(tag) or ({"p"} if tag in BLOCKS else set())
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in closed:
-                del stack[i:]
-                break
-            if stack[i].tag in SCOPES:
-                break
+        closed = CLOSES.get(tag) or (P if tag in BLOCKS else ())
+        if any(scopes[-1][t] for t in closed):
+            close(closed)
         node = _element(tag, m[3])
         stack[-1].items.append(node)
+        shut = m[3].endswith("/")
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(html, at)
-            at = end.end() if end else n
-        elif tag not in VOID and not m[3].endswith("/") and len(stack) < MAX_DEPTH:
+            if shut and tag in ("svg", "math"):
+                continue
+            end = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(html, at)
+            if end:
+                at = end.end()
+            elif tag in ("script", "style"):
+                at = n
+            else:  # only the tag is dropped
+                unclosed.add(tag)
+        elif tag not in VOID and not shut:
             stack.append(node)
+            every[tag] += 1
+            if tag in SCOPES:
+                scopes.append(Counter())
+            scopes[-1][tag] += 1
+    _free_regions(root)
     return root
 
 
+def _free_regions(root: Node) -> None:
+    """A class word does not make chrome of what holds the page's main region:
+    a main element, or the articles if all of them lie in frames."""
+    # per region: its tag and the elements around it that are chrome, or None if one is so by more than a frame word
+    found: list[tuple[str, list[Node] | None]] = []
+    todo: list[tuple[Node, list[Node] | None]] = [(root, [])]
+    while todo:
+        node, around = todo.pop()
+        if node.tag in ("article", "main") and not (node.chrome and not node.words):
+            found.append((node.tag, around))
+            if node.tag == "main" or around == []:
+                continue
+        if node.chrome and around is not None:
+            around = [*around, node] if node.words and node.words <= FRAME_WORDS else None
+        todo += [(child, around) for child in node.items if not isinstance(child, str)]
+    if any(around == [] for _, around in found):
+        return
+    framed = [(tag, around) for tag, around in found if around]
+    for tag, around in framed:
+        if tag == "main" or not any(t == "main" for t, _ in framed):
+            for node in around:
+                node.chrome = False
+
+
 # ---- wrappers --------------------------------------------------------------------
 # A wrapper item: the keys of its pages' main texts (the LEAST_PAGES smallest: copies
 # count once, however they are dealt over tasks), opt and rep flags, chrome flag, the
@@ -148,32 +198,47 @@ def content_key(root: Node) -> int:
     return xxhash.xxh32_intdigest("\n".join(said).encode("utf-8", "surrogatepass"))
 
 
-def wrap(node: Node, linked: bool = False, key: int | None = None) -> dict:
+def wrap(root: Node, key: int | None = None) -> dict:
     """The wrapper of one page: equal neighbours are squared into repeats."""
-    key = content_key(node) if key is None else key
-    w = _item(node.chrome, key)
-    own = []
-    for child in node.items:
-        if isinstance(child, str):
-            own.append(child)
-        elif child.label not in RAW:
-            label = child.label if child.label in w["items"] or len(w["items"]) < MAX_ITEMS else child.tag
-            part = wrap(child, linked or child.tag == "a", key)
-            if label in w["items"]:
-                fold(w["items"][label], part, same_page=True)
-            else:
-                w["items"][label] = part
-    said = " ".join(" ".join(own).split())
-    if said:
-        w["slot"] = [xxhash.xxh3_64_intdigest(said), len(said), len(said) if linked else 0]
-    return w
+    key = content_key(root) if key is None else key
+    top = _item(root.chrome, key)
+    # open elements: element, in a link, its item, its children left, own text
+    todo = [(root, False, top, iter(root.items), [])]
+    while todo:
+        node, linked, w, left, own = todo[-1]
+        for child in left:
+            if isinstance(child, str):
+                own.append(child)
+            elif child.label not in RAW:
+                todo.append((child, linked or child.tag == "a", _item(child.chrome, key), iter(child.items), []))
+                break
+        else:
+            todo.pop()
+            said = " ".join(" ".join(own).split())
+            if said:
+                w["slot"] = [xxhash.xxh3_64_intdigest(said), len(said), len(said) if linked else 0]
+            if todo:
+                items = todo[-1][2]["items"]
+                label = node.label if node.label in items or len(items) < MAX_ITEMS else node.tag
+                if label in items:
+                    fold(items[label], w, same_page=True)
+                else:
+                    items[label] = w
+    return top
 
 
 def fold(a: dict, b: dict, same_page: bool = False) -> dict:
     """Align ``b`` with ``a``, in place."""
+    todo = [(a, b)]
+    for x, y in todo:  # grows
+        _align(x, y, same_page, todo)
+    return a
+
+
+def _align(a: dict, b: dict, same_page: bool, todo: list[tuple[dict, dict]]) -> None:
     a["opt"] |= b["opt"]
     a["rep"] |= b["rep"] or same_page
-    a["chrome"] |= b["chrome"]
+    a["chrome"] &= b["chrome"]
     if a["keys"] != b["keys"]:
         a["keys"] = sorted({*a["keys"], *b["keys"]})[:LEAST_PAGES]
     if a["slot"] and b["slot"]:
@@ -185,17 +250,31 @@ def fold(a: dict, b: dict, same_page: bool = False) -> dict:
         if label not in b["items"]:
             item["opt"] = True
     for label, item in b["items"].items():
+        if label not in a["items"] and len(a["items"]) >= MAX_ITEMS:
+            label = label.split(".")[0]
         if label in a["items"]:
-            fold(a["items"][label], item, same_page=False if not same_page else True)
+            todo.append((a["items"][label], item))
         else:
-            if label not in a["items"] and len(a["items"]) >= MAX_ITEMS:
-                label = label.split(".")[0]
-                if label in a["items"]:
-                    fold(a["items"][label], item, same_page)
-                    continue
             item["opt"] = True
             a["items"][label] = item
-    return a
+
+
+def dump(w: dict) -> str:
+    """A wrapper as a flat JSON list: the items by rank, each with the place of the one around it."""
+    rows, todo = [], [(None, "", w)]
+    for at, (around, label, item) in enumerate(todo):  # grows
+        rows.append([around, label, *[item[k] for k in ("keys", "opt", "rep", "chrome", "slot")]])
+        todo += [(at, name, i) for name, i in item["items"].items()]
+    return json.dumps(rows, separators=(",", ":"))
+
+
+def load(text: str) -> dict:
+    items = []
+    for around, label, *values in json.loads(text):
+        items.append({**dict(zip(("keys", "opt", "rep", "chrome", "slot"), values)), "items": {}})
+        if around is not None:
+            items[around]["items"][label] = items[-1]
+    return items[0]
 
 
 def expression(w: dict, label: str = "page") -> str:
@@ -209,21 +288,26 @@ def expression(w: dict, label: str = "page") -> str:
 
 
 def _regions(w: dict, tag: str) -> Iterator[dict]:
-    for label, item in w["items"].items():
-        if item["chrome"]:
-            continue
-        if label.split(".")[0] == tag:
-            yield item
-        else:
-            yield from _regions(item, tag)
+    todo = [w]
+    while todo:
+        for label, item in todo.pop()["items"].items():
+            if item["chrome"]:
+                continue
+            if label.split(".")[0] == tag:
+                yield item
+            else:
+                todo.append(item)
 
 
 def _amount(w: dict) -> int:
     """Characters of variable text outside links in a region."""
-    own = 0
-    if w["slot"] and not _template(w):
-        own = w["slot"][1] - w["slot"][2]
-    return own + sum(_amount(i) for i in w["items"].values() if not i["chrome"])
+    own, todo = 0, [w]
+    while todo:
+        w = todo.pop()
+        if w["slot"] and not _template(w):
+            own += w["slot"][1] - w["slot"][2]
+        todo += [i for i in w["items"].values() if not i["chrome"]]
+    return own
 
 
 def _template(w: dict) -> bool:
@@ -254,23 +338,24 @@ def extract(root: Node, wrapper: dict | None) -> str:
             blocks.append(said)
         line.clear()
 
-    def has(node: Node) -> bool:
-        return any(not isinstance(c, str) and not c.chrome and (c.tag == tag or has(c)) for c in node.items)
-
-    if tag and not has(root):
+    if tag and not _has_tag(root, tag):
         tag = next((t for t in ("article", "main") if t != tag and _has_tag(root, t)), None)
 
-    def walk(node: Node, item: dict | None, inside: bool) -> None:
-        block = node.tag in BLOCKS
-        if block:
+    def opened(node: Node, item: dict | None, inside: bool) -> tuple:
+        if node.tag in BLOCKS:
             end()
         # outside a marked region, what every page of the host says is template
         fixed = not tag and item is not None and _template(item)
         links = not tag and item is not None and item["slot"] and item["slot"][2] * 2 > item["slot"][1] \
             and node.tag == "a" and item["rep"]
-        for child in node.items:
+        return node, item, inside, inside and not fixed and not links, iter(node.items)
+
+    todo = [opened(root, wrapper, tag is None)]
+    while todo:
+        node, item, inside, said, left = todo[-1]
+        for child in left:
             if isinstance(child, str):
-                if inside and not fixed and not links:
+                if said:
                     line.append(child)
                 continue
             if child.tag == "br":
@@ -280,17 +365,24 @@ def extract(root: Node, wrapper: dict | None) -> str:
                     end()
                 continue
             below = item["items"].get(child.label) or item["items"].get(child.tag) if item else None
-            walk(child, below, inside or child.tag == tag)
-        if block:
-            end()
-
-    walk(root, wrapper, tag is None)
+            todo.append(opened(child, below, inside or child.tag == tag))
+            break
+        else:
+            todo.pop()
+            if node.tag in BLOCKS:
+                end()
     end()
     return "\n".join(blocks) if blocks or not wrapper else extract(root, None)
 
 
-def _has_tag(node: Node, tag: str) -> bool:
-    return any(not isinstance(c, str) and not c.chrome and (c.tag == tag or _has_tag(c, tag)) for c in node.items)
+def _has_tag(root: Node, tag: str) -> bool:
+    todo = [root]
+    while todo:
+        below = [c for c in todo.pop().items if not isinstance(c, str) and not c.chrome]
+        if any(c.tag == tag for c in below):
+            return True
+        todo += below
+    return False
 
 
 # ---- Spark -----------------------------------------------------------------------
@@ -300,7 +392,7 @@ _FOLDED_DDL = "host string, part int, wrapper string"
 
 def _emit(open_: dict[str, dict], part: int) -> pa.RecordBatch:
     return to_batch({"host": list(open_), "part": [part] * len(open_),
-                     "wrapper": [json.dumps(w, separators=(",", ":")) for w in open_.values()]}, _FOLDED)
+                     "wrapper": [dump(w) for w in open_.values()]}, _FOLDED)
 
 
 def infer_wrappers(pages: DataFrame, parts: int = 64) -> DataFrame:
@@ -335,9 +427,9 @@ def infer_wrappers(pages: DataFrame, parts: int = 64) -> DataFrame:
                     open_ = {}
                 held = (host, part)
                 if host in open_:
-                    fold(open_[host], json.loads(w))
+                    fold(open_[host], load(w))
                 else:
-                    open_[host] = json.loads(w)
+                    open_[host] = load(w)
         if open_:
             yield _emit(open_, held[1])
 
@@ -371,7 +463,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
             out = {f.name: [] for f in schema}
             for page_id, html, url, w in zip(ids, htmls, urls, ws):
                 if w != known[0]:
-                    known = (w, json.loads(w) if w else None)
+                    known = (w, load(w) if w else None)
                 text = extract(parse(html), known[1])
                 for values, v in zip(out.values(), (page_id, url, text, len(text))):
                     values.append(v)

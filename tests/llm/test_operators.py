@@ -277,6 +277,25 @@ def test_html_copies_are_no_template(spark, parts):
     assert all("Only here" in got[200 + i] for i in range(4))
 
 
+def test_html_deep_and_odd_markup(spark):
+    deep = 200
+    bodies = [f"<article><p>a{{i}}</p>{'<div>' * deep}<p>b{{i}}</p>{'</div>' * deep}<p>c{{i}}</p></article>",
+              f"<article>{'<font>' * deep}<p>a{{i}}</p><nav>n</nav><div>b{{i}}<footer>f</footer></div><p>c{{i}}</p></article>",
+              f"<article>{'<i><b>' * 20_000}<p>a{{i}}</p><p>b{{i}}</p><p>c{{i}}</p></article>",
+              "<article><p>a{i}</p><svg class='x'/><p>b{i}</p><svg><text>no</text></svg><p>c{i}</p></article>",
+              "<article><p>a{i}</p><iframe src=x><p>b{i}</p><svg><p>c{i}</p></article>",
+              "<article><p>a{i}</p><p>b{i}</p><p>c{i}</p></article><script>var x = '<p>no</p>'",
+              "<div class='has-sidebar'><div id='header-wrap'><article><p>a{i}</p><p>b{i}</p><p>c{i}</p></article></div></div>",
+              "<article><p>a{i}</p><p>b{i}</p><p>c{i}</p></article><div class=sidebar><article>no</article></div>"]
+    rows = [(10 * h + i, f"http://h{h}.example/{i}", body.format(i=i)) for h, body in enumerate(bodies) for i in range(4)]
+    rows += [(500, "http://h.example/", "<p>text</p><div class=comments><article>me too</article></div>")]
+    got = by_id(html_wrapper.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")))
+    for h in range(len(bodies)):
+        for i in range(4):
+            assert got[10 * h + i].text == f"a{i}\nb{i}\nc{i}"
+    assert got[500].text == "text"
+
+
 def test_decontamination(spark):
     rng = random.Random(8)
     items = [(i, prose(rng, rng.randint(15, 60))) for i in range(40)] + [(90, None), (91, "too short"), (92, "")]
