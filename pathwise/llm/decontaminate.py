@@ -3,7 +3,10 @@
 Every window of a document that is as long as a benchmark item gets a 64-bit
 SimHash of its weighted word shingles.  A multi-index over four 16-bit blocks
 finds every item within the radius (16 differing bits leave at most 4 in one
-block), and each candidate is verified by the exact weighted similarity.
+block), and each candidate is verified by its exact similarity: the larger of
+the weighted and the plain one.  Items that share shingles with others have a
+second, unweighted fingerprint, as near copies of them have foreign words of
+more weight than theirs.
 
 Before hashing, windows that cannot reach the similarity are skipped: with
 more than a fifth of their shingles foreign to the benchmark they stay below
@@ -22,6 +25,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,7 +102,7 @@ class BlockIndex:
 
 
 class Benchmark:
-    """One block of items.  ``frequency``: items that hold a shingle, if over one."""
+    """One block of items.  ``frequency``: distinct items that hold a shingle, if over one."""
 
     def __init__(self, items: list[tuple[int, str]], frequency: dict[int, int]):
         self.key = uuid.uuid4().hex
@@ -130,20 +134,27 @@ class Benchmark:
         self.least_allowed = max((math.floor(_unknown_allowed(w) / (w // self.least)) for w in self.by_size),
                                  default=0)
         self.sizes = np.array([size for size, _ in sizes], np.int64)
-        self.index: BlockIndex | None = None
+        # items with shared shingles, and their unweighted fingerprints
+        self.plain = np.array([i for i, ws in enumerate(self.weights) if min(ws.values()) < 1], np.int64)
+        self.plain_prints = np.array([prints_of(bit_sums(sizes[i][1], np.ones(len(sizes[i][1])))[-1:])[0]
+                                      for i in self.plain], np.uint64)
+        self.plain_sizes = np.unique(self.sizes[self.plain])
+        self.index: tuple[BlockIndex, BlockIndex | None] | None = None
 
     def weight(self, s: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.known, s), len(self.known) - 1)
         return np.where(self.known[at] == s, self.known_weights[at], np.float32(1))
 
     def similarity(self, window: list[int], item: int) -> float:
-        """Weighted Jaccard of shingle multisets; a shingle of the item weighs
-        1 / (items that hold it), any other 1."""
+        """Jaccard of shingle multisets, the larger of two: plain, and with the
+        weight 1 / (distinct items that hold it) for the item's shingles, 1 for others."""
         mine, own, weigh = Counter(window), self.shingles[item], self.weights[item]
-        both = sum(weigh[x] * min(c, mine[x]) for x, c in own.items() if x in mine)
+        common = {x: min(c, mine[x]) for x, c in own.items() if x in mine}
+        n = sum(common.values())
+        both = sum(weigh[x] * c for x, c in common.items())
         every = sum(weigh[x] * max(c, mine.get(x, 0)) for x, c in own.items())
         every += sum(c for x, c in mine.items() if x not in own)
-        return both / every
+        return max(both / every, n / (len(window) + sum(own.values()) - n))
 
     def windows(self, h: np.ndarray) -> list[tuple[int, np.ndarray]]:
         """(window words, starts) of the windows that can reach the similarity."""
@@ -187,8 +198,9 @@ class Benchmark:
     def _compare(self, parts: list[tuple], found: dict[tuple[int, int], tuple[float, int, int]]) -> None:
         s = np.concatenate([p[2] for p in parts])
         sums = bit_sums(s, self.weight(s))
+        plain_sums = bit_sums(s, np.ones(len(s))) if len(self.plain) else None
         if self.index is None:
-            self.index = BlockIndex(self.prints)
+            self.index = BlockIndex(self.prints), BlockIndex(self.plain_prints) if len(self.plain) else None
         base, spots = 0, []
         for t, lo, own, near in parts:
             spots += [(t, lo - base, size, w, base + starts) for size, w, starts in near if len(starts)]
@@ -201,7 +213,14 @@ class Benchmark:
         n = w - SHINGLE + 1
         for lo in range(0, len(at), QUERIES_AT_ONCE):
             part = slice(lo, lo + QUERIES_AT_ONCE)
-            queries, items = self.index.near(prints_of(sums[at[part] + n[part]] - sums[at[part]]))
+            queries, items = self.index[0].near(prints_of(sums[at[part] + n[part]] - sums[at[part]]))
+            if plain_sums is not None:
+                spot = np.flatnonzero(np.isin(sizes[part], self.plain_sizes))
+                first = at[part][spot]
+                more, found_items = self.index[1].near(prints_of(plain_sums[first + n[part][spot]] - plain_sums[first]))
+                pairs = np.unique(np.concatenate((queries * len(self.ids) + items,
+                                                  spot[more] * len(self.ids) + self.plain[found_items])))
+                queries, items = pairs // len(self.ids), pairs % len(self.ids)
             same = self.sizes[items] == sizes[part][queries]
             for q, item in zip((queries[same] + lo).tolist(), items[same].tolist()):
                 value = self.similarity(s[at[q]:at[q] + n[q]].tolist(), item)
@@ -215,12 +234,12 @@ def _blocks(benchmark: DataFrame) -> list[Benchmark]:
                              F.col("text").cast("string").alias("text")).filter("text IS NOT NULL").distinct()
     size = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("text")).alias("chars")).first()
     n = max(1, -(-size["n"] // ITEMS_PER_BLOCK), -(-(size["chars"] or 0) // CHARS_PER_BLOCK))
-    shingles = items.mapInArrow(_item_shingles, "item_id bigint, shingle bigint")
+    shingles = items.mapInArrow(_item_shingles, "said bigint, shingle bigint").distinct()
     shared = (shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     out = []
     for block in range(n):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == block)
-        frequency = (own.mapInArrow(_item_shingles, "item_id bigint, shingle bigint").select("shingle").distinct()
+        frequency = (own.mapInArrow(_item_shingles, "said bigint, shingle bigint").select("shingle").distinct()
                      .join(shared, "shingle").collect())
         out.append(Benchmark(sorted(((r["item_id"], r["text"]) for r in own.collect()),
                                     key=lambda x: (x[0] is None, x)),
@@ -229,19 +248,21 @@ def _blocks(benchmark: DataFrame) -> list[Benchmark]:
 
 
 def _item_shingles(batches):
-    schema = pa.schema([("item_id", pa.int64()), ("shingle", pa.int64())])
-    for ids, texts in slices(batches):
-        for item_id, text in zip(ids, texts):
+    """said, a hash of the item's words (equal texts under several ids are one), and its shingles."""
+    schema = pa.schema([("said", pa.int64()), ("shingle", pa.int64())])
+    for _, texts in slices(batches):
+        for text in texts:
             h = word_hashes(words(text, lower=True))
             s = np.unique(shingle_hashes(h, SHINGLE)) if len(h) >= SHINGLE else h[:0]
-            yield to_batch({"item_id": [item_id] * len(s), "shingle": s.view(np.int64)}, schema)
+            said = np.full(len(s), xxhash.xxh3_64_intdigest(h.tobytes()), np.uint64)
+            yield to_batch({"said": said.view(np.int64), "shingle": s.view(np.int64)}, schema)
 
 
 def find_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """doc_id, item_id, similarity, first_word, n_words: the best window of
-    each document and benchmark item with a weighted similarity of SIMILARITY
-    or more.
+    each document and benchmark item with a similarity (weighted or plain, the
+    larger) of SIMILARITY or more.
 
     Words are runs between white space, A-Z lower-cased; windows are as long
     as the item (see ``window_size``), a shorter text is one window.  Null and

@@ -7,7 +7,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -324,6 +324,43 @@ def test_decontamination(spark):
     assert got == want and len(want) > 40
 
 
+def plain_leaks(rows, items):
+    """(doc, item) pairs with a plain five-word similarity of 0.8 in a window of the item's own length."""
+    def shingles(ws):
+        return Counter(tuple(ws[j:j + 5]) for j in range(len(ws) - 4))
+
+    want = set()
+    for d, text in rows:
+        ws = text.lower().split()
+        for i, item in items:
+            own, n = shingles(item.lower().split()), len(item.split())
+            for a in range(max(1, len(ws) - n + 1)):
+                mine = shingles(ws[a:a + n])
+                if sum((mine & own).values()) >= 0.8 * sum((mine | own).values()):
+                    want.add((d, i))
+                    break
+    return want
+
+
+def changed(text, at, n=1):
+    ws = text.split()
+    ws[at:at + n] = [f"other{i}" for i in range(n)]
+    return " ".join(ws)
+
+
+def test_decontamination_of_items_alike(spark):
+    rng = random.Random(12)
+    said, context = prose(rng, 54), prose(rng, 44)
+    items = [(i, said if i % 2 else said.upper()) for i in range(10)]
+    items += [(100 + i, f"{context} {prose(rng, 10)}") for i in range(10)]
+    rows = [(i, f"{prose(rng, 30)} {changed(said, 20 + i)} {prose(rng, 30)}") for i in range(10)]
+    rows += [(100 + i, f"{prose(rng, 30)} {changed(items[10 + i][1], 15 + 3 * i)}") for i in range(10)]
+    leaks = decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"),
+                                     spark.createDataFrame(items, "item_id long, text string"))
+    want = plain_leaks(rows, items)
+    assert {(r.doc_id, r.item_id) for r in leaks.collect()} >= want and len(want) >= 110
+
+
 def test_language(spark):
     rng = random.Random(1)
     bank = {"en": "the of and house river stone light", "de": "der und nicht haus straße licht stein"}
