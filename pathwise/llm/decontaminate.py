@@ -40,12 +40,6 @@ SHINGLES_AT_ONCE, QUERIES_AT_ONCE = 40_000, 8_192
 _POPCOUNT = np.array([bin(i).count("1") for i in range(1 << 16)], np.uint8)
 
 
-def window_size(n: int) -> int:
-    """Window for an item of n words: n itself up to 50 words, within 2 % beyond."""
-    step = max(1, n // 25)
-    return n if step < 2 else max(1, round(n / step)) * step
-
-
 def _unknown_allowed(w: int) -> float:
     """Foreign word pairs a window of w words may have: a fifth of its
     shingles may be foreign, and b foreign pairs make b - (SHINGLE - 2)."""
@@ -117,7 +111,7 @@ class Benchmark:
             self.shingles.append(Counter(s.tolist()))
             self.weights.append({x: 1.0 / frequency.get(x, 1) for x in self.shingles[-1]})
             pairs.append(pair_hashes(h))
-            sizes.append((window_size(len(h)), s))
+            sizes.append((len(h), s))
         known = {x: w for ws in self.weights for x, w in ws.items()}
         self.known = np.array(sorted(known), np.uint64)
         self.known_weights = np.array([known[int(x)] for x in self.known], np.float32)
@@ -265,7 +259,7 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     larger) of SIMILARITY or more.
 
     Words are runs between white space, A-Z lower-cased; windows are as long
-    as the item (see ``window_size``), a shorter text is one window.  Null and
+    as the item, a shorter text is one window.  Null and
     empty texts match nothing; items under SHINGLE words are ignored, repeated
     items count once; rows that repeat an id are searched each.  Other columns
     are ignored.

@@ -361,6 +361,19 @@ def test_decontamination_of_items_alike(spark):
     assert {(r.doc_id, r.item_id) for r in leaks.collect()} >= want and len(want) >= 110
 
 
+def test_decontamination_at_the_items_length(spark):
+    rng = random.Random(13)
+    items = [(i, prose(rng, n)) for i, n in enumerate([51, 53, 55, 57, 59, 59, 59, 59, 87, 140])]
+    rows = [(i, f"{prose(rng, 40)} {changed(item, 20 + i, max(2, len(item.split()) // 30 + 1))} {prose(rng, 40)}")
+            for i, item in items]
+    want = plain_leaks(rows, items)
+    leaks = decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"),
+                                     spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): r.n_words for r in leaks.collect()}
+    assert set(got) == want and {(i, i) for i in range(4, 10)} <= want
+    assert all(got[i, i] == len(item.split()) for i, item in items if (i, i) in want)
+
+
 def test_language(spark):
     rng = random.Random(1)
     bank = {"en": "the of and house river stone light", "de": "der und nicht haus straße licht stein"}
