@@ -21,6 +21,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ from pathwise.llm.common import bounded_batches, free_worker, slices, stage, to_
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
 #: Bound of the labelled sample: rows per language and characters per row.
-SAMPLE_ROWS, SAMPLE_CHARS, MAX_LANGUAGES = 400, 4000, 64
+SAMPLE_ROWS, SAMPLE_CHARS = 400, 4000
 #: Neighbouring trigrams overlap, so each counts for part of its evidence.
 TEXT_WEIGHT = 0.25
 MIN_PROBABILITY = 0.5
@@ -60,13 +61,14 @@ def page_text(html: str) -> str:
 class TextModel:
     """Trigram log-probabilities, one column per language and one for none of them."""
 
-    def __init__(self, samples: list[tuple[str, str]]):
-        self.languages = sorted({lang for lang, _ in samples})
-        counts = np.full((BUCKETS, len(self.languages) + 1), 0.1, np.float64)
-        for lang, text in samples:
-            counts[:, self.languages.index(lang)] += np.bincount(trigrams(text), minlength=BUCKETS)
-        counts[:, -1] = 1.0
-        self.logp = np.log(counts / counts.sum(axis=0)).astype(np.float32)
+    def __init__(self, samples: dict[str, np.ndarray]):
+        """``samples``: numbers of trigrams by bucket, of each language."""
+        self.languages = sorted(samples)
+        self.logp = np.empty((BUCKETS, len(self.languages) + 1), np.float32)
+        for i, lang in enumerate(self.languages):
+            counts = samples[lang] + 0.1
+            self.logp[:, i] = np.log(counts / counts.sum())
+        self.logp[:, -1] = np.log(1.0 / BUCKETS)
 
     def score(self, text: str) -> tuple[int, np.ndarray]:
         n, total = 0, np.zeros(self.logp.shape[1])
@@ -84,22 +86,36 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 def fit_text_model(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    lang_col: str = "lang") -> TextModel:
-    """Fit on at most SAMPLE_ROWS rows of each of the MAX_LANGUAGES most
-    frequent labels, those with the smallest hashed ids; SAMPLE_CHARS of each.
-    The sample, and so what reaches the driver, is bounded by these three."""
+    """Fit on at most SAMPLE_ROWS rows of each label, those with the smallest
+    hashed ids; SAMPLE_CHARS of each.  Every label is a class.  The trigrams are
+    counted in the tasks: one table of BUCKETS counters a label reaches the driver."""
     label = _primary(F.col(lang_col))
-    top = [r["lang"] for r in labelled.groupBy(label.alias("lang")).count()
-           .filter("lang IS NOT NULL").orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("key", "id"))
     ids = (labelled.select(label.alias("lang"), F.col(id_col).alias("id"))
-           .filter(F.col("lang").isin(top)).withColumn("key", F.xxhash64("id"))
+           .filter("lang IS NOT NULL").withColumn("key", F.xxhash64("id"))
            .withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_ROWS).select("lang", "id"))
     rows = (labelled.select(F.col(id_col).alias("id"), label.alias("lang"),
                             F.substring(text_col, 1, SAMPLE_CHARS).alias("text"))
             .join(F.broadcast(ids), ["id", "lang"], "left_semi")  # bounded by the sample
-            .filter("text IS NOT NULL").limit(2 * SAMPLE_ROWS * MAX_LANGUAGES)
-            .select("lang", "text").collect())
-    return TextModel([(r["lang"], r["text"]) for r in rows] or [(UNDETERMINED + "-none", "")])
+            .filter("text IS NOT NULL").select("lang", "text"))
+    tables = rows.repartition("lang").mapInArrow(_count_trigrams, "lang string, counts binary").collect()
+    samples: dict[str, np.ndarray] = {}
+    for r in tables:
+        samples[r["lang"]] = np.frombuffer(zstandard.decompress(r["counts"]), np.int64)
+    return TextModel(samples or {UNDETERMINED + "-none": np.zeros(BUCKETS, np.int64)})
+
+
+def _count_trigrams(batches):
+    """One row per label of the task: its zstd-packed trigram counts."""
+    schema = pa.schema([("lang", pa.string()), ("counts", pa.binary())])
+    counts: dict[str, np.ndarray] = {}
+    for langs, texts in slices(batches):
+        for lang, text in zip(langs, texts):
+            if lang not in counts:
+                counts[lang] = np.zeros(BUCKETS, np.int64)
+            counts[lang] += np.bincount(trigrams(text), minlength=BUCKETS)
+    for lang, own in counts.items():
+        yield to_batch({"lang": [lang], "counts": [zstandard.compress(own.tobytes())]}, schema)
 
 
 def _primary(c: Column) -> Column:

@@ -389,6 +389,19 @@ def test_language(spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {*range(120), 902}
 
 
+def test_language_has_a_class_for_every_label(spark):
+    rng = random.Random(4)
+    labels = [a + b for a in "abcdefghij" for b in "klmnopq"]
+    banks = {x: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)] for x in labels}
+    rows = [(100 * n + i, " ".join(rng.choice(banks[x]) for _ in range(30)), x, "s")
+            for n, x in enumerate(labels) for i in range(4 if n < 66 else 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = language_id.fit_text_model(docs)
+    assert model.languages == sorted(labels)
+    got = {r.id: r for r in language_id.identify(language_id.document_evidence(docs), model).collect()}
+    assert all(got[i].language == lang and got[i].accepted for i, _, lang, _ in rows)
+
+
 def test_empty_tables(spark, empty):
     assert exact_dedup.exact_dedup(empty).count() == 0
     assert packing.pack_documents(empty).count() == 0
