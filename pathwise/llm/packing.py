@@ -47,7 +47,7 @@ class WordEncoder:
     """Ids of a text as little-endian 32-bit integers.
 
     The tokenizer drops white space and encodes each piece of a word by
-    itself.  So the ids of words seen before are kept, and the new pieces of a
+    itself; its added tokens are cut out first.  So the ids of words seen before are kept, and the new pieces of a
     text are encoded together, one space apart: a piece ends with the id whose
     token has the end-of-word mark.
     """
@@ -55,7 +55,12 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # tokens of the file that stand for themselves in any text, found before all else
+        self.added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        if any(t.normalized or t.single_word for t in self.tokenizer.get_added_tokens_decoder().values()):
+            raise ValueError("the tokenizer does not take its added tokens from the plain text")
+        longest = sorted(self.added, key=len, reverse=True)
+        self.special = regex.compile(f"({'|'.join(map(regex.escape, longest))})") if longest else None
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
@@ -73,7 +78,14 @@ class WordEncoder:
         yield text[at:] if at else text
 
     def __call__(self, text: str) -> bytes:
-        return b"".join([self.part(p) for p in self.parts(text)])
+        return b"".join([self.cut(p) for p in self.parts(text)])
+
+    def cut(self, text: str) -> bytes:
+        """Ids of a part: those of its added tokens and of what lies between them."""
+        if not self.special or not self.special.search(text):
+            return self.part(text)
+        return b"".join([self.added[t].to_bytes(4, "little") if i % 2 else self.part(t)
+                         for i, t in enumerate(self.special.split(text))])
 
     def part(self, text: str) -> bytes:
         found = SPACE.split(text) if NOT_SPACE.search(text) else text.split()

@@ -113,6 +113,16 @@ def test_encoder_is_the_tokenizers():
         assert e(t) == b"".join(i.to_bytes(4, "little") for i in e.tokenizer.encode(t, add_special_tokens=False).ids)
 
 
+def test_encoder_knows_the_added_tokens():
+    from tokenizers import Tokenizer
+
+    e, fresh = packing.WordEncoder(packing.default_tokenizer_path()), Tokenizer.from_file(packing.default_tokenizer_path())
+    for t in ["a <|endoftext|> b", "a<|endoftext|>b", "<|startoftext|><|endoftext|>", "<|ENDOFTEXT|> <|endoftext", "e<|endoftext|>\u0301",
+              "word " * 100_001 + "<|endoftext|> end"]:
+        assert e(t) == b"".join(i.to_bytes(4, "little") for i in fresh.encode(t, add_special_tokens=False).ids)
+    assert len(e("a <|endoftext|> b")) == 4 * 3
+
+
 def near_components(sets, num, den):
     parent = {i: i for i in sets}
 
