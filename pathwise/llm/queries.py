@@ -7,16 +7,19 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
+from pathwise.llm import byte_bpe as op11
 from pathwise.llm import decontaminate as op8
 from pathwise.llm import exact_dedup as op1
 from pathwise.llm import html_wrapper as op7
 from pathwise.llm import jaccard_join as op5
 from pathwise.llm import language_id as op2
+from pathwise.llm import lexical_search as op12
 from pathwise.llm import line_dedup as op10
 from pathwise.llm import packing as op3
 from pathwise.llm import secret_scan as op9
 from pathwise.llm import substring_dedup as op6
 from pathwise.llm import warc as op4
+from pathwise.llm import whitening as op13
 from pathwise.llm.common import table
 
 
@@ -60,6 +63,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11.token_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -71,7 +86,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_secret_scan": op9_secret_scan,
     "op10_line_dedup": op10_line_dedup,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_whitening": op13_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": op1.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": op1.ORACLE, "op12_lexical_search": op12.ORACLE}
