@@ -1,19 +1,23 @@
-"""``level_bucket_rollup``: every dashboard's 15 (or 5) GROUP BYs in one pass.
+"""``level_bucket_rollup``: every dashboard's 15 (or 5) GROUP BYs from one scan.
 
 A dashboard groups one base by time + dims at five organisation levels, each
 for three *overlapping* usage buckets (``1+``, ``2+`` within it, and
-``none``).  Instead of scanning the base once per (level, bucket), each row
-is expanded in the map stage into the (level, bucket) cells it belongs to --
-at most 5 x 2 rows -- and one ``groupBy`` aggregates them.  Spark's partial
-(map-side) aggregation collapses the expanded rows per task before the
-shuffle, so the shuffle carries one row per group per task, not 10 per input
-row, and the National level (one group per dims, the hottest key there is)
-never concentrates raw rows in one task.
-
-Optionally (``fold=True``) the base is first folded to its finest grain
-(time + dims + the geography columns the levels read + bucket class) and
-only the folded rows are expanded.  Both are exact for SUM / COUNT / AVG:
-averages travel as (exact decimal sum, non-null count) and divide last.
+``none``).  Instead of scanning the base once per (level, bucket), two steps:
+
+1. ``finest_cells`` folds the base to its finest cells -- time, dims, the
+   geography columns the levels read, and the bucket class -- with Spark's
+   partial aggregation before the shuffle, so a hot key is collapsed per task.
+2. ``roll_up`` deals the cells out by (time, dims) only.  Every level's keys
+   contain these, so all coarser levels and buckets are merged from the cells
+   inside the tasks, without another shuffle: a (time, dims) pair has at most
+   as many cells as the reference data has organisation pairs, three times.
+
+What is shuffled is the cells, twice, not ten rows per base row.  Exact for
+SUM / COUNT / AVG: averages travel as (exact decimal sum, non-null count) and
+divide last.  Cells made with ``subtractable=True`` can also be taken away
+again (``merge_cells``), which is how a refresh by change set works.
+
+``fold=False`` expands the base rows themselves and aggregates them at once.
 """
 
 from __future__ import annotations
@@ -35,9 +39,16 @@ class Measure:
     col: str
     count_col: str | None = None   # avg_parts: column holding the non-null count
 
-    def partials(self) -> list[tuple[str, Column]]:
-        """(name, per-row expression) of the mergeable partial columns."""
+    def partials(self, subtractable: bool = False) -> list[tuple[str, Column]]:
+        """(name, per-row expression) of the mergeable partial columns.  A sum
+        that is to be taken away again needs its count of values too: NULL
+        minus NULL cannot tell whether values are left."""
         c = F.col(self.col)
+        if subtractable and self.kind != "count":
+            value = c.cast(AVG_TYPE) if self.kind == "avg" else c
+            count = F.col(self.count_col) if self.kind == "avg_parts" else F.when(c.isNotNull(), 1).otherwise(0)
+            return [(f"_s_{self.name}", F.coalesce(value, F.lit(0).cast(AVG_TYPE) if self.kind == "avg" else F.lit(0))),
+                    (f"_c_{self.name}", count)]
         if self.kind == "sum":
             return [(f"_s_{self.name}", c)]
         if self.kind == "count":
@@ -51,14 +62,19 @@ class Measure:
             return [(f"_s_{self.name}", c), (f"_c_{self.name}", F.col(self.count_col))]
         raise ValueError(self.kind)
 
-    def final(self) -> Column:
+    def final(self, subtractable: bool = False, averages: str = "double") -> Column:
+        """The published value.  Averages: one IEEE division of the exact sum
+        (``double``), or ``decimal``: decimal(38,6), as the reference types
+        them, the exact quotient rounded half up at the sixth place."""
+        total, n = F.col(f"_s_{self.name}"), F.col(f"_c_{self.name}")
         if self.kind == "sum":
-            return F.col(f"_s_{self.name}").alias(self.name)
+            return (F.when(n > 0, total) if subtractable else total).alias(self.name)
         if self.kind == "count":
-            return F.col(f"_c_{self.name}").cast("bigint").alias(self.name)
-        # exact sum, one IEEE division at the end; no non-null value -> NULL
-        return (F.col(f"_s_{self.name}").cast("double")
-                / F.nullif(F.col(f"_c_{self.name}"), F.lit(0)).cast("double")).alias(self.name)
+            return n.cast("bigint").alias(self.name)
+        n = F.nullif(n.cast("bigint"), F.lit(0).cast("bigint"))  # no non-null value -> NULL
+        if averages == "decimal":
+            return (total.cast("decimal(38,2)") / n.cast("decimal(19,0)")).cast("decimal(38,6)").alias(self.name)
+        return (total.cast("double") / n.cast("double")).alias(self.name)
 
 
 def Sum(name: str, col: str | None = None) -> Measure:
@@ -125,14 +141,68 @@ def _bucket_class(n: Column) -> Column:
     return F.when(n >= 2, 2).when(n >= 1, 1).when(n.isNull() | (n == 0), 0)
 
 
+def finest_cells(df: DataFrame, times: list[str], dims: list[str], measures: list[Measure], *,
+                 bucket_col: str | None = "iet_count", levels=R.ORG_LEVELS,
+                 subtractable: bool = False) -> DataFrame:
+    """One row per (times, dims, geography, bucket class ``_bucket``) with the
+    measures' partial columns, and the number of rows ``_rows`` where
+    ``subtractable``."""
+    partials = [p for m in measures for p in m.partials(subtractable)]
+    if subtractable:
+        partials.append(("_rows", F.lit(1)))
+    klass = [_bucket_class(F.col(bucket_col)).alias("_bucket")] if bucket_col else []
+    geo = level_source_columns(levels)
+    return (df.select(*times, *dims, *geo, *klass, *[e.alias(n) for n, e in partials])
+            .groupBy(*times, *dims, *geo, *(["_bucket"] if bucket_col else []))
+            .agg(*[F.sum(n).alias(n) for n, _ in partials]))
+
+
+def merge_cells(add: DataFrame, take: DataFrame | None = None) -> DataFrame:
+    """Cells added up key by key; those of ``take`` are taken away.  A cell
+    without rows is gone."""
+    partials = [c for c in add.columns if c.startswith(("_s_", "_c_")) or c == "_rows"]
+    keys = [c for c in add.columns if c not in partials]
+    rows = add
+    if take is not None:
+        rows = add.unionByName(take.select(*keys, *[(-F.col(c)).alias(c) for c in partials]))
+    types = dict(add.dtypes)
+    return (rows.groupBy(*keys).agg(*[F.sum(c).cast(types[c]).alias(c) for c in partials])
+            .filter(F.col("_rows") != 0).select(*add.columns))
+
+
+def _expanded(rows: DataFrame, time: str, dims: list[str], partials: list[str], bucketed: bool,
+              levels) -> DataFrame:
+    """Every row in each (level, bucket) it belongs to: at most 5 x 2 rows."""
+    if bucketed:
+        rows = rows.select("*", F.explode(buckets_column(F.col("_bucket"))).alias("appointment_type"))
+    geo = level_source_columns(levels)
+    text_type = rows.schema[geo[0]].dataType if geo else None
+    return rows.select(time, *(["appointment_type"] if bucketed else []), *dims, *partials,
+                       F.inline(levels_column(levels, text_type)))
+
+
+def roll_up(cells: DataFrame, time: str, dims: list[str], measures: list[Measure], *,
+            bucketed: bool = True, levels=R.ORG_LEVELS, subtractable: bool = False,
+            averages: str = "double", derived: dict[str, Column] | None = None) -> DataFrame:
+    """The dashboard of ``cells`` (``finest_cells``, or any finer ones)."""
+    names = [n for m in measures for n, _ in m.partials(subtractable)]
+    bucket_keys = ["appointment_type"] if bucketed else []
+    rows = _expanded(cells.repartition(time, *dims), time, dims, names, bucketed, levels)
+    out = rows.groupBy(time, *R.ORG_COLUMNS, *bucket_keys, *dims).agg(*[F.sum(n).alias(n) for n in names])
+    extra = [c.alias(name) for name, c in (derived or {}).items()]
+    return out.select(time, *R.ORG_COLUMNS, *bucket_keys, *dims, *extra,
+                      *[m.final(subtractable, averages) for m in measures])
+
+
 def level_bucket_rollup(df: DataFrame, time: str, dims: list[str], measures: list[Measure], *,
                         bucket_col: str | None = "iet_count", levels=R.ORG_LEVELS,
-                        fold: bool = False,
+                        fold: bool = True, averages: str = "double",
                         derived: dict[str, Column] | None = None) -> DataFrame:
-    """One aggregation for all (level, bucket) branches of a dashboard.
+    """All (level, bucket) branches of a dashboard.
 
     Output: time, org_type, region, org_name, org_code, [appointment_type],
-    dims..., derived..., measures... (sum/count -> bigint, averages -> double).
+    dims..., derived..., measures... (sum/count -> bigint, averages -> double,
+    or decimal(38,6) with ``averages="decimal"``).
 
     ``derived``: output columns that are functions of the grouping keys only
     (a label of a code, say).  Grouping by the key alone gives the same
@@ -141,37 +211,21 @@ def level_bucket_rollup(df: DataFrame, time: str, dims: list[str], measures: lis
     and shuffled with every row -- long text keys dominate this operator's
     cost.
     """
+    if fold:
+        cells = finest_cells(df, [time], dims, measures, bucket_col=bucket_col, levels=levels)
+        return roll_up(cells, time, dims, measures, bucketed=bool(bucket_col), levels=levels,
+                       averages=averages, derived=derived)
     partials = [p for m in measures for p in m.partials()]
-    partial_names = [name for name, _ in partials]
-    org_keys = list(R.ORG_COLUMNS)
+    names = [n for n, _ in partials]
     bucket_keys = ["appointment_type"] if bucket_col else []
-
-    if fold:
-        geo = level_source_columns(levels)
-        klass = [_bucket_class(F.col(bucket_col)).alias("_bucket")] if bucket_col else []
-        rows = (df.select(time, *dims, *geo, *klass, *[e.alias(n) for n, e in partials])
-                .groupBy(time, *dims, *geo, *(["_bucket"] if bucket_col else []))
-                .agg(*[F.sum(n).alias(n) for n in partial_names]))
-        # class -> the same buckets as the raw count would give
-        n_expr = F.col("_bucket") if bucket_col else None
-        merge = [F.sum(n).alias(n) for n in partial_names]
-    else:
-        rows = df.select(time, *dims, *level_source_columns(levels),
-                         *([F.col(bucket_col).alias("_bucket")] if bucket_col else []),
-                         *[e.alias(n) for n, e in partials])
-        n_expr = F.col("_bucket") if bucket_col else None
-        merge = [F.sum(n).alias(n) for n in partial_names]
-
-    if bucket_col:
-        rows = rows.select("*", F.explode(buckets_column(n_expr)).alias("appointment_type"))
-    geo = level_source_columns(levels)
-    text_type = rows.schema[geo[0]].dataType if geo else None
-    expanded = rows.select(time, *bucket_keys, *dims, *partial_names,
-                           F.inline(levels_column(levels, text_type)))
-    out = expanded.groupBy(time, *org_keys, *bucket_keys, *dims).agg(*merge)
+    rows = df.select(time, *dims, *level_source_columns(levels),
+                     *([F.col(bucket_col).alias("_bucket")] if bucket_col else []),
+                     *[e.alias(n) for n, e in partials])
+    out = (_expanded(rows, time, dims, names, bool(bucket_col), levels)
+           .groupBy(time, *R.ORG_COLUMNS, *bucket_keys, *dims).agg(*[F.sum(n).alias(n) for n in names]))
     extra = [c.alias(name) for name, c in (derived or {}).items()]
-    return out.select(time, *org_keys, *bucket_keys, *dims, *extra,
-                      *[m.final() for m in measures])
+    return out.select(time, *R.ORG_COLUMNS, *bucket_keys, *dims, *extra,
+                      *[m.final(averages=averages) for m in measures])
 
 
 _UNROLLED_BUCKETS = [

@@ -8,7 +8,9 @@ questionnaire range of 24 months back (one month in the monthly run).
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,16 +18,19 @@ from pyspark.sql import functions as F
 from pathwise.functions import labels as L
 from pathwise.functions import rules as R
 from pathwise.operators.checks import reference_duplicates
+from pathwise.operators.distinct_state import merged_usage, usage_state
 from pathwise.operators.orgs import resolve_commissioner, resolve_provider
 from pathwise.operators.ranking import rank_newest
 from pathwise.operators.rollup import Avg, Count, Sum, buckets_column, level_bucket_rollup
-from pathwise.operators.versions import latest_only
+from pathwise.operators.versions import VERSION_KEYS, latest_only
 from pathwise.plans import appointments as A
 from pathwise.plans import averages as V
 from pathwise.plans import outcomes as O
 from pathwise.plans import questionnaire as Q
+from pathwise.plans.change_set import USAGE_KEYS, Applied, ChangeSetRefresh
 from pathwise.plans.refresh import MonthlyRefresh
 from pathwise.sources import publish as P
+from pathwise.sources.snapshots import Snapshot, SnapshotTable
 from pathwise.sources.tables import Sources, driver_sources
 
 FIXTURE_FIRST = "1996-01-01"
@@ -34,10 +39,10 @@ FIXTURE_QUESTIONNAIRE_OFFSET = -24
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_REFRESHES: dict[tuple[str, str, bool], MonthlyRefresh] = {}
+_REFRESHES: dict[tuple[str, str, bool | None], MonthlyRefresh] = {}
 
 
-def refresh(spark: SparkSession, sf_dir: str, fold: bool = False) -> MonthlyRefresh:
+def refresh(spark: SparkSession, sf_dir: str, fold: bool | None = None) -> MonthlyRefresh:
     """The fixture refresh for ``sf_dir``.  One per Spark application: its
     DataFrames are immutable, lazy plans, so queries sharing a job (the
     pathway base, say) share the built plan instead of rebuilding it through
@@ -250,6 +255,43 @@ def _month_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.read_published(spark, path, latest.columns)
 
 
+class _Killed(Exception):
+    """Stands for the loss of the driver in the middle of a publish."""
+
+
+class _DiesBeforeCommit(SnapshotTable):
+    def _commit(self, snapshot: Snapshot) -> Snapshot:
+        raise _Killed
+
+
+def _atomic_month_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly runs of ``month_runs`` into a snapshot table, with a run of
+    the whole month range that is killed when its rows are written but not
+    committed: readers never see it."""
+    src = driver_sources(spark, sf_dir)
+    path = f"{P.new_run_dir(spark, 'atomic-month-runs')}/questionnaire_dashboard"
+    table = SnapshotTable(spark, path)
+    before, latest = (MonthlyRefresh(src, first=FIXTURE_FIRST, lag=lag)
+                      for lag in (R.REFRESH_LAG_MONTHS + 1, R.REFRESH_LAG_MONTHS))
+    table.publish_months(before.questionnaire_dashboard, before.questionnaire_months())
+    whole = refresh(spark, sf_dir)
+    with contextlib.suppress(_Killed):
+        _DiesBeforeCommit(spark, path).publish_months(whole.questionnaire_dashboard, whole.questionnaire_months())
+    for _ in range(2):
+        table.publish_months(latest.questionnaire_dashboard, latest.questionnaire_months())
+    return table.read()
+
+
+def _month_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK3 as the reference writes it: a plain insert, so a repeated month
+    stands twice (K9)."""
+    r = MonthlyRefresh(driver_sources(spark, sf_dir), first=FIXTURE_FIRST)
+    path = f"{P.new_run_dir(spark, 'month-append')}/questionnaire_dashboard"
+    for _ in range(2):
+        P.append_month(r.questionnaire_dashboard, path)
+    return P.read_published(spark, path, r.questionnaire_dashboard.columns)
+
+
 def _full_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK1 twice: overwrite leaves one copy."""
     df = refresh(spark, sf_dir).time_recorded_dashboard
@@ -259,6 +301,38 @@ def _full_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.read_published(spark, path, df.columns)
 
 
+def earlier_register(register: DataFrame) -> DataFrame:
+    """The fixture register as it was: without its last three months, and with
+    every third month's second version still to come."""
+    newest = register.agg(F.add_months(F.max("period_start"), -3).alias("m")).select("m").scalar()
+    waiting = F.month("period_start") % 3 == 0
+    return (register.filter((F.col("period_start") <= newest) & ~(waiting & (F.col("audit_id") == 2)))
+            .withColumn("is_latest", F.when(waiting, F.lit(1)).otherwise(F.col("is_latest"))))
+
+
+_CHANGE_SETS: dict[tuple[str, str], Applied] = {}
+
+
+def two_registers(spark: SparkSession, sf_dir: str) -> Applied:
+    """The earlier register, then the present one by its change set; once per
+    Spark application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CHANGE_SETS:
+        src = driver_sources(spark, sf_dir)
+        state = ChangeSetRefresh(spark, P.new_run_dir(spark, "change-set"), first=FIXTURE_FIRST)
+        state.apply(replace(src, submission_register=earlier_register(src.submission_register)))
+        _CHANGE_SETS[key] = state.apply(src)
+    return _CHANGE_SETS[key]
+
+
+def _monthly_digital_summary(s: Sources) -> DataFrame:
+    """J01 from mergeable states, one per submission version."""
+    log = latest_only(s.digital_log, s.submission_register).withColumn("product", L.canonical_product("product"))
+    states = usage_state(log, [*VERSION_KEYS, *USAGE_KEYS], id_col="log_id", minutes="minutes",
+                         counted=F.col("end_date").between(F.col("period_start"), F.col("period_end")))
+    return merged_usage(states, USAGE_KEYS)
+
+
 QUERIES: dict[str, Query] = {
     # jobs (J01-J18)
     "digital_summary": _job("digital_summary"),
@@ -311,4 +385,11 @@ QUERIES: dict[str, Query] = {
     "month_publish": _month_publish,
     "month_runs": _month_runs,
     "full_publish": _full_publish,
+    "atomic_month_runs": _atomic_month_runs,
+    "month_append": _month_append,
+    # refresh by change set: two registers in turn
+    "change_set_outcomes": lambda spark, sf_dir: two_registers(spark, sf_dir).outcome_dashboard(),
+    "change_set_waits": lambda spark, sf_dir: two_registers(spark, sf_dir).wait_dashboard(),
+    "change_set_treatments": lambda spark, sf_dir: two_registers(spark, sf_dir).treatment_dashboard(),
+    "monthly_digital_summary": _src(_monthly_digital_summary),
 }

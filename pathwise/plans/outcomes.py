@@ -9,7 +9,7 @@ from pathwise.functions import labels as L
 from pathwise.functions import rules as R
 from pathwise.operators.orgs import resolve_commissioner, resolve_provider
 from pathwise.operators.rollup import Avg, Sum, level_bucket_rollup
-from pathwise.operators.versions import ReportingWindow, latest_only
+from pathwise.operators.versions import VERSION_KEYS, ReportingWindow, latest_only
 from pathwise.sources.tables import Sources
 
 
@@ -84,52 +84,65 @@ BASE_COLUMNS = [
 ]
 
 
-def pathway_base(src: Sources, window: ReportingWindow, summary: DataFrame,
-                 minutes: DataFrame) -> DataFrame:
-    """One row per completed pathway x digital product, all months of the window.
-
-    A pathway with two products keeps two rows (join on pathway only, K1).
-    Plan: the register, calendar and organisation tables are small sides
-    (broadcast by Spark's size check); the two per-pathway aggregates join on
-    ``pathway_id``, so referral, J01 and J02 meet on one hash partitioning and
-    the final DISTINCT reuses it (its keys include ``pathway_id``).
-    """
-    ref = latest_referrals(src)
-    ref = ref.filter(completed_in_period(ref)
-                     & F.col("received_date").between(window.first_date, window.period_end)
-                     & F.col("period_start").between(window.first_date, window.period_start))
-    ref = with_orgs(ref, src)
-    j01 = summary.select("pathway_id", "product", "integrated",
-                         F.col("minutes").alias("iet_minutes"),
-                         F.col("n_contacts").alias("iet_count"))
-    j02 = minutes.select("pathway_id", F.col("minutes").alias("any_minutes"))
+def labelled_referrals(src: Sources, ref: DataFrame) -> DataFrame:
+    """What J04 takes from a completed referral row (with its period): waits,
+    flags, labels and organisations; nothing of the log, the activities or the
+    window."""
+    ref = with_orgs(ref.filter(completed_in_period(ref)), src)
     cal = src.calendar.select(F.col("full_date").alias("period_start"), "quarter")
-    joined = (ref.join(j01, "pathway_id", "left")
-              .join(j02, "pathway_id", "left")
-              .join(cal, "period_start", "inner"))
-    rows = joined.select(
-        L.month_key("period_start").alias("month"), "quarter", "period_start", "period_end",
+    return ref.join(cal, "period_start", "inner").select(
+        *VERSION_KEYS, L.month_key("period_start").alias("month"), "quarter", "period_start", "period_end",
         "pathway_id", "unique_month_id", "received_date", "first_assessment_date",
         "first_therapy_date", "second_therapy_date", "discharge_date",
         L.wait_days("received_date", "first_assessment_date").alias("wait_ref_to_assess"),
         L.wait_days("received_date", "first_therapy_date").alias("wait_ref_to_therapy"),
         L.wait_days("first_therapy_date", "second_therapy_date").alias("wait_first_to_second"),
-        "old_iet_count", "iet_count", L.product_or_default("product").alias("product"),
-        "iet_minutes", "any_minutes", "integrated", "end_code",
-        *outcome_flag_columns(ref),
+        "old_iet_count", "contact_count", "end_code", *outcome_flag_columns(ref),
         L.problem_label("higher_category", "primary_complaint", "lower_category",
                         "second_complaint").alias("problem"),
         L.gad7_band("anxiety_score").alias("gad7_band"),
-        L.phq9_band("depression_score").alias("phq9_band"),
-        L.usage_mix("iet_count", "contact_count").alias("mix_class"),
-        *R.GEO_COLUMNS,
-    )
+        L.phq9_band("depression_score").alias("phq9_band"), *R.GEO_COLUMNS)
+
+
+def in_window(first_date, period_start, period_end) -> Column:
+    """The window's conditions on a referral."""
+    return (F.col("received_date").between(first_date, period_end)
+            & F.col("period_start").between(first_date, period_start))
+
+
+def base_rows(referrals: DataFrame, summary: DataFrame, minutes: DataFrame) -> DataFrame:
+    """J04 of labelled referrals: joined to J01 and J02 on the pathway, DISTINCT.
+
+    A pathway with two products keeps two rows (join on pathway only, K1).
+    Inputs that lie bucketed by ``pathway_id`` are joined as they lie, and the
+    DISTINCT reuses their partitioning.
+    """
+    j01 = summary.select("pathway_id", "product", "integrated",
+                         F.col("minutes").alias("iet_minutes"),
+                         F.col("n_contacts").alias("iet_count"))
+    j02 = minutes.select("pathway_id", F.col("minutes").alias("any_minutes"))
+    rows = (referrals.join(j01, "pathway_id", "left").join(j02, "pathway_id", "left")
+            .withColumn("product", L.product_or_default("product"))
+            .withColumn("mix_class", L.usage_mix("iet_count", "contact_count")))
     # the end-code description is a function of the end code: DISTINCT over
     # the other columns gives the same rows, without hashing the long text
     at = BASE_COLUMNS.index("end_code_desc")
-    return rows.distinct().select(*BASE_COLUMNS[:at],
-                                  L.end_code_label("end_code").alias("end_code_desc"),
-                                  *BASE_COLUMNS[at + 1:])
+    return (rows.select(*BASE_COLUMNS[:at], *BASE_COLUMNS[at + 1:]).distinct()
+            .select(*BASE_COLUMNS[:at], L.end_code_label("end_code").alias("end_code_desc"),
+                    *BASE_COLUMNS[at + 1:]))
+
+
+def pathway_base(src: Sources, window: ReportingWindow, summary: DataFrame,
+                 minutes: DataFrame) -> DataFrame:
+    """One row per completed pathway x digital product, all months of the window.
+
+    Plan: the register, calendar and organisation tables are small sides
+    (broadcast by Spark's size check); the two per-pathway aggregates join on
+    ``pathway_id``, so referral, J01 and J02 meet on one hash partitioning and
+    the final DISTINCT reuses it (its keys include ``pathway_id``).
+    """
+    ref = latest_referrals(src).filter(in_window(window.first_date, window.period_start, window.period_end))
+    return base_rows(labelled_referrals(src, ref), summary, minutes)
 
 
 OUTCOME_DIMS = ["product", "integrated", "end_code", "end_code_desc", "problem",
@@ -137,12 +150,14 @@ OUTCOME_DIMS = ["product", "integrated", "end_code", "end_code_desc", "problem",
 OUTCOME_FLAGS = ["rec_flag", "not_case_flag", "rel_imp_flag", "rel_rec_flag", "comp_flag"]
 
 
-def outcome_dashboard(base: DataFrame, *, fold: bool = False) -> DataFrame:
+def outcome_dashboard(base: DataFrame, *, fold: bool = True) -> DataFrame:
     """Outcome flag sums by month x clinical dims x level x bucket.
 
     The end-code description is a function of the end code, so the rollup
     groups by the code and labels each output group afterwards (same groups,
-    far shorter keys).
+    far shorter keys).  With so many dims there are about as many cells as
+    base rows, so folding first carries them twice instead of ten times; the
+    dashboards with few dims are collapsed in the map tasks as they are.
     """
     keys = [d for d in OUTCOME_DIMS if d != "end_code_desc"]
     out = level_bucket_rollup(base, "month", keys,

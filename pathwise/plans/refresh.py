@@ -23,6 +23,7 @@ from pathwise.plans import outcomes as O
 from pathwise.plans import questionnaire as Q
 from pathwise.sources import publish as P
 from pathwise.sources.schemas import DASHBOARD_SCHEMAS, conform
+from pathwise.sources.snapshots import SnapshotTable
 from pathwise.sources.tables import Sources
 
 DASHBOARDS = [
@@ -34,11 +35,13 @@ DASHBOARDS = [
 class MonthlyRefresh:
     def __init__(self, src: Sources, *, first: str = R.FIRST_REPORTING_DATE,
                  lag: int = R.REFRESH_LAG_MONTHS, questionnaire_offset: int = 0,
-                 fold: bool = False, answers_latest_versions_only: bool = False,
+                 fold: bool | None = None, answers_latest_versions_only: bool = False,
                  overrides: dict[str, DataFrame] | None = None):
         self.src = src
         self.answers_latest_versions_only = answers_latest_versions_only
         self.first, self.lag, self.questionnaire_offset, self.fold = first, lag, questionnaire_offset, fold
+        # None: each dashboard as is best for it
+        self._rollup = {} if fold is None else {"fold": fold}
         for name, df in (overrides or {}).items():
             self.__dict__[name] = df          # pre-seed cached_property values
 
@@ -67,7 +70,7 @@ class MonthlyRefresh:
 
     @cached_property
     def outcome_dashboard(self) -> DataFrame:
-        return O.outcome_dashboard(self.pathway_base, fold=self.fold)
+        return O.outcome_dashboard(self.pathway_base, **self._rollup)
 
     @cached_property
     def latest_answers(self) -> DataFrame:
@@ -84,7 +87,7 @@ class MonthlyRefresh:
 
     @cached_property
     def questionnaire_dashboard(self) -> DataFrame:
-        return Q.questionnaire_dashboard(self.questionnaire_base, fold=self.fold)
+        return Q.questionnaire_dashboard(self.questionnaire_base, **self._rollup)
 
     @cached_property
     def digital_contact_rows(self) -> DataFrame:
@@ -100,16 +103,16 @@ class MonthlyRefresh:
 
     @cached_property
     def time_recorded_dashboard(self) -> DataFrame:
-        return A.time_recorded_dashboard(self.appointment_base, fold=self.fold)
+        return A.time_recorded_dashboard(self.appointment_base, **self._rollup)
 
     # script 2 ------------------------------------------------------------
     @cached_property
     def wait_dashboard(self) -> DataFrame:
-        return O.wait_dashboard(self.pathway_base, fold=self.fold)
+        return O.wait_dashboard(self.pathway_base, **self._rollup)
 
     @cached_property
     def treatment_dashboard(self) -> DataFrame:
-        return O.treatment_dashboard(self.pathway_base, fold=self.fold)
+        return O.treatment_dashboard(self.pathway_base, **self._rollup)
 
     @cached_property
     def digital_contact_base(self) -> DataFrame:
@@ -118,7 +121,7 @@ class MonthlyRefresh:
     @cached_property
     def digital_time_dashboard(self) -> DataFrame:
         return V.digital_time_dashboard(self.pathway_base, self.digital_contact_rows,
-                                        fold=self.fold)
+                                        **self._rollup)
 
     @cached_property
     def all_contact_rows(self) -> DataFrame:
@@ -134,7 +137,7 @@ class MonthlyRefresh:
 
     @cached_property
     def any_time_dashboard(self) -> DataFrame:
-        return V.any_time_dashboard(self.pathway_base, self.all_contact_rows, fold=self.fold)
+        return V.any_time_dashboard(self.pathway_base, self.all_contact_rows, **self._rollup)
 
     def questionnaire_months(self) -> list[dt.date]:
         """First days of the months the questionnaire run covers."""
@@ -152,7 +155,7 @@ class MonthlyRefresh:
                               overrides=seeds)
 
     def publish(self, out_dir: str, run_dir: str, *, month_append: bool = False,
-                parallel: bool = True) -> dict[str, str]:
+                parallel: bool = True, atomic: bool = False) -> dict[str, str]:
         """Write all seven dashboards, by name with their published schemas
         (``schemas.DASHBOARD_SCHEMAS``); the questionnaire one by month partition.
 
@@ -161,6 +164,9 @@ class MonthlyRefresh:
         starts as soon as the tables it reads exist, so independent jobs run
         side by side: on a large cluster one small dashboard stage cannot
         fill the slots, several concurrent ones can.
+
+        ``atomic``: each dashboard is a ``SnapshotTable``, so a run killed at
+        any step leaves every table as one of its snapshots.
         """
         def work(name: str, *needs: str):
             def run(done: dict[str, DataFrame]) -> DataFrame:
@@ -173,7 +179,13 @@ class MonthlyRefresh:
                 path = f"{out_dir}/{name}"
                 df = conform(getattr(self._with({n: done[n] for n in needs}), name),
                              DASHBOARD_SCHEMAS[name])
-                if name == "questionnaire_dashboard":
+                if atomic:
+                    table = SnapshotTable(df.sparkSession, path)
+                    if name == "questionnaire_dashboard":
+                        table.publish_months(df, self.questionnaire_months(), append=month_append)
+                    else:
+                        table.publish_full(df)
+                elif name == "questionnaire_dashboard":
                     if month_append:
                         P.append_month(df, path)
                     else:
