@@ -11,8 +11,8 @@ threads begin are settled: lookahead is bounded by the longest token.  States
 and moves are made when first met and kept in the worker, up to a fixed
 number; then the table is begun anew, which changes no result.
 
-Decoding.  A state machine over UTF-8 moves from token to token: its state is
-the unfinished character, each move gives the characters that became whole.
+Decoding.  An incremental state machine over UTF-8: its state is the character
+left unfinished, each run of ids gives the characters that became whole.
 
 Both are maps over rows: no shuffle, nothing grows with the corpus but rows.
 """
@@ -21,8 +21,7 @@ from __future__ import annotations
 
 import base64
 import gc
-from collections.abc import Iterator, Sequence
-from itertools import chain
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -35,13 +34,13 @@ from pyspark.sql import functions as F
 from pathwise.llm.common import bounded_batches, kept_in_worker, slices
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
-#: Kept in a worker at most: states of the transducer, pieces with their ids,
-#: moves of the decoder, pairs of neighbours.  Beyond, a table is begun anew.
-MAX_STATES, MAX_PIECES, MAX_MOVES, MAX_PAIRS = 200_000, 300_000, 400_000, 1_000_000
+#: Kept in a worker at most: states of the transducer, pieces with their ids
+#: (in each generation), pairs of neighbours.  Beyond, a table is begun anew.
+MAX_STATES, MAX_PIECES, MAX_PAIRS = 200_000, 300_000, 1_000_000
 #: Bytes of one piece after which its settled tokens are put out.
 STRETCH = 8192
-#: Ids looked up at once in decoding.
-RUN = 32
+#: Ids decoded at a time.
+RUN = 1 << 16
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -147,20 +146,20 @@ class Transducer:
             ok = right is not None if a < 0 and right else merge_by_rank(data, self.ranks) == ([a, b] if a >= 0 else [b])
             ok = ok and (a < 0 or self._fits(-1, b))
         else:
-            xs, ys, i, j, ok = left[1], right[0], 0, 0, True
-            never = len(self.ranks)
+            xs, ys, never, find = iter(left[1]), iter(right[0]), len(self.ranks), self.ranks.get
+            (x, x_ends), (y, y_ends) = next(xs), next(ys)
             while True:
-                (x, x_ends), (y, y_ends) = xs[i], ys[j]
-                rank = self.ranks.get(x + y, never)
-                if rank < x_ends and rank <= y_ends and rank < never:
+                rank = find(x + y, never)
+                if rank < x_ends and rank <= y_ends:
                     ok = False
                     break
-                if x_ends == y_ends == never:
-                    break
                 if x_ends <= y_ends:
-                    i += 1
+                    if x_ends == never:
+                        ok = True
+                        break
+                    x, x_ends = next(xs)
                 else:
-                    j += 1
+                    y, y_ends = next(ys)
         self.fit[key] = ok
         return ok
 
@@ -211,20 +210,20 @@ class Transducer:
         return (*out, *self._settled(lasts, 0))
 
     def _settled(self, lasts: list[int], open_bytes: int) -> list[int]:
-        """Takes from ``lasts`` the tokens that end before its ``open_bytes``
-        last bytes and that all tokenizations of these bytes begin with."""
-        paths = []
-        for end in range(len(lasts) - open_bytes, len(lasts) + 1) if open_bytes else (len(lasts),):
-            path: list[int] = []
-            while end:
-                path.append(lasts[end - 1])
-                end -= len(self.bytes_of[path[-1]])
-            paths.append(path[::-1])
-        agreed = 0
-        while agreed < min(map(len, paths)) and len({p[agreed] for p in paths}) == 1:
-            agreed += 1
-        del lasts[:sum(len(self.bytes_of[t]) for t in paths[0][:agreed])]
-        return paths[0][:agreed]
+        """Takes from ``lasts`` the tokens that all tokenizations of a prefix
+        that ends in its ``open_bytes`` last bytes begin with."""
+        ends = set(range(len(lasts) - open_bytes, len(lasts) + 1))
+        while len(ends) > 1:  # the furthest end goes back by its last token, until all have met
+            end = max(ends)
+            ends.remove(end)
+            ends.add(end - len(self.bytes_of[lasts[end - 1]]))
+        met = end = ends.pop()
+        path: list[int] = []
+        while end:
+            path.append(lasts[end - 1])
+            end -= len(self.bytes_of[path[-1]])
+        del lasts[:met]
+        return path[::-1]
 
 
 # ---- pieces -------------------------------------------------------------------
@@ -261,19 +260,20 @@ class Splitter:
 
 
 class Encoder(dict):
-    """Piece to ids, by the transducer; pieces met of late are kept, in two
-    generations: when the young one is full, it takes the old one's place."""
+    """Piece to ids (as the bytes of 32-bit integers), by the transducer;
+    pieces met of late are kept, in two generations: when the young one is
+    full, it takes the old one's place."""
 
     def __init__(self, path: str, pattern: str):
         super().__init__()
         self.transducer = Transducer(read_ranks(path))
         self.splitter = Splitter(pattern)
-        self.old: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            ids = self.transducer.encode(piece.encode("utf-8"))
+            ids = array("i", self.transducer.encode(piece.encode("utf-8"))).tobytes()
         if len(piece) <= 64:
             if len(self) >= MAX_PIECES:
                 self.old = dict(self)
@@ -281,8 +281,8 @@ class Encoder(dict):
             self[piece] = ids
         return ids
 
-    def encode(self, text: str) -> Iterator[int]:
-        return chain.from_iterable(map(self.__getitem__, self.splitter.pieces(text)))
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.__getitem__, self.splitter.pieces(text))), np.int32)
 
 
 # ---- decoding -----------------------------------------------------------------
@@ -303,16 +303,43 @@ def _utf8_moves() -> list[list[int]]:
 
 class Utf8Stream:
     """Incremental decoder: bytes in any cut, whole characters out.  A broken
-    sequence gives U+FFFD once for as much of it as was well-formed."""
+    sequence gives U+FFFD once for as much of it as was well-formed.
+
+    Bytes that begin between two characters and end between two (or within
+    one that can still go on) are handed over at once; only a stretch with a
+    broken sequence is walked through byte by byte.
+    """
 
     TABLE = _utf8_moves()
 
     def __init__(self):
         self.state, self.held = 0, b""
 
+    def _tail(self, data: bytes) -> tuple[int, int]:
+        """Where the unfinished character at the end begins, and its state."""
+        for begin in range(len(data) - 1, max(-1, len(data) - 4), -1):
+            if data[begin] & 0xC0 != 0x80:
+                state = 0
+                for byte in data[begin:]:
+                    state = self.TABLE[state][byte]
+                    if state <= 0:
+                        return len(data), 0
+                return begin, state
+        return len(data), 0
+
     def feed(self, data: bytes) -> str:
+        whole = self.held + data
+        begin, state = self._tail(whole)
+        try:
+            text = whole[:begin].decode("utf-8")
+        except UnicodeDecodeError:
+            return self._walk(data)
+        self.state, self.held = state, whole[begin:]
+        return text
+
+    def _walk(self, data: bytes) -> str:
         out: list[str] = []
-        state, held, begun = self.state, bytearray(self.held), 0
+        state, held = self.state, bytearray(self.held)
         for byte in data:
             to = self.TABLE[state][byte]
             if to < 0:
@@ -339,53 +366,28 @@ class Utf8Stream:
 
 
 class Decoder:
-    """Ids to text, one id at a time; moves met before are kept.  Ids of whole
-    characters, met between characters, leave the state as it is: a run of
-    them is looked up at once."""
+    """Ids to text, ``RUN`` ids at a time through the incremental decoder."""
 
     def __init__(self, path: str):
-        self.bytes_of = {r: t for t, r in read_ranks(path).items()}
-        self.moves: dict[tuple[int, bytes], dict[int, tuple[str, tuple[int, bytes]]]] = {}
-        self.n_moves = 0
-        self.whole: dict[int, str] = {}
-        for i, data in self.bytes_of.items():
-            stream = Utf8Stream()
-            text = stream.feed(data)
-            if not stream.state and "\ufffd" not in text:
-                self.whole[i] = text
-
-    def _move(self, state: tuple[int, bytes], token: int) -> tuple[str, tuple[int, bytes]]:
+        tokens = {r: t for t, r in read_ranks(path).items()}
+        self.lengths = np.zeros(max(tokens) + 2, np.int64)  # the last: no such id
+        for i, data in tokens.items():
+            self.lengths[i] = len(data)
+        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
+        self.bytes = np.frombuffer(b"".join(tokens[i] for i in sorted(tokens)), np.uint8)
+
+    def _bytes(self, ids: np.ndarray) -> bytes:
+        last = len(self.lengths) - 1
+        ids = np.where((ids < 0) | (ids > last), last, ids)
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        at = np.arange(ends[-1] if len(ids) else 0) + np.repeat(self.starts[ids] - ends + lengths, lengths)
+        return self.bytes[at].tobytes()
+
+    def decode(self, ids: np.ndarray) -> str:
         stream = Utf8Stream()
-        stream.state, stream.held = state
-        text = stream.feed(self.bytes_of.get(token, b""))
-        if self.n_moves >= MAX_MOVES:
-            self.moves.clear()
-            self.n_moves = 0
-        self.n_moves += 1
-        move = self.moves.setdefault(state, {})[token] = (text, (stream.state, stream.held))
-        return move
-
-    def decode(self, ids: Sequence[int]) -> str:
-        out: list[str] = []
-        start, whole = (0, b""), self.whole
-        state, at, end = start, 0, len(ids)
-        while at < end:
-            if state == start:
-                texts = list(map(whole.get, ids[at:at + RUN]))
-                if None not in texts:
-                    out += texts
-                    at += RUN
-                    continue
-                stop = texts.index(None)
-                out += texts[:stop]
-                at += stop
-            move = self.moves.get(state, {}).get(ids[at]) or self._move(state, ids[at])
-            out.append(move[0])
-            state = move[1]
-            at += 1
-        if state[0]:
-            out.append("\ufffd")
-        return "".join(out)
+        out = [stream.feed(self._bytes(ids[i:i + RUN])) for i in range(0, len(ids), RUN)]
+        return "".join([*out, stream.end()])
 
 
 # ---- on DataFrames --------------------------------------------------------------
@@ -405,14 +407,11 @@ def encode_documents(df: DataFrame, path: str = VOCABULARY, pattern: str = publi
         gc.disable()  # tables of many small tuples, no cycles
         encoder = kept_in_worker(f"byte-bpe-{path}-{pattern}", lambda: Encoder(path, pattern))
         for ids, texts in slices(batches):
-            flat: list[int] = []
-            ends = [0]
-            for text in texts:
-                flat.extend(encoder.encode(text))
-                ends.append(len(flat))
+            tokens = [encoder.encode(text) for text in texts]
+            ends = np.cumsum([0, *map(len, tokens)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()),
-                 pa.ListArray.from_arrays(np.array(ends, np.int32), pa.array(flat, pa.int32()))], schema=schema)
+                [pa.array(ids, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(tokens)))],
+                schema=schema)
         gc.enable()
 
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -428,7 +427,10 @@ def decode_tokens(df: DataFrame, path: str = VOCABULARY) -> DataFrame:
     def run(batches):
         decoder = kept_in_worker(f"byte-bpe-text-{path}", lambda: Decoder(path))
         for b in batches:
-            texts = [decoder.decode(ids or ()) for ids in b.column(1).to_pylist()]
+            lists = b.column(1).fill_null([])
+            flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+            ends = np.cumsum([0, *lists.value_lengths().to_pylist()])
+            texts = [decoder.decode(flat[lo:hi]) for lo, hi in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
                                              schema=pa.schema([*b.schema, ("text", pa.string())]))
 
