@@ -11,55 +11,42 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def rank_newest(df: DataFrame, partition: list[str], order: list[Column],
-                name: str = "latest_rank", *, method: str = "sorted") -> DataFrame:
-    """Append ``name`` = row_number over ``partition`` in ``order`` (bigint).
+def rank_newest(df: DataFrame, partition: list[str], newest: str, ties: list[Column],
+                name: str = "latest_rank", *, method: str = "counts") -> DataFrame:
+    """Append ``name`` = row_number over ``partition``, ordered by ``newest``
+    descending (NULL last) and then by ``ties`` (bigint).
 
     ``method="window"`` is the plain window: simple, but every group is
     sorted by one task, so a group holding a large share of the rows becomes
-    one huge task.  ``method="sorted"`` (default) gives the same numbers with
+    one huge task.  ``method="counts"`` (default) gives the same numbers with
     no task holding a whole group:
 
-    1. one global sort by (partition, order) -- range partitioning splits a
-       hot group over several tasks;
-    2. each row's global position = rows in earlier sort partitions (a
-       table of one row per sort partition, so its size is bounded by the
-       partition count) + its index inside its partition;
-    3. rank = position - first position of its group + 1, the first
-       position coming from a partial ``min`` per group.
+    1. rows per (group, date), with partial aggregation before the shuffle;
+    2. prefix sums of these counts over a group's dates, newest first: a group
+       has at most as many rows there as there are dates;
+    3. a rank among the rows of one (group, date), plus the rows before it.
 
-    ``order`` must break all ties between distinct rows, as every caller's does.
-    The sorted rows, with their sort partition and position, are written once
-    to the session's shared folder (``spark.checkpoint.dir``) and every later
-    step reads that table: each step re-running the sort could draw other
-    range bounds, and the partition sizes would not match the positions.
+    Rows are shuffled once, by (group, date), for the join with the prefix
+    sums and the rank alike.  ``ties`` must break all ties between distinct
+    rows, as every caller's does.
     """
+    order = [F.col(newest).desc_nulls_last(), *ties]
     if method == "window":
-        w = Window.partitionBy(*partition).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    from pathwise.sources.publish import materialize, new_run_dir
-
-    cols = df.columns
-    sorted_rows = (df.orderBy(*[F.col(c).asc_nulls_first() for c in partition], *order)
-                   .select(*cols, F.spark_partition_id().alias("_part"),
-                           F.monotonically_increasing_id().alias("_mono")))
-    indexed = materialize(sorted_rows, f"{new_run_dir(df.sparkSession, 'rank')}/sorted")
-    # the row's index inside its sort partition (the id packs partition << 33)
-    indexed = indexed.withColumn("_idx", F.col("_mono") - F.shiftleft(F.col("_part").cast("bigint"), 33))
-    sizes = indexed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    pos = (indexed.join(offsets, "_part")
-           .select(*cols, (F.col("_offset") + F.col("_idx")).alias("_pos")))
-    first = pos.groupBy(*partition).agg(F.min("_pos").alias("_first"))
-    first = first.select(*[F.col(c).alias(f"_g_{c}") for c in partition], "_first")
-    cond = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in partition]
-    return (pos.join(first, cond, "inner")
-            .select(*cols, (F.col("_pos") - F.col("_first") + 1).cast("bigint").alias(name)))
-
-
-def newest_only(df: DataFrame, partition: list[str], order: list[Column],
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)).cast("bigint"))
+    keys = [*partition, newest]
+    later = (Window.partitionBy(*partition).orderBy(F.col(newest).desc_nulls_last())
+             .rowsBetween(Window.unboundedPreceding, -1))
+    before = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+              .select(*[F.col(c).alias(f"_k_{c}") for c in keys],
+                      F.coalesce(F.sum("_rows").over(later), F.lit(0)).alias("_before")))
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys]
+    here = F.row_number().over(Window.partitionBy(*keys).orderBy(*ties))
+    return (df.withColumn("_here", here).join(before, same)
+            .select(*df.columns, (F.col("_before") + F.col("_here")).cast("bigint").alias(name)))
+
+
+def newest_only(df: DataFrame, partition: list[str], newest: str, ties: list[Column],
                 name: str = "latest_rank") -> DataFrame:
     """Rows ranked 1.  Catalyst plans a partial ``WindowGroupLimit`` before the
     shuffle, so a hot group is cut to one row per map task before it moves."""
-    return rank_newest(df, partition, order, name, method="window").filter(F.col(name) == 1)
+    return rank_newest(df, partition, newest, ties, name, method="window").filter(F.col(name) == 1)

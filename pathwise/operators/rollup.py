@@ -137,8 +137,9 @@ def buckets_column(n: Column) -> Column:
 
 
 def _bucket_class(n: Column) -> Column:
-    """Finest bucket grain for the fold: 2 (2+), 1 (exactly 1+ not 2+), 0 (none)."""
-    return F.when(n >= 2, 2).when(n >= 1, 1).when(n.isNull() | (n == 0), 0)
+    """Finest bucket grain for the fold: 2 (2+), 1 (exactly 1+ not 2+), 0 (none),
+    -1 (a negative count, in no bucket)."""
+    return F.when(n >= 2, 2).when(n >= 1, 1).when(n.isNull() | (n == 0), 0).otherwise(-1)
 
 
 def finest_cells(df: DataFrame, times: list[str], dims: list[str], measures: list[Measure], *,

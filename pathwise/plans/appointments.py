@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathwise.functions import labels as L
@@ -23,19 +23,18 @@ def digital_contact_rows(src: Sources) -> DataFrame:
                       L.canonical_product("product").alias("product")).distinct()
 
 
-def digital_order() -> list:
+def digital_order() -> tuple[str, list[Column]]:
     """Newest first by start date; the reference stops there, so ties are
     broken by end date, minutes (both newest / largest first), product and
     month id (K4)."""
-    return [F.col("start_date").desc_nulls_last(), F.col("end_date").desc_nulls_last(),
-            F.col("minutes").desc_nulls_last(), F.col("product").asc_nulls_last(),
-            F.col("unique_month_id").asc_nulls_last()]
+    return "start_date", [F.col("end_date").desc_nulls_last(), F.col("minutes").desc_nulls_last(),
+                          F.col("product").asc_nulls_last(), F.col("unique_month_id").asc_nulls_last()]
 
 
 def digital_contacts(src: Sources, rows: DataFrame | None = None) -> DataFrame:
     """Distinct digital contacts ranked newest first per pathway."""
     rows = digital_contact_rows(src) if rows is None else rows
-    return rank_newest(rows, ["pathway_id"], digital_order())
+    return rank_newest(rows, ["pathway_id"], *digital_order())
 
 
 APPOINTMENT_COLUMNS = ["month", "pathway_id", "unique_month_id", "product", "minutes",

@@ -8,7 +8,8 @@ no contact is ranked and no task holds a whole pathway.
 
 * The contact bases (J14, J17) expand the pairs into the distinct (date,
   minutes, newest?) keys the reference's DISTINCT keeps, and join them to
-  the de-duplicated base projection: the output is already distinct.
+  the de-duplicated base projection, very frequent pathways split: the output
+  is already distinct.
 * The dashboards (J15, J18) never build the fan-out: a base row contributes
   (sum of minutes, count of minutes) over its pathway's keys, aggregated per
   pathway and joined 1:1 to the base.  Sums and counts add exactly, so the
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pathwise.functions import rules as R
 from pathwise.operators.ranking import rank_newest
 from pathwise.operators.rollup import AVG_TYPE, AvgOfParts, Sum, level_bucket_rollup
+from pathwise.operators.skew import left_join_split
 from pathwise.operators.versions import VERSION_KEYS, latest_only, latest_register
 from pathwise.sources.tables import Sources
 
@@ -83,45 +85,36 @@ def contact_keys(rows: DataFrame, date_col: str, between: tuple[str, ...] = ())
     Each (date, minutes) pair appears with ``_newest`` false, except the
     pathway's newest pair (the ``max_by`` of the order), which appears with
     true -- and also with false when another row shares it.  Only pairs are
-    shuffled, never contact rows, and every step aggregates partially; the
-    join meets one row per pathway on its right and is an inner join, which
-    AQE can split.
+    shuffled, never contact rows, and every step aggregates partially.  The
+    newest pairs are taken out by (pathway, date, minutes), which the pairs
+    already lie by, so no task holds a whole pathway's pairs.
     """
     pairs = _pairs(rows, date_col, between)
     top = pairs.groupBy("pathway_id").agg(*_newest_pair(date_col, between))
-    joined = pairs.join(top, "pathway_id", "inner")
-    is_top = F.col(date_col).eqNullSafe(F.col("_top_d")) & F.col("minutes").eqNullSafe(F.col("_top_m"))
-    flags = (F.when(is_top & (F.col("_top_n") >= 2), F.array(F.lit(True), F.lit(False)))
-             .when(is_top, F.array(F.lit(True)))
-             .otherwise(F.array(F.lit(False))))
-    return joined.select("pathway_id", date_col, "minutes", F.explode(flags).alias("_newest"))
+    alone = top.filter(F.col("_top_n") == 1).select(F.col("pathway_id").alias("_top_p"), "_top_d", "_top_m")
+    same = [F.col(c).eqNullSafe(F.col(t)) for c, t in (("pathway_id", "_top_p"), (date_col, "_top_d"),
+                                                         ("minutes", "_top_m"))]
+    others = pairs.join(alone, same, "left_anti").select("pathway_id", date_col, "minutes",
+                                                         F.lit(False).alias("_newest"))
+    return others.unionByName(top.select("pathway_id", F.col("_top_d").alias(date_col),
+                                         F.col("_top_m").alias("minutes"), F.lit(True).alias("_newest")))
 
 
 def contact_base(base: DataFrame, keys: DataFrame, date_col: str) -> DataFrame:
     """Base x contacts of the pathway, count-once completion flag.
 
-    The reference's left join, written as two exact parts so that no task
-    holds a whole pathway however many contacts it has:
-
-    * base x its contacts (inner join: AQE can split a skewed partition on
-      either side, which it cannot for the right side of a left join);
-    * base rows whose pathway has no contact, with NULL contact columns --
-      an anti-join against the distinct contact pathways (one row each).
+    The reference's left join, with the keys of ``heavy_keys`` split
+    (``operators.skew``), so that no task holds a whole pathway however many
+    contacts it has, with or without AQE.
 
     ``_newest`` is non-NULL on matched rows and ``comp_flag`` is never NULL,
     so distinct inputs give distinct outputs: no DISTINCT after the join.
     """
-    b = _base_projection(base)
-    matched = b.join(keys, "pathway_id", "inner").select(
+    joined = left_join_split(_base_projection(base), keys, "pathway_id", spread_by=[date_col, "minutes"],
+                             matched="_newest")
+    return joined.select(
         "month", "quarter", "pathway_id", "iet_count", date_col, "minutes", "product",
-        F.when(F.col("_newest"), F.col("comp_flag")).alias("comp_flag"), *R.GEO_COLUMNS)
-    with_contacts = keys.select("pathway_id").distinct()
-    alone = b.join(with_contacts, "pathway_id", "left_anti").select(
-        "month", "quarter", "pathway_id", "iet_count",
-        F.lit(None).cast(keys.schema[date_col].dataType).alias(date_col),
-        F.lit(None).cast(keys.schema["minutes"].dataType).alias("minutes"),
-        "product", "comp_flag", *R.GEO_COLUMNS)
-    return matched.unionByName(alone)
+        F.when(F.coalesce("_newest", F.lit(True)), F.col("comp_flag")).alias("comp_flag"), *R.GEO_COLUMNS)
 
 
 def digital_contact_base(base: DataFrame, contact_rows: DataFrame) -> DataFrame:
@@ -214,13 +207,12 @@ def contact_activity_pairs(src: Sources) -> DataFrame:
             .distinct())
 
 
-def any_order() -> list:
+def any_order() -> tuple[str, list[Column]]:
     """Newest first by contact date; ties: minutes largest first, then month id (K4)."""
-    return [F.col("contact_date").desc_nulls_last(), F.col("minutes").desc_nulls_last(),
-            F.col("unique_month_id").asc_nulls_last()]
+    return "contact_date", [F.col("minutes").desc_nulls_last(), F.col("unique_month_id").asc_nulls_last()]
 
 
 def all_contacts(src: Sources, rows: DataFrame | None = None) -> DataFrame:
     """All contacts with activity minutes, ranked newest first per pathway."""
     rows = contact_activity_pairs(src) if rows is None else rows
-    return rank_newest(rows, ["pathway_id"], any_order())
+    return rank_newest(rows, ["pathway_id"], *any_order())

@@ -30,6 +30,7 @@ from pathwise.plans import questionnaire as Q
 from pathwise.plans.change_set import USAGE_KEYS, Applied, ChangeSetRefresh
 from pathwise.plans.refresh import MonthlyRefresh
 from pathwise.sources import publish as P
+from pathwise.sources.schemas import TEXT_FLAGS
 from pathwise.sources.snapshots import Snapshot, SnapshotTable
 from pathwise.sources.tables import Sources, driver_sources
 
@@ -229,9 +230,8 @@ def _org_levels(r: MonthlyRefresh) -> DataFrame:
 def _rank_newest(s: Sources) -> DataFrame:
     con = latest_only(s.care_contact, s.submission_register).select(
         "pathway_id", "submission_id", "audit_id", "unique_month_id", "contact_date")
-    return rank_newest(con, ["pathway_id"], [
-        F.col("contact_date").desc_nulls_last(), F.col("submission_id").asc(),
-        F.col("audit_id").asc(), F.col("unique_month_id").asc()])
+    return rank_newest(con, ["pathway_id"], "contact_date", [
+        F.col("submission_id").asc(), F.col("audit_id").asc(), F.col("unique_month_id").asc()])
 
 
 def _month_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,6 +333,43 @@ def _monthly_digital_summary(s: Sources) -> DataFrame:
     return merged_usage(states, USAGE_KEYS)
 
 
+def _with_text_flags(s: Sources) -> Sources:
+    """Referral flags as the texts 'True' and 'False' (F02)."""
+    flags = sorted(TEXT_FLAGS)
+    return replace(s, referral=s.referral.withColumns({c: F.initcap(F.col(c).cast("string")) for c in flags}))
+
+
+def _text_flag_base(s: Sources) -> DataFrame:
+    """J04 over text flags."""
+    return MonthlyRefresh(_with_text_flags(s), first=FIXTURE_FIRST).pathway_base
+
+
+def _collated_digital_summary(s: Sources) -> DataFrame:
+    """J01 under the reference's default text comparison (K7): product names in
+    any case, with blanks at the end, count as the same."""
+    name, known = F.col("product"), [p for _, prefixes in R.PRODUCT_PREFIXES for p in prefixes]
+    varied = (F.when(F.col("log_id") % 3 == 0, F.upper(name))
+              .when(F.col("log_id") % 3 == 1, F.concat(F.lower(name), F.lit("  "))).otherwise(name))
+    is_known = F.lit(False)
+    for p in known:
+        is_known = is_known | name.startswith(p)
+    log = s.digital_log.withColumn("product", F.when(is_known, varied).otherwise(name))
+    out = O.digital_summary(replace(s, digital_log=log).with_collation("UTF8_LCASE_RTRIM"))
+    return out.select(*[F.col(c).cast("string").alias(c) if c in ("product", "integrated") else F.col(c)
+                        for c in out.columns])
+
+
+def _published_averages(r: MonthlyRefresh) -> DataFrame:
+    """J12's averages as decimal(38,6), the reference's type, in text."""
+    out = O.wait_dashboard(r.pathway_base, averages="decimal")
+    return out.select(*[F.col(c).cast("string").alias(c) if c.startswith("avg_") else F.col(c) for c in out.columns])
+
+
+def _bucketed_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J04 from J01, J02 and referrals that lie bucketed by pathway: no shuffle."""
+    return refresh(spark, sf_dir).bucketed_base(P.new_run_dir(spark, "bucketed"))
+
+
 QUERIES: dict[str, Query] = {
     # jobs (J01-J18)
     "digital_summary": _job("digital_summary"),
@@ -392,4 +429,8 @@ QUERIES: dict[str, Query] = {
     "change_set_waits": lambda spark, sf_dir: two_registers(spark, sf_dir).wait_dashboard(),
     "change_set_treatments": lambda spark, sf_dir: two_registers(spark, sf_dir).treatment_dashboard(),
     "monthly_digital_summary": _src(_monthly_digital_summary),
+    "bucketed_base": _bucketed_base,
+    "text_flag_base": _src(_text_flag_base),
+    "collated_digital_summary": _src(_collated_digital_summary),
+    "published_averages": _refresh(_published_averages),
 }

@@ -167,21 +167,23 @@ def outcome_dashboard(base: DataFrame, *, fold: bool = True) -> DataFrame:
                       "iet_count", *OUTCOME_DIMS, *OUTCOME_FLAGS)
 
 
-def wait_dashboard(base: DataFrame, *, fold: bool = False) -> DataFrame:
+def wait_dashboard(base: DataFrame, *, fold: bool = False,
+                   averages: str = "double") -> DataFrame:
     """Average waits (exact decimal average) by quarter x level x bucket."""
     return level_bucket_rollup(base, "quarter", [], [
         Avg("avg_wait_ref_to_assess", "wait_ref_to_assess"),
         Avg("avg_wait_ref_to_therapy", "wait_ref_to_therapy"),
         Avg("avg_wait_first_to_second", "wait_first_to_second"),
         Sum("comp_flag"),
-    ], fold=fold)
+    ], fold=fold, averages=averages)
 
 
-def treatment_dashboard(base: DataFrame, *, fold: bool = False) -> DataFrame:
+def treatment_dashboard(base: DataFrame, *, fold: bool = False,
+                        averages: str = "double") -> DataFrame:
     """Average digital appointments / digital minutes / any minutes per treatment."""
     return level_bucket_rollup(base, "quarter", ["product"], [
         Avg("avg_iet_count", "iet_count"),
         Avg("avg_iet_minutes", "iet_minutes"),
         Avg("avg_any_minutes", "any_minutes"),
         Sum("comp_flag"),
-    ], fold=fold)
+    ], fold=fold, averages=averages)

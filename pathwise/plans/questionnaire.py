@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathwise.functions import labels as L
@@ -44,10 +44,9 @@ def answers_with_terms(src: Sources, latest_versions_only: bool = False) -> Data
             .select("pathway_id", "code", "term", "score", "effective_from"))
 
 
-def answer_order() -> list:
+def answer_order() -> tuple[str, list[Column]]:
     """Newest first; ties on the date broken by score, then term (K4)."""
-    return [F.col("effective_from").desc_nulls_last(), F.col("score").asc_nulls_last(),
-            F.col("term").asc_nulls_last()]
+    return "effective_from", [F.col("score").asc_nulls_last(), F.col("term").asc_nulls_last()]
 
 
 def answer_rows(src: Sources, latest_versions_only: bool = False) -> DataFrame:
@@ -63,14 +62,14 @@ def answer_rows(src: Sources, latest_versions_only: bool = False) -> DataFrame:
 
 def latest_answers(src: Sources) -> DataFrame:
     """Distinct answers ranked newest first per pathway x question code."""
-    return rank_newest(answer_rows(src), ["pathway_id", "code"], answer_order())
+    return rank_newest(answer_rows(src), ["pathway_id", "code"], *answer_order())
 
 
 def newest_answers(src: Sources) -> DataFrame:
     """J06 restricted to rank 1 (what J07 reads), via a per-group limit that
     Spark applies partially before the shuffle.  The order covers every column
     besides the group, so repeated rows need no DISTINCT first."""
-    return newest_only(answers_with_terms(src), ["pathway_id", "code"], answer_order())
+    return newest_only(answers_with_terms(src), ["pathway_id", "code"], *answer_order())
 
 
 QUESTIONNAIRE_BASE_COLUMNS = ["month", "pathway_id", "product", "iet_count", "question", "answer",
@@ -99,7 +98,7 @@ def questionnaire_base(src: Sources, window: ReportingWindow, summary: DataFrame
     in_scope = ref.select("pathway_id").distinct()
     j01 = (summary.join(in_scope, "pathway_id", "left_semi")
            .select("pathway_id", "product", F.col("n_contacts").alias("iet_count")))
-    newest = (newest_only(answers, ["pathway_id", "code"], answer_order())
+    newest = (newest_only(answers, ["pathway_id", "code"], *answer_order())
               .join(in_scope, "pathway_id")   # distinct; a semi-join would be pushed below the limit
               .select("pathway_id", "code", "score", "term"))   # ranks 1 of J06
     joined = ref.join(j01, "pathway_id", "left").join(newest, "pathway_id", "left")

@@ -68,6 +68,22 @@ class MonthlyRefresh:
     def pathway_base(self) -> DataFrame:
         return O.pathway_base(self.src, self.window, self.digital_summary, self.contact_minutes)
 
+    def bucketed_base(self, run_dir: str, buckets: int | None = None) -> DataFrame:
+        """J04 from working tables bucketed by pathway under ``run_dir``.
+
+        J01, J02 and the labelled referrals have a few rows per pathway
+        each, so a bucket of them is no hot spot; their joins and the DISTINCT
+        need no exchange.
+        """
+        n = buckets or int(self.src.referral.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        w = self.window
+        ref = O.latest_referrals(self.src).filter(O.in_window(w.first_date, w.period_start, w.period_end))
+        tables = {"referral": O.labelled_referrals(self.src, ref), "digital_summary": self.digital_summary,
+                  "contact_minutes": self.contact_minutes}
+        lying = {name: P.materialize_bucketed(df, f"{run_dir}/{name}", "pathway_id", n)
+                 for name, df in tables.items()}
+        return O.base_rows(lying["referral"], lying["digital_summary"], lying["contact_minutes"])
+
     @cached_property
     def outcome_dashboard(self) -> DataFrame:
         return O.outcome_dashboard(self.pathway_base, **self._rollup)

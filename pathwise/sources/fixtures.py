@@ -135,6 +135,7 @@ SELECT CASE WHEN l_orderkey % 4 = 0 THEN -l_orderkey ELSE l_orderkey END AS path
        l_orderkey * 1000000 + ym AS unique_month_id,
        CASE WHEN p_type LIKE 'PROMO%' THEN 'SilverCloud A'
             WHEN p_type LIKE 'SMALL%' THEN 'Slvrcld'
+            WHEN p_type LIKE 'MEDIUM%' AND l_linenumber % 2 = 0 THEN 'Minddistrict 2'
             WHEN p_type LIKE 'MEDIUM%' THEN 'Mnddstrct 1'
             WHEN p_type LIKE 'STANDARD%' THEN 'iCT-PTSD'
             WHEN p_type LIKE 'LARGE%' THEN 'OCD online'
@@ -143,6 +144,7 @@ SELECT CASE WHEN l_orderkey % 4 = 0 THEN -l_orderkey ELSE l_orderkey END AS path
        l_linestatus AS integrated,
        CASE WHEN l_partkey % 11 = 0 THEN NULL
             WHEN l_partkey % 13 = 0 THEN 0
+            WHEN l_partkey % 17 = 0 THEN -CAST(l_quantity AS INT)
             ELSE CAST(l_quantity AS INT) END AS minutes,
        d + CAST(l_partkey % 40 - 20 AS INT) AS start_date,
        d + CAST(l_partkey % 40 - 20 + l_linenumber % 3 AS INT) AS end_date
@@ -190,7 +192,12 @@ FROM {nation} n JOIN {region} r ON n.n_regionkey = r.r_regionkey""",
 SELECT 'C' || CAST(n_nationkey AS STRING) AS old_code,
        'C' || CAST((n_nationkey + 1) % 25 AS STRING) AS new_code
 FROM {nation}
-WHERE n_nationkey % 5 = 0""",
+WHERE n_nationkey % 5 = 0
+UNION ALL
+SELECT 'C' || CAST(n_nationkey AS STRING) AS old_code,
+       'C' || CAST((n_nationkey + 2) % 25 AS STRING) AS new_code
+FROM {nation}
+WHERE n_nationkey = 10""",
 
     "provider_hierarchy": """
 SELECT 'P' || CAST(s.s_suppkey AS STRING) AS org_code,
@@ -199,7 +206,12 @@ SELECT 'P' || CAST(s.s_suppkey AS STRING) AS org_code,
        CASE WHEN s.s_suppkey % 10 = 9 THEN DATE '2000-01-01' ELSE NULL END AS effective_to
 FROM {supplier} s
 JOIN {nation} n ON s.s_nationkey = n.n_nationkey
-JOIN {region} r ON n.n_regionkey = r.r_regionkey""",
+JOIN {region} r ON n.n_regionkey = r.r_regionkey
+UNION ALL
+SELECT 'P' || CAST(s_suppkey AS STRING) AS org_code, s_name || ' (second entry)' AS org_name,
+       'ELSEWHERE' AS region_name, CAST(NULL AS DATE) AS effective_to
+FROM {supplier}
+WHERE s_suppkey = 7""",
 
     "provider_succession": """
 SELECT 'P' || CAST(s_suppkey AS STRING) AS old_code,

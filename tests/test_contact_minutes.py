@@ -16,7 +16,7 @@ M = [None, 0, 5, 7]
 
 def brute(rows, date_col, order):
     """The reference's way: rank, DISTINCT (date, minutes, rank=1), then sum / count."""
-    ranked = rank_newest(rows, ["pathway_id"], order)
+    ranked = rank_newest(rows, ["pathway_id"], *order)
     keys = ranked.select("pathway_id", date_col, "minutes",
                          (F.col("latest_rank") == 1).alias("newest")).distinct()
     return keys.groupBy("pathway_id").agg(
@@ -36,8 +36,8 @@ def test_any_contacts_shape(spark):
             rows.add((p, rnd.choice(D), rnd.choice(M), rnd.choice([1, 2, 3])))
     df = spark.createDataFrame(sorted(rows, key=str),
                                "pathway_id long, contact_date date, minutes int, unique_month_id long")
-    order = [F.col("contact_date").desc_nulls_last(), F.col("minutes").desc_nulls_last(),
-             F.col("unique_month_id").asc_nulls_last()]
+    order = ("contact_date", [F.col("minutes").desc_nulls_last(),
+             F.col("unique_month_id").asc_nulls_last()])
     assert as_dict(contact_minutes_per_pathway(df, "contact_date")) == as_dict(
         brute(df, "contact_date", order))
 
@@ -53,9 +53,9 @@ def test_digital_contacts_shape(spark):
         sorted(rows, key=str),
         "pathway_id long, start_date date, end_date date, minutes int, unique_month_id long, "
         "product string")
-    order = [F.col("start_date").desc_nulls_last(), F.col("end_date").desc_nulls_last(),
+    order = ("start_date", [F.col("end_date").desc_nulls_last(),
              F.col("minutes").desc_nulls_last(), F.col("product").asc_nulls_last(),
-             F.col("unique_month_id").asc_nulls_last()]
+             F.col("unique_month_id").asc_nulls_last()])
     got = contact_minutes_per_pathway(df, "start_date", ("end_date",))
     assert as_dict(got) == as_dict(brute(df, "start_date", order))
 
@@ -69,8 +69,8 @@ def test_every_small_case_exhaustively(spark):
         p += 1
     df = spark.createDataFrame(rows, "pathway_id long, contact_date date, minutes int, "
                                      "unique_month_id long")
-    order = [F.col("contact_date").desc_nulls_last(), F.col("minutes").desc_nulls_last(),
-             F.col("unique_month_id").asc_nulls_last()]
+    order = ("contact_date", [F.col("minutes").desc_nulls_last(),
+             F.col("unique_month_id").asc_nulls_last()])
     assert as_dict(contact_minutes_per_pathway(df, "contact_date")) == as_dict(
         brute(df, "contact_date", order))
 
@@ -79,7 +79,7 @@ def test_contact_keys_equal_ranked_keys(spark):
     from pathwise.plans.averages import contact_keys
 
     def ranked_keys(df, order, date_col):
-        return rank_newest(df, ["pathway_id"], order).select(
+        return rank_newest(df, ["pathway_id"], *order).select(
             "pathway_id", date_col, "minutes", (F.col("latest_rank") == 1).alias("_newest")).distinct()
 
     def bag(df):
@@ -98,17 +98,17 @@ def test_contact_keys_equal_ranked_keys(spark):
                           rnd.choice(["A", None])))
     a = spark.createDataFrame(sorted(any_rows, key=str), "pathway_id long, contact_date date, "
                                                          "minutes int, unique_month_id long")
-    order = [F.col("contact_date").desc_nulls_last(), F.col("minutes").desc_nulls_last(),
-             F.col("unique_month_id").asc_nulls_last()]
+    order = ("contact_date", [F.col("minutes").desc_nulls_last(),
+             F.col("unique_month_id").asc_nulls_last()])
     want = ranked_keys(a, order, "contact_date")
     assert bag(contact_keys(a, "contact_date")) == bag(want)
 
     d = spark.createDataFrame(sorted(dig_rows, key=str),
                               "pathway_id long, start_date date, end_date date, minutes int, "
                               "unique_month_id long, product string")
-    order = [F.col("start_date").desc_nulls_last(), F.col("end_date").desc_nulls_last(),
+    order = ("start_date", [F.col("end_date").desc_nulls_last(),
              F.col("minutes").desc_nulls_last(), F.col("product").asc_nulls_last(),
-             F.col("unique_month_id").asc_nulls_last()]
+             F.col("unique_month_id").asc_nulls_last()])
     want = ranked_keys(d, order, "start_date")
     assert bag(contact_keys(d, "start_date", ("end_date",))) == bag(want)
 

@@ -1,4 +1,4 @@
-"""Skew-safe ranking equals the window ranking, including a hot group."""
+"""Ranking by prefix counts equals the window ranking, including a hot group."""
 
 import datetime as dt
 import random
@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from pathwise.operators.ranking import newest_only, rank_newest
 
+
 def order():
-    return [F.col("d").desc_nulls_last(), F.col("m").desc_nulls_last(),
-            F.col("k").asc_nulls_last()]
+    return "d", [F.col("m").desc_nulls_last(), F.col("k").asc_nulls_last()]
 
 
 def rows(n_groups=40, hot=600, seed=3):
@@ -32,32 +32,38 @@ def bag(df):
     return Counter(tuple(r) for r in df.collect())
 
 
-def test_sorted_rank_equals_window_rank(spark):
+def test_counted_rank_equals_window_rank(spark):
     df = spark.createDataFrame(rows(), "g long, d date, m int, k long").repartition(7)
-    a = rank_newest(df, ["g"], order(), method="window")
-    b = rank_newest(df, ["g"], order(), method="sorted")
+    a = rank_newest(df, ["g"], *order(), method="window")
+    b = rank_newest(df, ["g"], *order())
     assert bag(a) == bag(b)
     ranks = sorted(r[0] for r in b.filter(F.col("g") == 999).select("latest_rank").collect())
     assert ranks == list(range(1, 601))
+    assert rank_newest(df.limit(0), ["g"], *order()).collect() == []
+
+
+def test_counted_rank_spreads_a_hot_group(spark):
+    """No task of the plan gets the hot group: rows meet by (group, date), and a
+    group's dates are counted before they meet."""
+    df = spark.createDataFrame(rows(hot=3000), "g long, d date, m int, k long")
+    ranked = rank_newest(df, ["g"], *order())
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "monotonically_increasing_id" not in plan
+    per_date = df.filter("g = 999").groupBy("d").count().agg(F.max("count")).first()[0]
+    assert per_date == 150
+    window_rows = df.filter("g = 999").select("g", "d").distinct().count()
+    assert window_rows == 20
+    assert ranked.filter(F.col("g") == 999).agg(F.max("latest_rank")).first()[0] == 3000
 
 
-def test_sorted_rank_spreads_a_hot_group(spark):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        df = spark.createDataFrame(rows(hot=3000), "g long, d date, m int, k long")
-        ranked = rank_newest(df, ["g"], order(), method="sorted")
-        # the hot group's rows are spread over several sort partitions
-        parts = (df.orderBy(F.col("g").asc_nulls_first(), *order())
-                 .select(F.spark_partition_id().alias("p"), "g").filter(F.col("g") == 999)
-                 .select("p").distinct().count())
-        assert parts > 1
-        assert ranked.filter(F.col("g") == 999).agg(F.max("latest_rank")).first()[0] == 3000
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+def test_building_the_ranking_runs_nothing(spark):
+    df = spark.range(10).select((F.col("id") % 2).alias("g"), F.lit(1).alias("m"), F.col("id").alias("k"),
+                                F.raise_error(F.lit("ran")).cast("date").alias("d"))
+    rank_newest(df, ["g"], *order())
 
 
 def test_newest_agrees_with_rank(spark):
     df = spark.createDataFrame(rows(), "g long, d date, m int, k long")
-    ranked = rank_newest(df, ["g"], order(), method="window")
-    top = newest_only(df, ["g"], order()).drop("latest_rank")
+    ranked = rank_newest(df, ["g"], *order(), method="window")
+    top = newest_only(df, ["g"], *order()).drop("latest_rank")
     assert bag(top) == bag(ranked.filter("latest_rank = 1").drop("latest_rank"))

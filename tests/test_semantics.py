@@ -160,11 +160,11 @@ def test_answers_latest_versions_option(spark, world):
         "submission_id long, audit_id int")
     src = replace(world.src, assessment=ans)
     # default (as the reference): the superseded, newer answer wins
-    top = Q.newest_only(Q.answer_rows(src), ["pathway_id", "code"], Q.answer_order()).first()
+    top = Q.newest_only(Q.answer_rows(src), ["pathway_id", "code"], *Q.answer_order()).first()
     assert top.score == "0"
     # with the option, only the latest version's answer is left
     top = Q.newest_only(Q.answer_rows(src, True), ["pathway_id", "code"],
-                        Q.answer_order()).first()
+                        *Q.answer_order()).first()
     assert top.score == "4"
     with pytest.raises(ValueError):
         Q.answer_rows(world.src, True)      # no version keys on these answers
