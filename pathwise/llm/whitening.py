@@ -135,7 +135,7 @@ class Centred:
 
         parts = -(-size // width)
         rows = self.blocks.select("x").mapInArrow(run, f"part int, v array<{ddl}>")
-        rows = rows.repartition(parts, "part").mapInArrow(add, f"part int, v array<{ddl}>").collect()
+        rows = (rows.repartition(parts, "part") if parts > 1 else rows.repartition(1)).mapInArrow(add, f"part int, v array<{ddl}>").collect()
         out = np.zeros(size, kind)
         for r in rows:
             out[r["part"] * width:r["part"] * width + len(r["v"])] += np.array(r["v"], kind)
