@@ -1,8 +1,10 @@
 """Deterministic sharded WARC writer and reader.
 
-Records are dealt to shards by ranges of the page id, cut from a fixed-size
-histogram so that a shard holds about SHARD_BYTES; each shard's records are
-sorted and written as one gzip member each, to files rolled by compressed
+Records are dealt to shards by ranges of the page id.  The cuts come from a
+histogram of bytes that is refined where the data lie: a bin that is too full
+is cut again between its least and its largest id, until it holds half a shard
+at most or one id; the rows of one id too large for that (or of no id) are
+dealt by payload digest.  Each shard's records are sorted and written as one gzip member each, to files rolled by compressed
 size.  Which task writes a shard does not matter: names and bytes are the same
 in every run.  Headers and digests are made anew from the rows.
 
@@ -23,14 +25,18 @@ import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathwise.llm.common import bounded_batches, new_dir, slices, stage, to_batch
 
-SHARD_BYTES, ROLL_BYTES, BINS = 16 << 20, 4 << 20, 1 << 16
+SHARD_BYTES, ROLL_BYTES = 16 << 20, 4 << 20
+#: Bytes that a record's headers count for; bins a too full bin is cut into at least.
+HEAD_BYTES, LEAST_BINS = 400, 16
 DATE = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -127,26 +133,70 @@ def revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
             .select("page_id", "sha1", "refers_to").distinct())
 
 
-def _shards(pages: DataFrame, shard_bytes: int) -> tuple[int, list[int], int, int]:
-    """(least id, first bin of each shard, bin width, shards) from a histogram of BINS bins."""
-    ends = pages.agg(F.min("page_id").alias("lo"), F.max("page_id").alias("hi")).first()
-    lo, hi = (ends["lo"] or 0), (ends["hi"] or 0)
-    width = max(1, -(-(hi - lo + 1) // BINS))
-    sizes = (pages.groupBy(_bin(lo, width).alias("bin")).agg(F.sum(F.octet_length("payload") + 400).alias("n"))
-             .orderBy("bin").collect())  # BINS rows at most
-    starts, held = [0], 0
-    for r in sizes:
-        if held >= shard_bytes:
-            starts.append(r["bin"])
-            held = 0
-        held += r["n"]
-    return lo, starts, width, len(starts)
+class Shards:
+    """Which shard a record belongs to.  ``starts``: the least id of each range,
+    ascending (the first is open below); ``parts``: how many shards the range's
+    records are dealt to by digest (over 1 for a single id); range 0 holds the
+    records without an id."""
+
+    def __init__(self, starts: list[int], parts: list[int]):
+        self.starts, self.parts = np.array(starts, np.int64), np.array(parts, np.int64)
+        self.first = np.concatenate([[0], np.cumsum(self.parts)[:-1]])
+        self.n = int(self.parts.sum())
+
+    def column(self, page_id: Column, sha1: Column) -> Column:
+        starts, parts, first = self.starts, self.parts, self.first
+
+        @F.pandas_udf("int")
+        def shard(ids: pd.Series, none: pd.Series, head: pd.Series) -> pd.Series:
+            at = np.searchsorted(starts, ids.to_numpy(np.int64), side="right")
+            at = np.where(none.to_numpy(bool), 0, np.maximum(at, 1))
+            return pd.Series(first[at] + head.to_numpy(np.int64) % parts[at]).astype("int32")
+
+        digits = F.conv(F.substring(sha1, 1, 8), 16, 10).cast("bigint")
+        return shard(F.coalesce(page_id, F.lit(0).cast("bigint")), page_id.isNull(), digits)
 
 
-def _bin(lo: int, width: int):
-    # decimal: the difference of two ids may not fit a long
-    return F.coalesce(F.floor((F.col("page_id").cast("decimal(20,0)") - F.lit(lo).cast("decimal(20,0)"))
-                              / F.lit(width).cast("decimal(20,0)")).cast("int"), F.lit(0))
+def plan_shards(sizes: DataFrame, shard_bytes: int) -> Shards:
+    """Ranges of about ``shard_bytes`` from a table of (page_id, bytes).
+
+    A pass per refinement; what a pass collects is some rows per shard.
+    """
+    none, total = 0, 0
+    for r in sizes.groupBy(F.col("page_id").isNull().alias("none")).agg(F.sum("bytes").alias("n")).collect():
+        none, total = (r["n"], total) if r["none"] else (none, r["n"])
+    ids = sizes.filter("page_id IS NOT NULL")
+    done: list[tuple[int, int, int]] = []        # least id, largest id, bytes
+    edges: list[int] = [-2 ** 63]
+    while True:
+        cuts = np.array(edges, np.int64)
+
+        @F.pandas_udf("int")
+        def bin_of(values: pd.Series) -> pd.Series:
+            return pd.Series(np.searchsorted(cuts, values.to_numpy(np.int64), side="right")).astype("int32")
+
+        bins = (ids.groupBy(bin_of("page_id").alias("bin"))
+                .agg(F.sum("bytes").alias("n"), F.min("page_id").alias("lo"), F.max("page_id").alias("hi")).collect())
+        done = sorted((r["lo"], r["hi"], r["n"]) for r in bins)
+        heavy = [(lo, hi, n) for lo, hi, n in done if 2 * n > shard_bytes and lo < hi]
+        if not heavy:
+            break
+        more = set()
+        for lo, hi, n in heavy:
+            cut_into = min(max(LEAST_BINS, -(-4 * n // shard_bytes)), hi - lo + 1)
+            more.update(lo + (hi - lo + 1) * i // cut_into for i in range(cut_into))
+            if hi < 2 ** 63 - 1:
+                more.add(hi + 1)
+        edges = sorted({*edges, *more})
+    starts, parts, held = [], [max(1, -(-none // shard_bytes))], 0
+    for lo, hi, n in done:
+        alone = n > shard_bytes                  # one id, then
+        if not starts or alone or parts[-1] > 1 or held + n > shard_bytes:
+            starts.append(lo)
+            parts.append(-(-n // shard_bytes) if alone else 1)
+            held = 0
+        held += n
+    return Shards(starts or [0], parts if len(parts) > 1 else [*parts, 1])
 
 
 def write_archives(pages: DataFrame, folder: str | None = None, least_bytes: int = 0,
@@ -154,8 +204,8 @@ def write_archives(pages: DataFrame, folder: str | None = None, least_bytes: int
     """Write a record per row (page_id, url, html) and return the folder and
     the manifest: file, shard, records, bytes, sha256.
 
-    Null html is an empty payload.  A row with a null id is a response and
-    is written to the first shard; rows that repeat an id and a payload are
+    Null html is an empty payload.  Rows with a null id are responses, written
+    to the first shards; rows that repeat an id and a payload are
     responses or revisits alike.  A null url is replaced by the record's id;
     characters not allowed in a URI are percent-encoded.  Other columns are
     ignored.
@@ -165,19 +215,17 @@ def write_archives(pages: DataFrame, folder: str | None = None, least_bytes: int
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("payload"))
     folder = folder or new_dir(spark, "warc")
-    lo, starts, width, n = _shards(rows, shard_bytes)
-    place = F.lit(0)
-    if n > 1:
-        cuts = F.array(*[F.lit(s) for s in starts[1:]])
-        place = F.size(F.filter(cuts, lambda c: c <= _bin(lo, width)))
+    sizes = stage(rows.select("page_id", (F.octet_length("payload") + HEAD_BYTES).cast("bigint").alias("bytes")),
+                  "warc-sizes")
+    shards = plan_shards(sizes, shard_bytes)
     marks = revisits(rows, least_bytes)
     union = (rows.select("page_id", F.lit(1).alias("kind"), "url", "payload",
                          F.lit(None).cast("string").alias("sha1"), F.lit(None).cast("bigint").alias("refers_to"))
              .unionByName(marks.select("page_id", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"),
                                        F.lit(None).cast("string").alias("payload"), "sha1", "refers_to"))
-             .withColumn("shard", place))
+             .withColumn("shard", shards.column(F.col("page_id"), F.coalesce("sha1", F.sha1("payload")))))
     # ties in the order are broken by the record's content: the files are the same in every run
-    dealt = (union.repartitionById(n, F.col("shard").cast("int"))
+    dealt = (union.repartitionById(shards.n, F.col("shard"))
              .sortWithinPartitions("shard", "page_id", "kind", "url", F.sha1("payload")))
     fs, path = pafs.FileSystem.from_uri(folder)
     fs.create_dir(path, recursive=True)

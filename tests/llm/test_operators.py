@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from pathwise.llm import (decontaminate, exact_dedup, html_wrapper, jaccard_join, language_id, line_dedup, packing,
                           secret_scan, substring_dedup, warc)
@@ -63,8 +64,6 @@ def split(t):
 
 @pytest.mark.parametrize("weak", [False, True])
 def test_exact_dedup(docs, texts, weak):
-    from pyspark.sql import functions as F
-
     got = by_id(exact_dedup.exact_dedup(docs, content_hash=(lambda c: F.lit("same")) if weak else F.md5))
     groups = defaultdict(list)
     for i, t in texts:
@@ -250,6 +249,25 @@ def test_warc(spark, tmp_path):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, manifest.collect()))
 
 
+@pytest.mark.parametrize("kind", ["even", "outlier", "clusters", "no ids", "one id", "extremes"])
+def test_warc_shards_follow_the_data(spark, kind):
+    rng = random.Random(7)
+    ids = {"even": list(range(400)), "outlier": [*range(400), 2 ** 62], "no ids": [None] * 400, "one id": [9] * 400,
+           "clusters": [c * 10 ** 15 + i for c in (-3, 0, 5, 6) for i in range(100)],
+           "extremes": [-2 ** 63, 2 ** 63 - 1] * 100 + list(range(200))}[kind]
+    pages = spark.createDataFrame([(i, f"http://a/{n}", f"{n} " + "x" * rng.randint(0, 900)) for n, i in enumerate(ids)],
+                                  "page_id long, url string, html string")
+    shard_bytes = 20_000
+    sizes = pages.selectExpr("page_id", "octet_length(html) + 400L AS bytes")
+    shards = warc.plan_shards(sizes, shard_bytes)
+    placed = pages.select(shards.column(F.col("page_id"), F.sha1("html")).alias("s"),
+                          (F.octet_length("html") + 400).alias("n")).groupBy("s").agg(F.sum("n").alias("n"))
+    held = {r["s"]: r["n"] for r in placed.collect()}
+    total = sum(held.values())
+    assert max(held.values()) <= 2 * shard_bytes and len(held) >= total / (2 * shard_bytes)
+    assert set(held) <= set(range(shards.n)) and shards.n <= 4 * total / shard_bytes + 4
+
+
 def test_html(spark):
     def page(i, body):
         return (i, f"http://h.example/{i}", "<html><head><title>t</title></head><body><nav><a href=x>Home</a></nav>"
