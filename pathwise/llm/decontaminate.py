@@ -29,7 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathwise.llm.common import bounded_batches, kept_in_worker, mix, shingle_hashes, slices, to_batch, word_hashes, words
+from pathwise.llm.common import (bounded_batches, kept_in_worker, mix, shingle_hashes, slices, to_batch, unused,
+                                 word_hashes, words)
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 16
 #: Bound of what one block sends to the tasks.
@@ -264,18 +265,22 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items count once; rows that repeat an id are searched each.  Other columns
     are ignored.
     """
-    bounded_batches(df.sparkSession)
-    docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return _leaks(df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")),
+                  benchmark, "bigint", pa.int64())
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, ddl: str, id_type: pa.DataType) -> DataFrame:
+    bounded_batches(docs.sparkSession)
     out = None
     for block in _blocks(benchmark):
-        part = docs.mapInArrow(_search(block), "doc_id bigint, item_id bigint, similarity double, "
-                                               "first_word bigint, n_words bigint")
+        part = docs.mapInArrow(_search(block, id_type), f"doc_id {ddl}, item_id bigint, similarity double, "
+                                                        "first_word bigint, n_words bigint")
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def _search(block: Benchmark):
-    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64()),
+def _search(block: Benchmark, id_type: pa.DataType = pa.int64()):
+    schema = pa.schema([("doc_id", id_type), ("item_id", pa.int64()), ("similarity", pa.float64()),
                         ("first_word", pa.int64()), ("n_words", pa.int64())])
 
     def run(batches):
@@ -291,6 +296,14 @@ def _search(block: Benchmark):
 
 
 def drop_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` whose id matches no benchmark item."""
-    leaks = find_leaks(df, benchmark, id_col, text_col).select(F.col("doc_id").alias("_leak")).distinct()
-    return df.join(leaks, df[id_col].eqNullSafe(leaks["_leak"]), "left_anti").select(*df.columns)
+    """The rows of ``df`` whose text matches no benchmark item.
+
+    Whether a row leaks is a matter of its text alone: rows go by the text's
+    SHA-256, so null and repeated ids take no clean row with them.  Null texts
+    and an empty benchmark match nothing.
+    """
+    own = unused(df, "_text_sha256")
+    rows = df.withColumn(own, F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256))
+    docs = rows.select(F.col(own).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    leaks = _leaks(docs, benchmark, "string", pa.string()).select(F.col("doc_id").alias(own)).distinct()
+    return rows.join(leaks, own, "left_anti").select(*df.columns)

@@ -7,9 +7,10 @@ others in fewer lists is dropped at once.  Lists are cut into blocks by set size
 from positions that can still reach the overlap needed there, so blocks are
 skipped by position.
 
-Answers: equal sets are one class.  Then each set is compared with one leader
-of the lists it is in; sets linked so form a family, whose members' answers
-need no comparison with each other.  Only pairs of different families that
+Answers: equal sets are one class, whose node is one of its rows.  Then each
+set is compared with one leader of the lists it is in; sets linked to the same
+leader form a family, whose members' answers need no comparison with each
+other.  A second leader joins families.  Only pairs of different families that
 meet in a block are compared in the end, each exactly.  Every pair that can
 reach the threshold meets in a block, so no link between components is lost;
 a group of n near copies costs about n comparisons, not n * n.
@@ -30,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathwise.llm.common import bounded_batches, free_worker, shingle_hashes, slices, stage, to_batch, word_hashes, words
+from pathwise.llm.common import bounded_batches, free_worker, shingle_hashes, slices, stage, to_batch, unused, word_hashes, words
 from pathwise.llm.components import components
 
 #: The sketch: 2^20 counters, sent to the tasks as one byte each.
@@ -90,34 +91,34 @@ def _sketch(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """doc_id, size, set key, prefix in the common order, parity bits."""
-    rarity = _sketch(docs, k)
+    """doc_id, mark, size, set key, prefix in the common order, parity bits."""
+    rarity = _sketch(docs.select("doc_id", "text"), k)
     shift = np.uint64(64 - SKETCH_BITS)
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("key1", pa.int64()),
+    schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.string()), ("n", pa.int32()), ("key1", pa.int64()),
                         ("key2", pa.int64()), ("prefix", pa.list_(pa.int64())),
                         ("bits", pa.list_(pa.int64()))])
 
     def run(batches):
-        for ids, texts in slices(batches):
+        for ids, texts, marks in slices(batches):
             out = {f.name: [] for f in schema}
-            for doc_id, text in zip(ids, texts):
+            for doc_id, text, mark in zip(ids, texts, marks):
                 s = shingle_set(text, k)
                 n = len(s)
                 key = xxhash.xxh3_128_digest(s.tobytes())
                 least = n - -(-num * n // den) + SHARED if n else 0
                 prefix = s[np.lexsort((s, rarity[s >> shift]))[:least]]
-                row = (doc_id, n, int.from_bytes(key[:8], "little", signed=True),
+                row = (doc_id, mark, n, int.from_bytes(key[:8], "little", signed=True),
                        int.from_bytes(key[8:], "little", signed=True), prefix.view(np.int64), parity_bits(s))
                 for values, v in zip(out.values(), row):
                     values.append(v)
             yield to_batch(out, schema)
 
-    return docs.mapInArrow(run, "doc_id bigint, n int, key1 bigint, key2 bigint, prefix array<bigint>, "
+    return docs.mapInArrow(run, "doc_id bigint, mark string, n int, key1 bigint, key2 bigint, prefix array<bigint>, "
                                "bits array<bigint>")
 
 
 def _lists(heads: DataFrame, num: int, den: int) -> DataFrame:
-    """token, block, doc_id, n, own, and strict: the largest partner that the
+    """token, block, node, n, own, and strict: the largest partner that the
     position allows for a first common shingle, null where it can't be one."""
     step = math.log(den / num * 1.0001) if den > num else 1.0
     size = F.floor(F.log(F.col("n")) / step + 1e-12).cast("int")
@@ -126,32 +127,33 @@ def _lists(heads: DataFrame, num: int, den: int) -> DataFrame:
     strict = F.floor((F.col("n") - F.col("pos")) * F.lit((num + den) / num) + 1e-6).cast("int") - F.col("n")
     least = F.ceil(F.exp((F.col("size") + 1) * step) - 1e-6)  # smallest size of the next block
     entries = (heads.withColumn("size", size)
-               .select("doc_id", "n", "size", F.posexplode("prefix").alias("pos", "token"))
+               .select("node", "n", "size", F.posexplode("prefix").alias("pos", "token"))
                   .withColumn("reach", reach)
                .withColumn("strict", F.when(F.col("pos") <= F.col("n") - F.ceil(F.lit(num) * F.col("n") / den), strict))
                .withColumn("block", F.explode(F.when(F.col("reach") >= least, F.array("size", F.col("size") + 1))
                                               .otherwise(F.array("size")))))
-    return entries.select("token", "block", "doc_id", "n", "strict",
+    return entries.select("token", "block", "node", "n", "strict",
                           (F.col("block") == F.col("size")).alias("own"))
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """doc_id, z: compressed words of the documents that meet others in a list."""
-    schema = pa.schema([("doc_id", pa.int64()), ("z", pa.binary())])
+    """node, z: compressed text of the sets that meet others in a list.
+    ``wanted``: doc_id, node, key1."""
+    schema = pa.schema([("node", pa.int64()), ("z", pa.binary())])
 
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1)
-        for ids, texts, keys in slices(batches):
-            out = {"doc_id": [], "z": []}
-            for doc_id, text, key1 in zip(ids, texts, keys):
+        for nodes, texts, keys in slices(batches):
+            out = {"node": [], "z": []}
+            for node, text, key1 in zip(nodes, texts, keys):
                 key = xxhash.xxh3_128_digest(shingle_set(text, k).tobytes())
                 if int.from_bytes(key[:8], "little", signed=True) == key1:  # not another row with this id
-                    out["doc_id"].append(doc_id)
+                    out["node"].append(node)
                     out["z"].append(pack.compress(text.encode("utf-8", "surrogatepass")))
             yield to_batch(out, schema)
 
-    return (docs.join(wanted, "doc_id").select("doc_id", "text", "key1")
-            .mapInArrow(run, "doc_id bigint, z binary"))
+    return (docs.join(wanted, "doc_id").select("node", "text", "key1")
+            .mapInArrow(run, "node bigint, z binary"))
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -181,66 +183,73 @@ def _linked(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> D
                     out["b"].append(j)
             yield to_batch(out, schema)
 
-    ta = texts.select(F.col("doc_id").alias("a"), F.col("z").alias("za"))
-    tb = texts.select(F.col("doc_id").alias("b"), F.col("z").alias("zb"))
+    ta = texts.select(F.col("node").alias("a"), F.col("z").alias("za"))
+    tb = texts.select(F.col("node").alias("b"), F.col("z").alias("zb"))
     return (pairs.select("a", "b").join(ta, "a").join(tb, "b").select("a", "za", "b", "zb")
             .mapInArrow(run, "a bigint, b bigint"))
 
 
-def _with_family(lists: DataFrame, families: DataFrame) -> DataFrame:
-    f = families.select(F.col("node").alias("doc_id"), "component")
-    return (lists.join(f, "doc_id", "left")
-            .withColumn("family", F.coalesce("component", "doc_id")).drop("component"))
+def _labels(links: DataFrame) -> DataFrame:
+    """node, family: for each ``a`` its one leader ``b``, unless ``a`` leads
+    others itself.  Nodes without a row are their own family, so nodes of one
+    family are all linked to it."""
+    return (links.join(links.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
+            .select(F.col("a").alias("node"), F.col("b").alias("family")))
 
 
-def _leader_pairs(rows: DataFrame, leaders: DataFrame) -> DataFrame:
-    """Each document with the leader it shares most lists with."""
-    met = (rows.join(leaders, ["token", "block"]).filter("family <> leader AND doc_id <> leader")
-           .groupBy("doc_id", "leader").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
-           .filter(f"shared >= least({SHARED}, n)"))  # others wait for the last step
-    return met.groupBy("doc_id").agg(F.max_by("leader", "shared").alias("b")).select(
-        F.col("doc_id").alias("a"), "b")
+def _with_family(rows: DataFrame, labels: DataFrame, name: str = "node") -> DataFrame:
+    """``rows`` with the family of their ``name``, itself where it has none."""
+    own = labels.select(F.col("node").alias(name), F.col("family").alias("_family"))
+    return (rows.join(own, name, "left")
+            .withColumn("family", F.coalesce("_family", name)).drop("_family"))
 
 
-def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3,
-                   num: int = 90, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id for each row of ``df``.
+def _followed(hops: DataFrame) -> DataFrame:
+    """node, family: ``a`` goes over to ``b``, and on to where ``b`` goes, up
+    to four steps.  Each step leads to a smaller masked number, so none leads
+    back; a node that is not followed to the end keeps a family of its own."""
+    for _ in range(2):
+        on = hops.select(F.col("a").alias("b"), F.col("b").alias("c"))
+        hops = stage(hops.join(on, "b", "left").select("a", F.coalesce("c", "b").alias("b")), "jaccard-hops")
+    return hops.select(F.col("a").alias("node"), F.col("b").alias("family"))
 
-    A set: the distinct k-word shingles of the whole text (A-Z lower-cased,
-    words between white space); with fewer words, the whole sequence as one.
-    Two documents link when den * intersection >= num * union;
-    component_id is the smallest id reachable.
 
-    Null and empty texts have no shingles and link with nothing.  Rows that
-    repeat an id and a text give equal rows.  A row with a null id links with
-    nothing and has a null component.  Other columns are ignored.
-    """
-    bounded_batches(df.sparkSession)
-    docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"),
-                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    signed = stage(_signatures(docs, k, num, den), "jaccard-signatures")
+def _leader_pairs(rows: DataFrame, leaders: DataFrame) -> DataFrame:
+    """a, b: each node with the leader it shares most lists with."""
+    met = (rows.join(leaders, ["token", "block"]).filter("family <> leader AND node <> leader")
+           .groupBy("node", "leader").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
+           .filter(f"shared >= least({SHARED}, n)"))  # others wait for the last step
+    return met.groupBy("node").agg(F.max_by("leader", "shared").alias("b")).select(F.col("node").alias("a"), "b")
+
+
+def _grouped(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """A row per row of ``docs`` (doc_id, text, mark): doc_id, mark, n, row,
+    component_id, and rep: the row that stands for its group."""
+    signed = stage(_signatures(docs, k, num, den).withColumn("row", F.monotonically_increasing_id()),
+                   "jaccard-signatures")
+    docs = docs.select("doc_id", "text")
     keys = ["key1", "key2"]
     classes = (signed.filter("n > 0 AND doc_id IS NOT NULL").groupBy(*keys)
-               .agg(F.min("doc_id").alias("class_id")))
-    heads = (signed.filter("n > 0").join(classes, keys).filter("doc_id = class_id")
-             .dropDuplicates(["doc_id", *keys]))
+               .agg(F.min(F.struct("doc_id", "row")).alias("first"))
+               .select(*keys, F.col("first.doc_id").alias("class_id"), F.col("first.row").alias("node")))
+    heads = signed.join(classes.select("node"), F.col("row") == F.col("node"), "left_semi").withColumn("node", F.col("row"))
     lists = _lists(heads, num, den)
     # written, so that AQE can split the join at a hot list
-    met = stage(lists.groupBy("token", "block").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    met = stage(lists.groupBy("token", "block").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
                 .filter("lo < hi").select("token", "block"), "jaccard-met")
     shared = stage(lists.join(met, ["token", "block"]), "jaccard-lists")
-    enough = (shared.groupBy("doc_id").agg(F.count_distinct("token").alias("lists"), F.max("n").alias("n"))
-              .filter(f"lists >= least({SHARED}, ceil({num} * n / {den}))").select("doc_id", "lists"))
-    shared = stage(shared.join(enough, "doc_id"), "jaccard-shared")
-    wanted = shared.select("doc_id").distinct().join(heads.select("doc_id", "key1"), "doc_id")
+    enough = (shared.groupBy("node").agg(F.count_distinct("token").alias("lists"), F.max("n").alias("n"))
+              .filter(f"lists >= least({SHARED}, ceil({num} * n / {den}))").select("node", "lists"))
+    shared = stage(shared.join(enough, "node"), "jaccard-shared")
+    wanted = shared.select("node").distinct().join(heads.select("doc_id", "node", "key1"), "node")
     texts = stage(_texts(docs, wanted, k), "jaccard-texts")
 
     # an original is in more lists than its copies, whose changed shingles are their own
-    leaders = stage(shared.groupBy("token", "block").agg(F.max_by("doc_id", "lists").alias("leader")),
+    leaders = stage(shared.groupBy("token", "block").agg(F.max_by("node", "lists").alias("leader")),
                     "jaccard-leaders")
-    own = shared.withColumn("family", F.col("doc_id"))
+    own = shared.withColumn("family", F.col("node"))
     links = stage(_linked(_leader_pairs(own, leaders), texts, k, num, den), "jaccard-links")
-    families = components(links)
+    families = _labels(links)
 
     rows = stage(_with_family(shared, families), "jaccard-families")
     mask = F.lit(_MASK).cast("bigint")
@@ -250,20 +259,45 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     .filter("lo < hi").select("token", "block", F.col("pick").bitwiseXOR(mask).alias("leader")),
                     "jaccard-leaders")
     more = stage(_linked(_leader_pairs(rows, leaders), texts, k, num, den), "jaccard-more")
+    # a whole family goes over to one that a member is linked to
+    moved = _followed(_with_family(more, families, "a").groupBy(F.col("family").alias("a"))
+                      .agg(F.min(F.col("b").bitwiseXOR(mask)).bitwiseXOR(mask).alias("b")))
     links = links.unionByName(more)
-    families = components(links)
 
-    rows = _with_family(shared.join(leaders.select("token", "block"), ["token", "block"], "left_semi"),
-                        families)
-    rows = stage(rows, "jaccard-rest")
+    rows = rows.join(leaders.select("token", "block"), ["token", "block"], "left_semi")
+    rows = stage(_with_family(rows.withColumnRenamed("family", "before"), moved, "before").drop("before"),
+                 "jaccard-rest")
     pairs = stage(_family_pairs(rows, heads, num, den), "jaccard-pairs")
     links = links.unionByName(_linked(pairs, texts, k, num, den))
-    found = components(links).select(F.col("node").alias("class_id"), "component")
+    found = components(links)
+    # the component's smallest id, and the row that has it
+    found = classes.join(found, "node")
+    least = found.groupBy("component").agg(F.min(F.struct("class_id", "node")).alias("rep"))
+    found = found.join(least, "component").select(*keys, F.col("rep.class_id").alias("_id"), F.col("rep.node").alias("_rep"))
+    return (signed.drop("prefix", "bits").join(classes, keys, "left").join(found, keys, "left")
+            .select("doc_id", "mark", "n", "row",
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("_id", "class_id", "doc_id")).alias("component_id"),
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("_rep", "node")).alias("rep")))
 
-    return (signed.drop("prefix", "bits").join(classes, keys, "left").join(found, "class_id", "left")
-            .select("doc_id", F.col("n").cast("bigint").alias("n_shingles"),
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "class_id", "doc_id"))
-                    .alias("component_id")))
+
+def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3,
+                   num: int = 90, den: int = 100) -> DataFrame:
+    """doc_id, n_shingles, component_id for each row of ``df``.
+
+    A set: the distinct k-word shingles of the whole text (A-Z lower-cased,
+    words between white space); with fewer words, the whole sequence as one.
+    Two documents link when den * intersection >= num * union;
+    component_id is the smallest id reachable.
+
+    Null and empty texts have no shingles and link with nothing.  Every row is
+    a document of its own, also where ids repeat.  A row with a null id links
+    with nothing and has a null component.  Other columns are ignored.
+    """
+    bounded_batches(df.sparkSession)
+    docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"),
+                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+                     F.lit(None).cast("string").alias("mark"))
+    return _grouped(docs, k, num, den).select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "component_id")
 
 
 def _family_pairs(rows: DataFrame, heads: DataFrame, num: int, den: int) -> DataFrame:
@@ -281,22 +315,22 @@ def _family_pairs(rows: DataFrame, heads: DataFrame, num: int, den: int) -> Data
     blocks = stage(sizes.groupBy("token", "block")
                    .agg(F.max_by("family", "members").alias("main"), F.count(F.lit(1)).alias("families"))
                    .filter("families > 1").drop("families"), "jaccard-blocks")
-    held = stage(rows.join(blocks, ["token", "block"]).join(heads.select("doc_id", "bits"), "doc_id"),
+    held = stage(rows.join(blocks, ["token", "block"]).join(heads.select("node", "bits"), "node"),
                  "jaccard-held")
-    sides = ("doc_id", "n", "strict", "own", "family", "bits")
+    sides = ("node", "n", "strict", "own", "family", "bits")
     differ = " + ".join(f"bit_count(a_bits[{i}] ^ b_bits[{i}])" for i in range(PARITY_WORDS))
     a = held.filter("family <> main").select("token", "block", *[F.col(c).alias(f"a_{c}") for c in sides])
     b = held.select("token", "block", "main", *[F.col(c).alias(f"b_{c}") for c in sides])
     a, b = a.alias("a"), b.alias("b")
     met = (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.block") == F.col("b.block")) & F.expr(
-        "a_family <> b_family AND (b_family = main OR a_doc_id < b_doc_id) AND (a_own OR b_own) "
+        "a_family <> b_family AND (b_family = main OR a_node < b_node) AND (a_own OR b_own) "
         "AND a_n <= b_strict AND b_n <= a_strict "
         f"AND {num} * greatest(a_n, b_n) <= {den} * least(a_n, b_n) "
         f"AND {num + den} * ({differ}) <= {den - num} * (a_n + b_n)"))
-           .select(F.least("a_doc_id", "b_doc_id").alias("a"), F.greatest("a_doc_id", "b_doc_id").alias("b"))
+           .select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
            .distinct())
-    prefixes = heads.select("doc_id", "n", "prefix")
-    pa_, pb = (prefixes.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"),
+    prefixes = heads.select("node", "n", "prefix")
+    pa_, pb = (prefixes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"),
                                F.col("prefix").alias(f"prefix_{c}")) for c in ("a", "b"))
     return (stage(met, "jaccard-candidates").join(pa_, "a").join(pb, "b")
             .filter(F.size(F.array_intersect("prefix_a", "prefix_b"))
@@ -307,7 +341,22 @@ def _family_pairs(rows: DataFrame, heads: DataFrame, num: int, den: int) -> Data
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                      num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``df`` with one document, the smallest id, of each group of
-    linked documents.  Rows with a null id stay."""
-    gone = (jaccard_groups(df, id_col, text_col, k, num, den)
-            .filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct())
-    return df.join(gone, df[id_col] == gone["_gone"], "left_anti").select(*df.columns)
+    linked documents.
+
+    Rows go by id and text, so a near copy takes no other text that bears its
+    id with it.  Rows without an id and rows without words stay; rows that
+    repeat the id and text of the one that stays, too.
+    """
+    bounded_batches(df.sparkSession)
+    mark, own = unused(df, "_mark"), unused(df, "_own")
+    rows = df.withColumn(mark, F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    docs = rows.select(F.col(id_col).cast("bigint").alias("doc_id"),
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(mark).alias("mark"))
+    grouped = stage(_grouped(docs, k, num, den).filter("n > 0 AND doc_id IS NOT NULL")
+                    .select("doc_id", "mark", "row", "rep"), "jaccard-groups")
+    stay = grouped.filter("row = rep").select("doc_id", "mark")
+    gone = (grouped.filter("row <> rep").select("doc_id", "mark").distinct()
+            .join(stay, ["doc_id", "mark"], "left_anti")
+            .select(F.col("doc_id").alias(own), F.col("mark").alias(f"{own}_mark")))
+    return (rows.join(gone, (rows[id_col] == gone[own]) & (rows[mark] == gone[f"{own}_mark"]), "left_anti")
+            .select(*df.columns))

@@ -6,7 +6,7 @@ from collections import defaultdict
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from pathwise.llm import decontaminate, line_dedup, packing
+from pathwise.llm import decontaminate, jaccard_join, line_dedup, packing
 
 from test_operators import ascii_lower, near_components, split
 
@@ -110,3 +110,36 @@ def test_dropped_lines_keep_the_columns(spark):
     out = line_dedup.drop_lines(docs, line_dedup.dedup_lines(docs))
     assert sorted(map(tuple, out.collect()), key=lambda r: r[0]) == [
         (1, line, "x", 5), (2, "own", None, 6), (3, None, "y", None)]
+
+
+ROWS = "doc_id long, text string, _mark string, _own int, _text_sha256 string"
+
+
+def test_stages_drop_by_id_and_text(spark):
+    """Null and repeated ids: a dropped row takes no other text with it."""
+    rng = random.Random(4)
+    long = [" ".join(f"w{rng.randint(0, 999)}" for _ in range(80)) for _ in range(6)]
+    near = long[0].replace(long[0].split()[40], "other", 1)
+    rows = [(5, long[0]), (7, near), (7, long[1]), (5, long[2]), (None, long[3]), (None, near), (8, near),
+            (9, None), (9, ""), (10, long[4]), (10, long[4])]
+    df = spark.createDataFrame([(i, t, "m", 1, "s") for i, t in rows], ROWS).repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in jaccard_join.drop_near_copies(df).collect()), key=str)
+    gone = [(7, near), (8, near)]
+    assert got == sorted((r for r in rows if r not in gone), key=str)
+    bench = spark.createDataFrame([(1, long[3]), (2, long[1])], "item_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in decontaminate.drop_leaks(df, bench).collect()), key=str)
+    assert got == sorted((r for r in rows if r[1] not in (long[3], long[1])), key=str)
+    none = df.limit(0)
+    assert jaccard_join.drop_near_copies(none).count() == 0
+    assert decontaminate.drop_leaks(none, bench).count() == 0
+    assert decontaminate.drop_leaks(df, bench.limit(0)).count() == len(rows)
+
+
+def test_jaccard_groups_of_repeated_ids(spark):
+    """One id under two texts links neither with the other's copies."""
+    rng = random.Random(5)
+    a, b, c = (" ".join(f"w{rng.randint(0, 999)}" for _ in range(60)) for _ in range(3))
+    rows = [(3, a), (3, b), (4, a + " end"), (6, b + " end"), (2, c), (2, c), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_groups(df).collect()), key=str)
+    assert got == sorted([(3, 58, 3), (3, 58, 3), (4, 59, 3), (6, 59, 3), (2, 58, 2), (2, 58, 2), (None, 58, None)], key=str)
