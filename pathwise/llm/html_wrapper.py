@@ -21,6 +21,7 @@ import json
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -51,6 +52,11 @@ P = {"p"}
 # words for the frame of a page, which may enclose its main text; the others mark text of their own
 FRAME_WORDS = set("sidebar side menu nav navbar navigation header topbar masthead notice notices banner widget share "
                   "sharing social newsletter cookie cookies consent modal overlay skip toolbar".split())
+DENIALS, OWN_PARTS = set("no not without non".split()), set("post entry article story content".split())
+HEADS = set("header headline foot".split())
+DOUBTFUL = set("side share foot skip reply alert notice related".split())
+PARTNERS = set("bar bars button buttons link links icon icons list widget column col left right posts articles "
+               "nav menu cookie site page global to form block panel section area stories reading content".split())
 SCOPES = set("html body article aside section nav main header footer form div ul ol dl table td th blockquote "
              "figure details".split())
 
@@ -76,13 +82,26 @@ class Node:
         self.items: list[Node | str] = []
 
 
+@lru_cache(1 << 16)
+def _says(name: str) -> frozenset[str]:
+    """The words of one class name that say what an element is.  A name that
+    denies ("no-sidebar"), compares ("side-by-side") or speaks of the article's
+    own parts ("post-header") says nothing; words with another meaning too
+    ("share-price") need a partner that tells which is meant."""
+    words = [w.lower() for w in WORD.findall(name)]
+    if not words or words[0] in DENIALS or "by" in words or words[0] in OWN_PARTS and len(words) > 1 and words[-1] in HEADS:
+        return frozenset()
+    alone = len(words) == 1 or any(w in PARTNERS for w in words)
+    return frozenset(w for w in words if alone or w not in DOUBTFUL)
+
+
 def _element(tag: str, attributes: str) -> Node:
     found = {}
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         found.setdefault(name.lower(), a or b or c)
     names = f"{found.get('class', '')} {found.get('id', '')}"
     role = found.get("role", "").lower()
-    parts = {w.lower() for w in WORD.findall(names)}
+    parts = set().union(*map(_says, names.split()))
     chrome = tag in CHROME or role in CHROME_ROLES or "hidden" in attributes.lower().split()
     # the words that alone make it chrome
     words = parts & CHROME_WORDS if not chrome and tag not in ("html", "body", "article", "main") else ()

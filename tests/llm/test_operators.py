@@ -268,6 +268,19 @@ def test_warc_shards_follow_the_data(spark, kind):
     assert set(held) <= set(range(shards.n)) and shards.n <= 4 * total / shard_bytes + 4
 
 
+@pytest.mark.parametrize("body,want", [
+    ("<div class='page no-sidebar'><h1>T</h1><p>one two</p></div>", "T\none two"),
+    ("<article><div class='side-by-side'><p>left</p><p>right</p></div><p>end</p></article>", "left\nright\nend"),
+    ("<article><div class='post-header'><h1>T</h1></div><p>one</p></article>", "T\none"),
+    ("<article><p>one</p><div class='share-price-box'>12 up</div></article>", "one\n12 up"),
+    ("<article><p>one</p><div class='share-buttons'>tweet</div><div class='related-posts'>more</div></article>", "one"),
+    ("<div class='sidebar'>x</div><div id='sideBar'>y</div><div class='site-header'>h</div><p>one</p>", "one"),
+    ("<p>one</p><div class='cookie-notice'>c</div><div class='comment-list'><p>me</p></div><div class=ad>a</div>", "one"),
+])
+def test_class_names_say_what_they_mean(body, want):
+    assert html_wrapper.extract(html_wrapper.parse(f"<html><body>{body}</body></html>"), None) == want
+
+
 def test_html(spark):
     def page(i, body):
         return (i, f"http://h.example/{i}", "<html><head><title>t</title></head><body><nav><a href=x>Home</a></nav>"
