@@ -1,14 +1,16 @@
 """Line dedup by a segment-partition edit join (native).
 
-A line is dropped where an equal line, or one within EDITS edits, occurs
-earlier (smaller document id, then line number).
-
-Equal lines are grouped first.  Of each distinct line of LEAST_CHARS or more,
-EDITS + 1 segments are indexed under (segment, length, text); a line at most
-EDITS longer probes, for each indexed length, the few substrings that a common
+A line is dropped where an equal line, or one within the edits that both allow,
+occurs earlier (smaller document id, then line number).  A line allows an edit
+for every CHARS_PER_EDIT characters, EDITS at most: in a line of a few letters
+one edit makes another word.
+
+Equal lines are grouped first.  For each number of edits, of each distinct line
+that allows so many, that many segments and one are indexed under (segment, length, text); a line at most
+so much longer probes, for each indexed length, the few substrings that a common
 segment can be (the start is bounded by the edits left on either side).  Two
-lines within EDITS edits agree in one segment at least, so none is missed.
-Candidates are verified by the edit distance within a band of EDITS (Spark's
+lines within so many edits agree in one segment at least, so none is missed.
+Candidates are verified by the edit distance within that band (Spark's
 own; a bit-parallel one cannot be written in DataFrame functions).  All is
 DataFrame functions; hashes only choose candidates, texts decide.
 """
@@ -21,8 +23,8 @@ from pyspark.sql import functions as F
 from pathwise.llm.common import stage, unused
 
 EDITS = 2
-#: Shorter lines are compared for equality only.
-LEAST_CHARS = 20
+#: Characters of a line for each edit it allows.
+CHARS_PER_EDIT = 10
 #: Letters whose counts are compared before the distance is.
 BAG = "etaoinsr"
 
@@ -68,15 +70,32 @@ def probe_keys(edits: int) -> Column:
     return F.array(*keys)
 
 
-def near_lines(lines: DataFrame, edits: int) -> DataFrame:
+def near_lines(lines: DataFrame, edits: int, chars_per_edit: int = CHARS_PER_EDIT) -> DataFrame:
     """Lines (of distinct ``lines``: line, id, first) that an earlier line is near to.
 
+    Two lines may differ by as many edits as the shorter one allows.  Lines
+    that allow ``edits`` are joined with one another; for each smaller number,
+    those that allow just so many with what is long enough to be near to them.
+    """
+    length = F.char_length("line")
+    near = None
+    for e in range(1, edits + 1):
+        own = lines.filter(length >= e * chars_per_edit)
+        if e < edits:
+            own = own.filter(length < (e + 1) * chars_per_edit + e)
+        part = _near(own, e)
+        near = part if near is None else near.unionByName(part)
+    return lines.select("id", "first").limit(0) if near is None else near.distinct()
+
+
+def _near(lines: DataFrame, edits: int) -> DataFrame:
+    """Lines within ``edits`` edits of an earlier one.
+
     The lines that meet another under a key are found first, by semi-joins of
     narrow rows; only those are compared, inside the join, so that no pair is
     written that is not near.
     """
-    long = (lines.filter(F.char_length("line") >= LEAST_CHARS)
-            .select("id", F.char_length("line").alias("length"), F.encode("line", "UTF-32").alias("wide")))
+    long = lines.select("id", F.char_length("line").alias("length"), F.encode("line", "UTF-32").alias("wide"))
     held = long.select("id", F.explode(index_keys(edits)).alias("key"))
     probes = long.select("id", F.explode(probe_keys(edits)).alias("key"))
 
@@ -99,7 +118,7 @@ def near_lines(lines: DataFrame, edits: int) -> DataFrame:
                    & (F.levenshtein("a_line", "b_line", edits) >= 0)))
     later = F.col("a_first") > F.col("b_first")
     return (near.select(F.when(later, F.col("a_id")).otherwise(F.col("b_id")).alias("id"),
-                        F.greatest("a_first", "b_first").alias("first")).distinct())
+                        F.greatest("a_first", "b_first").alias("first")))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS) -> DataFrame:

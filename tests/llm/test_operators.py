@@ -166,7 +166,7 @@ def test_substring_dedup(docs, texts):
 def test_line_dedup(spark):
     rng = random.Random(5)
     letters = "abcdeé😀 tno"
-    base = ["".join(rng.choice(letters) for _ in range(rng.randint(18, 40))) for _ in range(20)]
+    base = ["".join(rng.choice(letters) for _ in range(rng.randint(7, 40))) for _ in range(30)]
 
     def edited(line):
         line = list(line)
@@ -191,10 +191,9 @@ def test_line_dedup(spark):
     for d, t in rows:
         for i, line in enumerate((t or "").split("\n")):
             first.setdefault(line.strip(" \t\r"), (d, i))
-    long = [x for x in first if len(x) >= line_dedup.LEAST_CHARS]
-    near = {max(a, b, key=first.get) for a in long for b in long
-            if a < b and abs(len(a) - len(b)) <= 2 and distance(a, b) <= 2}
-    assert near
+    near = {max(a, b, key=first.get) for a in first for b in first
+            if a < b and abs(len(a) - len(b)) <= 2 and distance(a, b) <= min(2, len(a) // 10, len(b) // 10)}
+    assert any(len(x) < 20 for x in near) and any(len(x) > 21 for x in near)
     df = spark.createDataFrame([(d, t, "k") for d, t in rows], "doc_id long, text string, line string")
     result = line_dedup.dedup_lines(df)
     got = by_id(result)
