@@ -8,7 +8,23 @@ from pyspark.sql import SparkSession
 # partitions, splits skewed join partitions, and turns a shuffle join into a
 # broadcast one when a side turns out small.  ANSI mode makes a decimal
 # overflow an error, as in the reference.
+#
+# Run-time key filters: where a side that can be shuffled (a gigabyte of scan
+# or more) is joined to a side cut down by filters, Spark builds a Bloom filter
+# of the small side's keys and drops other rows at the large side's scan.  For
+# the questionnaire run (J08) the pathways of usable, completed referrals so
+# reach the scans of the digital log and of the answers, before anything is
+# shuffled.  The small side may be up to 256 MB of scan, a filter up to 64 MB.
+KEY_FILTERS = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1g",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256m",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": str(40_000_000),
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(64 * 8 << 20),
+}
+
 TUNING = {
+    **KEY_FILTERS,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -95,3 +95,49 @@ def test_superseded_activities_are_pruned(refresh):
     scans = [line for line in p.splitlines() if "FileScan parquet [pathway_id" in line]
     assert any("minutes" in line for line in scans) and any("contact_date" in line for line in scans)
     assert all("dynamicpruningexpression(submission_id" in line for line in scans)
+
+
+def filtered_rows(node) -> list[tuple[str, int]]:
+    """(scan's columns, rows kept) of every filter by a run-time key filter in an executed plan."""
+    found = []
+    text = node.simpleString(1000)
+    if text.startswith("Filter") and "might_contain" in text:
+        found.append((node.child().simpleString(10_000), int(node.metrics().apply("numOutputRows").value())))
+    children = node.children()
+    for i in range(children.size()):
+        found += filtered_rows(children.apply(i))
+    return found
+
+
+def test_a_months_pathways_reach_the_scans(spark, refresh):
+    """One-month J07: Bloom filters of the referrals' pathways cut the log and the
+    answers at their scans, and lose nothing.  (The month itself is not part of
+    them: Spark builds them from the filtered scan, before its joins.)"""
+    from pathwise.functions import rules as R
+    from pathwise.plans.catalog import FIXTURE_FIRST
+    from pathwise.plans.refresh import MonthlyRefresh
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "20k", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        src = refresh.src
+        df = MonthlyRefresh(src, first=FIXTURE_FIRST).questionnaire_base.select("*")
+        month = {r[0] for r in df.select("pathway_id").collect()}
+        df = MonthlyRefresh(src, first=FIXTURE_FIRST).questionnaire_base.select("*")
+        df.collect()
+        kept = filtered_rows(df._jdf.queryExecution().executedPlan())
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    log = src.digital_log.join(src.submission_register.filter("is_latest = 1"), ["submission_id", "audit_id"])
+    need = {"product": log.filter(log.pathway_id.isin(*month)).count(),
+            "score": src.assessment.filter(src.assessment.pathway_id.isin(*month)
+                                           & src.assessment.code.isin(R.QUESTION_CODES)).count()}
+    all_rows = {"product": log.count(), "score": src.assessment.count()}
+    assert month and len(kept) == 2
+    for scan, n in kept:
+        side = "score" if "score" in scan else "product"
+        assert need[side] <= n < 0.8 * all_rows[side]
