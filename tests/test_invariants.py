@@ -62,8 +62,9 @@ def test_reference_duplicates_reports_fanout_keys(spark, refresh):
     from pathwise.operators.checks import reference_duplicates
 
     src = refresh.src
-    assert reference_duplicates(src).count() == 0       # the fixtures are clean
+    found = {(r.table_name, r.key, r.n_rows) for r in reference_duplicates(src).collect()}
+    assert found == {("commissioner_succession", "C10", 2), ("provider_hierarchy", "P7", 2)}   # the fixtures' own
     doubled = replace(src, provider_succession=src.provider_succession.unionByName(
         src.provider_succession))
     got = {(r.table_name, r.n_rows) for r in reference_duplicates(doubled).collect()}
-    assert got == {("provider_succession", 2)}
+    assert got == {("provider_succession", 2), ("commissioner_succession", 2), ("provider_hierarchy", 2)}
