@@ -26,8 +26,9 @@ from pathwise.llm.common import bounded_batches, kept_in_worker, slices, to_batc
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-#: Words kept with their ids per Python worker; words beyond are encoded each time.
-CACHED_WORDS = 400_000
+#: Words kept with their ids per Python worker, and further pieces of words; those
+#: beyond are encoded each time.
+CACHED_WORDS, CACHED_PIECES = 600_000, 150_000
 #: A long text is encoded in parts of about so many characters, cut at white space.
 PART_CHARS = 500_000
 
@@ -91,12 +92,12 @@ class WordEncoder:
         found = SPACE.split(text) if NOT_SPACE.search(text) else text.split()
         known = self.words
         try:
-            return b"".join([known[w] for w in found])
+            return b"".join(map(known.__getitem__, found))
         except KeyError:
             own = self.encode({w for w in found if w not in known})
         if len(known) < CACHED_WORDS:
             known.update(own)
-            return b"".join([known[w] for w in found])
+            return b"".join(map(known.__getitem__, found))
         return b"".join([own[w] if w in own else known[w] for w in found])
 
     def encode(self, new: set[str]) -> dict[str, bytes]:
@@ -107,8 +108,9 @@ class WordEncoder:
                 # char by char, as the tokenizer does: no final-sigma rule
                 plain = unicodedata.normalize("NFC", w).replace("\u03a3", "\u03c3")
             cut[w] = PIECES.findall(plain.lower())
-        known = self.pieces
-        missing = list({p for ps in cut.values() for p in ps if p not in known})
+        # a piece that was met as a word has that word's ids: it is cut no further
+        known, words = self.pieces, self.words
+        missing = list({p for ps in cut.values() for p in ps if p not in words and p not in known})
         own: dict[str, bytes] = {}
         if missing:
             e = self.tokenizer.encode_batch_fast([" ".join(missing)], add_special_tokens=False)[0]
@@ -119,9 +121,9 @@ class WordEncoder:
             raw = ids.tobytes()
             cuts = [0, *(4 * last).tolist()]
             own = {p: raw[a:b] for p, a, b in zip(missing, cuts, cuts[1:])}
-            if len(known) < CACHED_WORDS:
-                known.update(own)
-        return {w: b"".join([own[p] if p in own else known[p] for p in ps])
+            if len(known) < CACHED_PIECES:
+                known.update((p, i) for p, i in own.items() if p not in cut)
+        return {w: b"".join([own[p] if p in own else words[p] if p in words else known[p] for p in ps])
                 for w, ps in cut.items()}
 
 
