@@ -1,7 +1,7 @@
 """Monthly refresh from the command line.
 
     python -m pathwise --sources <dir> --out <dir> [--work <dir>]
-                       [--first 2020-09-01] [--lag 1] [--questionnaire-offset 0] [--append]
+                       [--first 2020-09-01] [--lag 1] [--questionnaire-offset 0] [--append] [--atomic]
                        [--collation UTF8_LCASE_RTRIM]
 
 ``--sources`` holds the twelve source tables as parquet folders named as in
@@ -39,6 +39,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
                     "UTF8_LCASE_RTRIM for case-blind, trailing-blank-blind matching")
     ap.add_argument("--append", action="store_true",
                     help="append the questionnaire month instead of replacing it")
+    ap.add_argument("--atomic", action="store_true",
+                    help="publish snapshot tables: a killed run leaves every table as it was")
     args = ap.parse_args(argv)
 
     builder = SparkSession.builder.appName("pathwise-monthly-refresh")
@@ -52,7 +54,9 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     refresh = MonthlyRefresh(sources, first=args.first, lag=args.lag,
                              questionnaire_offset=args.questionnaire_offset)
     work = args.work or P.new_run_dir(spark, "monthly-refresh")
-    paths = refresh.publish(args.out, work, month_append=args.append)
+    paths = refresh.publish(args.out, work, month_append=args.append, atomic=args.atomic)
+    if not args.work:
+        P.remove(spark, work)  # the run's own folder: nothing reads it any more
     print(json.dumps(paths))
     return paths
 

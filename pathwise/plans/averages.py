@@ -157,7 +157,7 @@ def contact_minutes_per_pathway(rows: DataFrame, date_col: str,
 
 
 def contact_time_dashboard(base: DataFrame, per_pathway: DataFrame, name: str,
-                           *, fold: bool = False) -> DataFrame:
+                           *, fold: bool = False, averages: str = "double") -> DataFrame:
     """Average minutes per contact by quarter x product x level x bucket.
 
     A base row with no contact contributes no minutes (count 0) and its
@@ -168,21 +168,21 @@ def contact_time_dashboard(base: DataFrame, per_pathway: DataFrame, name: str,
             .withColumn("_minutes_n", F.coalesce(F.col("_minutes_n"), F.lit(0))))
     return level_bucket_rollup(rows, "quarter", ["product"],
                                [AvgOfParts(name, "_minutes_sum", "_minutes_n"), Sum("comp_flag")],
-                               fold=fold)
+                               fold=fold, averages=averages)
 
 
 def digital_time_dashboard(base: DataFrame, contact_rows: DataFrame, *,
-                           fold: bool = False) -> DataFrame:
+                           fold: bool = False, averages: str = "double") -> DataFrame:
     """Average digital therapist minutes per contact (``contact_rows``: J09 rows)."""
     per = contact_minutes_per_pathway(contact_rows, "start_date", DIGITAL_BETWEEN)
-    return contact_time_dashboard(base, per, "avg_iet_minutes", fold=fold)
+    return contact_time_dashboard(base, per, "avg_iet_minutes", fold=fold, averages=averages)
 
 
 def any_time_dashboard(base: DataFrame, contact_rows: DataFrame, *,
-                       fold: bool = False) -> DataFrame:
+                       fold: bool = False, averages: str = "double") -> DataFrame:
     """Average therapist minutes per contact, any contact type (J16 rows)."""
     per = contact_minutes_per_pathway(contact_rows, "contact_date")
-    return contact_time_dashboard(base, per, "avg_any_minutes", fold=fold)
+    return contact_time_dashboard(base, per, "avg_any_minutes", fold=fold, averages=averages)
 
 
 def contact_activity_pairs(src: Sources) -> DataFrame:

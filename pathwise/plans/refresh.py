@@ -35,13 +35,14 @@ DASHBOARDS = [
 class MonthlyRefresh:
     def __init__(self, src: Sources, *, first: str = R.FIRST_REPORTING_DATE,
                  lag: int = R.REFRESH_LAG_MONTHS, questionnaire_offset: int = 0,
-                 fold: bool | None = None, answers_latest_versions_only: bool = False,
+                 fold: bool | None = None, averages: str = "double", answers_latest_versions_only: bool = False,
                  overrides: dict[str, DataFrame] | None = None):
         self.src = src
         self.answers_latest_versions_only = answers_latest_versions_only
         self.first, self.lag, self.questionnaire_offset, self.fold = first, lag, questionnaire_offset, fold
         # None: each dashboard as is best for it
         self._rollup = {} if fold is None else {"fold": fold}
+        self.averages = averages
         for name, df in (overrides or {}).items():
             self.__dict__[name] = df          # pre-seed cached_property values
 
@@ -124,11 +125,11 @@ class MonthlyRefresh:
     # script 2 ------------------------------------------------------------
     @cached_property
     def wait_dashboard(self) -> DataFrame:
-        return O.wait_dashboard(self.pathway_base, **self._rollup)
+        return O.wait_dashboard(self.pathway_base, averages=self.averages, **self._rollup)
 
     @cached_property
     def treatment_dashboard(self) -> DataFrame:
-        return O.treatment_dashboard(self.pathway_base, **self._rollup)
+        return O.treatment_dashboard(self.pathway_base, averages=self.averages, **self._rollup)
 
     @cached_property
     def digital_contact_base(self) -> DataFrame:
@@ -137,7 +138,7 @@ class MonthlyRefresh:
     @cached_property
     def digital_time_dashboard(self) -> DataFrame:
         return V.digital_time_dashboard(self.pathway_base, self.digital_contact_rows,
-                                        **self._rollup)
+                                        averages=self.averages, **self._rollup)
 
     @cached_property
     def all_contact_rows(self) -> DataFrame:
@@ -153,7 +154,8 @@ class MonthlyRefresh:
 
     @cached_property
     def any_time_dashboard(self) -> DataFrame:
-        return V.any_time_dashboard(self.pathway_base, self.all_contact_rows, **self._rollup)
+        return V.any_time_dashboard(self.pathway_base, self.all_contact_rows, averages=self.averages,
+                                    **self._rollup)
 
     def questionnaire_months(self) -> list[dt.date]:
         """First days of the months the questionnaire run covers."""
@@ -165,8 +167,9 @@ class MonthlyRefresh:
 
     # running -------------------------------------------------------------
     def _with(self, seeds: dict[str, DataFrame]) -> "MonthlyRefresh":
+        """This refresh over working tables, with averages as they are published."""
         return MonthlyRefresh(self.src, first=self.first, lag=self.lag,
-                              questionnaire_offset=self.questionnaire_offset, fold=self.fold,
+                              questionnaire_offset=self.questionnaire_offset, fold=self.fold, averages="decimal",
                               answers_latest_versions_only=self.answers_latest_versions_only,
                               overrides=seeds)
 

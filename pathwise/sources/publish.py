@@ -74,7 +74,8 @@ def _files(spark: SparkSession, path: str) -> set[str]:
     return {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds: a run's working tables, a month."""
     p, fs = _folder(spark, path)
     fs.delete(p, True)
 
@@ -94,7 +95,7 @@ def publish_month(df: DataFrame, path: str, month_col: str = "month",
      .partitionBy(month_col).parquet(path))
     for folder, files in before.items():  # a month written anew has other files
         if _files(df.sparkSession, folder) == files:
-            _delete(df.sparkSession, folder)
+            remove(df.sparkSession, folder)
 
 
 def append_month(df: DataFrame, path: str, month_col: str = "month") -> None:

@@ -45,7 +45,8 @@ SOURCE_SCHEMAS: dict[str, str] = {
 
 _ORG = "org_type string, region string, org_name string, org_code string"
 
-# The seven published tables, in publication column order.
+# The seven published tables, in publication column order.  Averages are
+# decimal(38,6), rounded half up at the sixth place.
 DASHBOARD_SCHEMAS: dict[str, str] = {
     "outcome_dashboard": (
         f"month date, {_ORG}, appointment_type string, iet_count bigint, product string, "
@@ -58,17 +59,17 @@ DASHBOARD_SCHEMAS: dict[str, str] = {
     "time_recorded_dashboard": (
         f"month date, {_ORG}, time_recorded string, product string, n_appointments bigint"),
     "wait_dashboard": (
-        f"quarter string, {_ORG}, appointment_type string, avg_wait_ref_to_assess double, "
-        "avg_wait_ref_to_therapy double, avg_wait_first_to_second double, comp_flag bigint"),
+        f"quarter string, {_ORG}, appointment_type string, avg_wait_ref_to_assess decimal(38,6), "
+        "avg_wait_ref_to_therapy decimal(38,6), avg_wait_first_to_second decimal(38,6), comp_flag bigint"),
     "treatment_dashboard": (
         f"quarter string, {_ORG}, appointment_type string, product string, "
-        "avg_iet_count double, avg_iet_minutes double, avg_any_minutes double, comp_flag bigint"),
+        "avg_iet_count decimal(38,6), avg_iet_minutes decimal(38,6), avg_any_minutes decimal(38,6), comp_flag bigint"),
     "digital_time_dashboard": (
         f"quarter string, {_ORG}, appointment_type string, product string, "
-        "avg_iet_minutes double, comp_flag bigint"),
+        "avg_iet_minutes decimal(38,6), comp_flag bigint"),
     "any_time_dashboard": (
         f"quarter string, {_ORG}, appointment_type string, product string, "
-        "avg_any_minutes double, comp_flag bigint"),
+        "avg_any_minutes decimal(38,6), comp_flag bigint"),
 }
 
 # Flags the reference compares with 'True': text is accepted for them.

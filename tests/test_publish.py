@@ -57,7 +57,8 @@ def test_full_refresh_publishes_seven_tables(spark, refresh):
                                     "time_recorded_dashboard", "wait_dashboard",
                                     "treatment_dashboard", "digital_time_dashboard",
                                     "any_time_dashboard"])
+    as_published = refresh._with({})       # averages are decimals
     for name, path in paths.items():
-        expected = getattr(refresh, name)
+        expected = getattr(as_published, name)
         got = spark.read.parquet(path).select(*expected.columns)
         assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0, name
