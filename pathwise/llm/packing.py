@@ -37,7 +37,12 @@ WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE = regex.compile(f"[{WHITE}]+")
 NOT_SPACE = regex.compile("[\x1c-\x1f]")
 # Fixed value, from the tokenizer file: what it encodes by itself, after NFC and lower case.
-PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\p{{N}}]+")
+PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\p{{N}}]+"
+LINES = regex.compile(rf"{PIECES}|\n")
+#: Other than Latin letters, punctuation and currency signs: what stands for itself once it was
+#: normalised and lower-cased, in any Unicode version.
+OTHER = regex.compile("[^\0-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]")
+
 
 def default_tokenizer_path() -> str:
     import public_tokenizers
@@ -54,8 +59,13 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        # the same model for pieces that are normalised and cut already
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         # tokens of the file that stand for themselves in any text, found before all else
         self.added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         if any(t.normalized or t.single_word for t in self.tokenizer.get_added_tokens_decoder().values()):
@@ -90,31 +100,40 @@ class WordEncoder:
 
     def part(self, text: str) -> bytes:
         found = SPACE.split(text) if NOT_SPACE.search(text) else text.split()
+        # every word is looked up once, whether or not the table has all of them
         known = self.words
-        try:
-            return b"".join(map(known.__getitem__, found))
-        except KeyError:
-            own = self.encode({w for w in found if w not in known})
-        if len(known) < CACHED_WORDS:
-            known.update(own)
-            return b"".join(map(known.__getitem__, found))
-        return b"".join([own[w] if w in own else known[w] for w in found])
+        out = list(map(known.get, found))
+        if None in out:
+            gaps = [i for i, ids in enumerate(out) if ids is None]
+            own = self.encode({found[i] for i in gaps})
+            if len(known) < CACHED_WORDS:
+                known.update(own)
+            for i in gaps:
+                out[i] = own[found[i]]
+        return b"".join(out)
 
     def encode(self, new: set[str]) -> dict[str, bytes]:
-        cut = {}
-        for w in new:
-            plain = w
-            if not w.isascii():
-                # char by char, as the tokenizer does: no final-sigma rule
-                plain = unicodedata.normalize("NFC", w).replace("\u03a3", "\u03c3")
-            cut[w] = PIECES.findall(plain.lower())
+        # cut together, one line each; no word holds a line feed, and nothing composes with one
+        lines = "\n".join(new)
+        if not lines.isascii():
+            # char by char, as the tokenizer does: no final-sigma rule
+            lines = unicodedata.normalize("NFC", lines).replace("\u03a3", "\u03c3")
+        cut: dict[str, list[str]] = {}
+        each, own_pieces = iter(new), []
+        for p in [*LINES.findall(lines.lower()), "\n"]:
+            if p == "\n":
+                cut[next(each)] = own_pieces
+                own_pieces = []
+            else:
+                own_pieces.append(p)
         # a piece that was met as a word has that word's ids: it is cut no further
         known, words = self.pieces, self.words
         missing = list({p for ps in cut.values() for p in ps if p not in words and p not in known})
         own: dict[str, bytes] = {}
         if missing:
-            e = self.tokenizer.encode_batch_fast([" ".join(missing)], add_special_tokens=False)[0]
-            ids = np.asarray(e.ids, "<u4")
+            spaced = " ".join(missing)
+            by = self.tokenizer if OTHER.search(spaced) else self.plain
+            ids = np.asarray(by.encode_batch_fast([spaced], add_special_tokens=False)[0].ids, "<u4")
             last = np.flatnonzero(self.ends[ids]) + 1
             if len(last) != len(missing) or last[-1] != len(ids):
                 raise ValueError("the tokenizer does not mark the ends of words")

@@ -254,3 +254,49 @@ def test_whitening_of_huge_entries(spark):
     exact = ((20 * x - x.sum(0)) ** 2).sum(1)
     got = {r.vec_id: r.deviation for r in whitening.whiten(vectors(spark, rows)).collect()}
     assert got == {i: (int(v) if v < 2 ** 63 else None) for i, v in enumerate(exact)}
+
+
+class Counted(dict):
+    """A table of words that counts how often it is asked."""
+    asked = 0
+
+    def get(self, k, *default):
+        self.asked += 1
+        return super().get(k, *default)
+
+    def __getitem__(self, k):
+        self.asked += 1
+        return super().__getitem__(k)
+
+    def __contains__(self, k):
+        self.asked += 1
+        return super().__contains__(k)
+
+
+def test_words_are_looked_up_once_beside_new_words(monkeypatch):
+    """A text with a new word costs one look a word, also when the table is full."""
+    from pathwise.llm import packing
+
+    monkeypatch.setattr(packing, "CACHED_WORDS", 0)
+    enc = packing.WordEncoder(packing.default_tokenizer_path())
+    old = [f"word{i}" for i in range(300)]
+    enc.words = Counted(enc.encode(set(old)))
+    text = " ".join([*old, "unheardof", *old])
+    got = enc(text)
+    assert enc.words.asked <= 601 + 10
+    assert np.frombuffer(got, "<u4").tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_words_cut_together_have_the_tokenizers_ids():
+    """Marks at a word's start, sigma, dotted i, separators, quotes, digits, other scripts."""
+    from pathwise.llm import packing
+
+    enc = packing.WordEncoder(packing.default_tokenizer_path())
+    texts = ["́accent été ́", "ΟΔΟΣ ΣΣ İstanbul İ", "a\x1cb \x1d \x1e\x1f c",
+             "It's we'll 'RE don’t “quoted” 12.5€ x2 ªº µm Ⱥẞ Straße",
+             "日本語 русский \U0001f600\U0001f600! K ΅", "one\ntwo\r\n\nthree\t\x85four\xa0five",
+             "", " ", "\n"]
+    for text in [*texts, " ".join(texts)]:
+        want = enc.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(enc(text), "<u4").tolist() == want, text
+        assert np.frombuffer(enc(text), "<u4").tolist() == want, text
