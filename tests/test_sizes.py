@@ -1,11 +1,14 @@
 """Partitions of a bounded size; working tables of the staged sources."""
 
+from dataclasses import replace
+
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from pathwise import session
 from pathwise.sources import fixtures, tables
-from pathwise.sources.publish import new_run_dir
+from pathwise.sources.publish import new_run_dir, stored_bytes
 from pathwise.sources.tables import FACT_TABLES, Sources
 
 MERGE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -65,3 +68,26 @@ def test_order_lines_are_joined_once(spark):
     Sources.from_driver_tables(spark, SF_SMALL, at)
     assert all("lines" in fixtures.dependencies(n) for n in ("digital_log", "care_contact", "care_activity"))
     assert spark.read.parquet(f"{at}/lines").count() == spark.read.parquet(f"{at}/care_contact").count()
+
+
+def test_a_job_stages_the_sources_that_it_reads(spark):
+    """On demand: the same rows, and no folder of a source that was not asked for."""
+    at = new_run_dir(spark, "test-stage")
+    src, plain = Sources.from_driver_tables(spark, SF_SMALL, at, on_demand=True), Sources.from_driver_tables(spark, SF_SMALL)
+    assert not stored_bytes_or_none(spark, f"{at}/lines")
+    con = src.care_contact
+    assert src.care_contact is con and con.exceptAll(plain.care_contact).isEmpty()
+    assert con.count() == plain.care_contact.count()
+    assert stored_bytes_or_none(spark, f"{at}/lines") and stored_bytes_or_none(spark, f"{at}/care_contact")
+    assert not any(stored_bytes_or_none(spark, f"{at}/{n}") for n in ("digital_log", "referral", "assessment", "calendar"))
+    with pytest.raises(AttributeError):
+        src.no_such_table
+    # a changed copy has all twelve
+    assert replace(src, assessment=plain.assessment).calendar.count() == plain.calendar.count()
+
+
+def stored_bytes_or_none(spark, path):
+    try:
+        return stored_bytes(spark, path)
+    except Exception:
+        return None
