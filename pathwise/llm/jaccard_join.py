@@ -10,10 +10,14 @@ skipped by position.
 Answers: equal sets are one class, whose node is one of its rows.  Then each
 set is compared with one leader of the lists it is in; sets linked to the same
 leader form a family, whose members' answers need no comparison with each
-other.  A second leader joins families.  Only pairs of different families that
-meet in a block are compared in the end, each exactly.  Every pair that can
-reach the threshold meets in a block, so no link between components is lost;
-a group of n near copies costs about n comparisons, not n * n.
+other.  Then, in a few rounds, each set is compared with one member of the
+largest family of the lists it is in, another one each time, and families that
+are linked so become one: a group that lost the text it was copied from, where
+no member is near all others, grows together as well.  Only pairs of different
+families that meet in a block are compared in the end, each exactly.  Every
+pair that can reach the threshold meets in a block, so no link between
+components is lost; a group of n near copies costs about n comparisons a round,
+not n * n.
 
 The order is by approximate document frequency (a sketch of fixed size over
 all shingles); it decides only which lists are long, never the result.
@@ -28,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathwise.llm.common import bounded_batches, free_worker, shingle_hashes, slices, stage, to_batch, unused, word_hashes, words
@@ -38,9 +42,12 @@ from pathwise.llm.components import components
 SKETCH_BITS, SKETCH_PARTS = 20, 128
 #: Lists that two linked sets share at least (all their shingles if they have fewer).
 SHARED = 3
-_MASK = 0x2545F4914F6CDD1D
+#: Rounds at most in which families are joined; none follows one without a link.
+ROUNDS = 6
 #: 64-bit words of a set's parity bits.
 PARITY_WORDS = 8
+#: In how many parity bits the sets a and b differ.
+_DIFFER = " + ".join(f"bit_count(a_bits[{i}] ^ b_bits[{i}])" for i in range(PARITY_WORDS))
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -204,24 +211,60 @@ def _with_family(rows: DataFrame, labels: DataFrame, name: str = "node") -> Data
             .withColumn("family", F.coalesce("_family", name)).drop("_family"))
 
 
-def _followed(hops: DataFrame) -> DataFrame:
-    """node, family: ``a`` goes over to ``b``, and on to where ``b`` goes, up
-    to four steps.  Each step leads to a smaller masked number, so none leads
-    back; a node that is not followed to the end keeps a family of its own."""
+def _rank(family: str, members: str, turn: int) -> Column:
+    """The order of families in a round: larger ones last."""
+    return F.struct(members, F.xxhash64(family, F.lit(turn)), family)
+
+
+def _moved(more: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """node, family: the families that go over to another one that a member is
+    linked to, and on to where that goes, up to four steps.  Each step leads to
+    a later one in the round's order, so none leads back; a family that is not
+    followed to the end keeps a name of its own."""
+    of_a = labels.select(F.col("node").alias("a"), F.col("family").alias("fa"))
+    of_b = labels.select(F.col("node").alias("b"), F.col("family").alias("fb"), "members")
+    hops = (more.join(of_a, "a").join(of_b, "b").groupBy(F.col("fa").alias("a"))
+            .agg(F.max_by("fb", _rank("fb", "members", turn)).alias("b")))
     for _ in range(2):
         on = hops.select(F.col("a").alias("b"), F.col("b").alias("c"))
         hops = stage(hops.join(on, "b", "left").select("a", F.coalesce("c", "b").alias("b")), "jaccard-hops")
     return hops.select(F.col("a").alias("node"), F.col("b").alias("family"))
 
 
+def _sized(labels: DataFrame) -> DataFrame:
+    """``labels`` with the number of the family's members."""
+    sizes = labels.groupBy("family").agg(F.count(F.lit(1)).alias("members"))
+    return labels.join(sizes, "family").select("node", "family", "members")
+
+
+def _largest(rows: DataFrame, turn: int) -> DataFrame:
+    """token, block, leader, of: of the lists that hold several families, a
+    member of the largest, another one in each list and round, and its family."""
+    order = F.struct(_rank("family", "members", turn), F.xxhash64("node", "token", F.lit(turn)))
+    return (rows.groupBy("token", "block")
+            .agg(F.min("family").alias("lo"), F.max("family").alias("hi"),
+                 F.max_by(F.struct(F.col("node").alias("leader"), F.col("family").alias("of")), order).alias("first"))
+            .filter("lo < hi").select("token", "block", "first.*"))
+
+
 def _leader_pairs(rows: DataFrame, leaders: DataFrame) -> DataFrame:
-    """a, b: each node with the leader it shares most lists with."""
-    met = (rows.join(leaders, ["token", "block"]).filter("family <> leader AND node <> leader")
+    """a, b: each node with the leader of another family it shares most lists with."""
+    met = (rows.join(leaders, ["token", "block"]).filter("family <> of")
            .groupBy("node", "leader").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
            .filter(f"shared >= least({SHARED}, n)"))  # others wait for the last step
     return met.groupBy("node").agg(F.max_by("leader", "shared").alias("b")).select(F.col("node").alias("a"), "b")
 
 
+def _nearest_pairs(rows: DataFrame, leaders: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
+    """a, b: each node with the leader of another family whose parity bits are
+    nearest, where they let the two reach the threshold."""
+    met = rows.join(leaders, ["token", "block"]).filter("family <> of").select("node", "leader").distinct()
+    a, b = (bits.select(*[F.col(c).alias(f"{side}_{c}") for c in ("node", "n", "bits")]) for side in ("a", "b"))
+    return (met.withColumnsRenamed({"node": "a_node", "leader": "b_node"}).join(a, "a_node").join(b, "b_node")
+            .filter(_may_reach(num, den)).groupBy(F.col("a_node").alias("a"))
+            .agg(F.min_by("b_node", F.expr(_DIFFER)).alias("b")))
+
+
 def _grouped(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """A row per row of ``docs`` (doc_id, text, mark): doc_id, mark, n, row,
     component_id, and rep: the row that stands for its group."""
@@ -245,28 +288,28 @@ def _grouped(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     texts = stage(_texts(docs, wanted, k), "jaccard-texts")
 
     # an original is in more lists than its copies, whose changed shingles are their own
-    leaders = stage(shared.groupBy("token", "block").agg(F.max_by("node", "lists").alias("leader")),
-                    "jaccard-leaders")
+    # (of equal ones the same in every list, so that they do not share the copies among them)
+    leaders = stage(shared.groupBy("token", "block")
+                    .agg(F.max_by("node", F.struct("lists", F.xxhash64("node"))).alias("leader"))
+                    .withColumn("of", F.col("leader")), "jaccard-leaders")
     own = shared.withColumn("family", F.col("node"))
     links = stage(_linked(_leader_pairs(own, leaders), texts, k, num, den), "jaccard-links")
-    families = _labels(links)
-
-    rows = stage(_with_family(shared, families), "jaccard-families")
-    mask = F.lit(_MASK).cast("bigint")
-    leaders = stage(rows.groupBy("token", "block")
-                    .agg(F.min("family").alias("lo"), F.max("family").alias("hi"),
-                         F.min(F.col("family").bitwiseXOR(mask)).alias("pick"))
-                    .filter("lo < hi").select("token", "block", F.col("pick").bitwiseXOR(mask).alias("leader")),
-                    "jaccard-leaders")
-    more = stage(_linked(_leader_pairs(rows, leaders), texts, k, num, den), "jaccard-more")
-    # a whole family goes over to one that a member is linked to
-    moved = _followed(_with_family(more, families, "a").groupBy(F.col("family").alias("a"))
-                      .agg(F.min(F.col("b").bitwiseXOR(mask)).bitwiseXOR(mask).alias("b")))
-    links = links.unionByName(more)
-
-    rows = rows.join(leaders.select("token", "block"), ["token", "block"], "left_semi")
-    rows = stage(_with_family(rows.withColumnRenamed("family", "before"), moved, "before").drop("before"),
-                 "jaccard-rest")
+
+    labels = stage(_sized(_with_family(shared.select("node").distinct(), _labels(links))), "jaccard-labels")
+    rows = stage(shared.join(labels, "node"), "jaccard-families")
+    bits = heads.select("node", "n", "bits")
+    for turn in range(ROUNDS):
+        leaders = stage(_largest(rows, turn), "jaccard-leaders")
+        more = stage(_linked(_nearest_pairs(rows, leaders, bits, num, den), texts, k, num, den), "jaccard-more")
+        links = links.unionByName(more)
+        rows = rows.join(leaders.select("token", "block"), ["token", "block"], "left_semi")
+        if more.isEmpty():
+            break
+        # a whole family goes over to one that a member is linked to
+        moved = _moved(more, labels, turn)
+        labels = labels.select("node", F.col("family").alias("before"))
+        labels = stage(_sized(_with_family(labels, moved, "before").select("node", "family")), "jaccard-labels")
+        rows = stage(rows.drop("family", "members").join(labels, "node"), "jaccard-rest")
     pairs = stage(_family_pairs(rows, heads, num, den), "jaccard-pairs")
     links = links.unionByName(_linked(pairs, texts, k, num, den))
     found = components(links)
@@ -300,6 +343,12 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return _grouped(docs, k, num, den).select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "component_id")
 
 
+def _may_reach(num: int, den: int) -> Column:
+    """Whether sizes and parity bits let the sets a and b reach the threshold."""
+    return F.expr(f"{num} * greatest(a_n, b_n) <= {den} * least(a_n, b_n) "
+                  f"AND {num + den} * ({_DIFFER}) <= {den - num} * (a_n + b_n)")
+
+
 def _family_pairs(rows: DataFrame, heads: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of different families that can reach the threshold.
 
@@ -318,15 +367,12 @@ def _family_pairs(rows: DataFrame, heads: DataFrame, num: int, den: int) -> Data
     held = stage(rows.join(blocks, ["token", "block"]).join(heads.select("node", "bits"), "node"),
                  "jaccard-held")
     sides = ("node", "n", "strict", "own", "family", "bits")
-    differ = " + ".join(f"bit_count(a_bits[{i}] ^ b_bits[{i}])" for i in range(PARITY_WORDS))
     a = held.filter("family <> main").select("token", "block", *[F.col(c).alias(f"a_{c}") for c in sides])
     b = held.select("token", "block", "main", *[F.col(c).alias(f"b_{c}") for c in sides])
     a, b = a.alias("a"), b.alias("b")
     met = (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.block") == F.col("b.block")) & F.expr(
         "a_family <> b_family AND (b_family = main OR a_node < b_node) AND (a_own OR b_own) "
-        "AND a_n <= b_strict AND b_n <= a_strict "
-        f"AND {num} * greatest(a_n, b_n) <= {den} * least(a_n, b_n) "
-        f"AND {num + den} * ({differ}) <= {den - num} * (a_n + b_n)"))
+        "AND a_n <= b_strict AND b_n <= a_strict") & _may_reach(num, den))
            .select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
            .distinct())
     prefixes = heads.select("node", "n", "prefix")

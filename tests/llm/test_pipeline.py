@@ -143,3 +143,42 @@ def test_jaccard_groups_of_repeated_ids(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_groups(df).collect()), key=str)
     assert got == sorted([(3, 58, 3), (3, 58, 3), (4, 59, 3), (6, 59, 3), (2, 58, 2), (2, 58, 2), (None, 58, None)], key=str)
+
+
+def test_near_copies_without_their_original_meet_few_times(spark, monkeypatch):
+    """Copies with the same few edits each are in equally many lists, and none
+    is near all others: their pairs must not all be set against each other."""
+    rng = random.Random(8)
+    base = [f"w{rng.randint(0, 9999)}" for _ in range(150)]
+    rows = []
+    for i in range(400):
+        copy = list(base)
+        for at in rng.sample(range(2, 148, 6), 3):
+            copy[at] = f"x{at}"
+        rows.append((i, " ".join(copy)))
+    rows.append((400, " ".join(f"v{rng.randint(0, 9999)}" for _ in range(150))))
+    candidates, stage = [], jaccard_join.stage
+
+    def counted(df, label):
+        out = stage(df, label)
+        if label == "jaccard-candidates":
+            candidates.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stage", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_groups(df, k=5, num=80).collect()}
+    sets = {}
+    for i, t in rows:
+        w = t.split()
+        sets[i] = {tuple(w[j:j + 5]) for j in range(len(w) - 4)}
+    parent = dict.fromkeys(sets)
+    for first in sorted(sets):  # reached from the smallest id on
+        todo = [first] if parent[first] is None else []
+        while todo:
+            i = todo.pop()
+            parent[i] = first
+            todo += [j for j in sets if parent[j] is None and j not in todo
+                     and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    assert got == parent
+    assert candidates[0] <= len(rows), candidates
