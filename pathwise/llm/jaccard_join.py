@@ -10,7 +10,8 @@ skipped by position.
 Answers: equal sets are one class, whose node is one of its rows.  Then each
 set is compared with one leader of the lists it is in; sets linked to the same
 leader form a family, whose members' answers need no comparison with each
-other.  Then, in a few rounds, each set is compared with one member of the
+other.  Where a list still holds more than FEW sets beside its main family,
+then, in a few rounds, each of its sets is compared with one member of the
 largest family of the lists it is in, another one each time, and families that
 are linked so become one: a group that lost the text it was copied from, where
 no member is near all others, grows together as well.  Only pairs of different
@@ -27,12 +28,14 @@ from __future__ import annotations
 
 import math
 from collections import OrderedDict
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pathwise.llm.common import bounded_batches, free_worker, shingle_hashes, slices, stage, to_batch, unused, word_hashes, words
@@ -44,6 +47,12 @@ SKETCH_BITS, SKETCH_PARTS = 20, 128
 SHARED = 3
 #: Rounds at most in which families are joined; none follows one without a link.
 ROUNDS = 6
+#: So many sets beside a list's main family are left to the last step at once.
+FEW = 8
+#: A filter's 64-bit words at most, whatever the input (2^24 bits).
+FILTER_WORDS = 1 << 18
+#: Texts whose words are hashed together.
+TEXTS = 64
 #: 64-bit words of a set's parity bits.
 PARITY_WORDS = 8
 #: In how many parity bits the sets a and b differ.
@@ -53,7 +62,27 @@ _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 def shingle_set(text: str, k: int) -> np.ndarray:
     """Sorted distinct shingle hashes of a text (words in lower-case A-Z)."""
-    return np.unique(shingle_hashes(word_hashes(words(text, lower=True)), k))
+    return _distinct(shingle_hashes(word_hashes(words(text, lower=True)), k))
+
+
+def _distinct(h: np.ndarray) -> np.ndarray:
+    """Sorted and distinct; several times faster than ``np.unique`` on a text's hashes."""
+    h = np.sort(h)
+    new = np.ones(len(h), bool)
+    np.not_equal(h[1:], h[:-1], out=new[1:])
+    return h[new]
+
+
+def shingle_sets(texts: list[str], k: int) -> Iterator[np.ndarray]:
+    """``shingle_set`` of each text; the words of TEXTS texts are hashed as one run."""
+    for lo in range(0, len(texts), TEXTS):
+        found = [words(t, lower=True) for t in texts[lo:lo + TEXTS]]
+        h = word_hashes(list(chain.from_iterable(found)))
+        runs, start = shingle_hashes(h, k), 0
+        for ws in found:
+            end = start + len(ws)
+            yield _distinct(runs[start:end - k + 1] if len(ws) >= k else shingle_hashes(h[start:end], k))
+            start = end
 
 
 def parity_bits(s: np.ndarray) -> np.ndarray:
@@ -72,19 +101,20 @@ def _sketch(docs: DataFrame, k: int) -> np.ndarray:
     def count(batches):
         free_worker()
         total = np.zeros(1 << SKETCH_BITS, np.uint32)
+        pack = zstandard.ZstdCompressor(level=1)
         for _, texts in slices(batches):
-            found = [(shingle_set(t, k) >> shift).astype(np.int64) for t in texts]
+            found = [(s >> shift).astype(np.int64) for s in shingle_sets(texts, k)]
             total += np.bincount(np.concatenate(found or [np.empty(0, np.int64)]),
                                  minlength=1 << SKETCH_BITS).astype(np.uint32)
         yield to_batch({"part": list(range(SKETCH_PARTS)),
-                        "counts": [c.tobytes() for c in total.reshape(SKETCH_PARTS, width)]}, schema)
+                        "counts": [pack.compress(c.tobytes()) for c in total.reshape(SKETCH_PARTS, width)]}, schema)
 
     def add(batches):  # streams: one part's rows are never held together
         totals: dict[int, np.ndarray] = {}
         for b in batches:
             for part, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 own = totals.setdefault(part, np.zeros(width, np.uint64))
-                own += np.frombuffer(counts, np.uint32)
+                own += np.frombuffer(zstandard.decompress(counts), np.uint32)
         yield to_batch({"part": list(totals), "counts": [
             np.floor(2 * np.log2(c + 1.0)).astype(np.uint8).tobytes() for c in totals.values()]}, schema)
 
@@ -108,8 +138,7 @@ def _signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     def run(batches):
         for ids, texts, marks in slices(batches):
             out = {f.name: [] for f in schema}
-            for doc_id, text, mark in zip(ids, texts, marks):
-                s = shingle_set(text, k)
+            for doc_id, mark, s in zip(ids, marks, shingle_sets(texts, k)):
                 n = len(s)
                 key = xxhash.xxh3_128_digest(s.tobytes())
                 least = n - -(-num * n // den) + SHARED if n else 0
@@ -125,8 +154,10 @@ def _signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
 
 def _lists(heads: DataFrame, num: int, den: int) -> DataFrame:
-    """token, block, node, n, own, and strict: the largest partner that the
-    position allows for a first common shingle, null where it can't be one."""
+    """token, block, node, n, own, length: the list's number of sets, and
+    strict: the largest partner that the position allows for a first common
+    shingle, null where it can't be one.  Only lists of two sets or more: most
+    are of one, so rows go to their list once and are counted there."""
     step = math.log(den / num * 1.0001) if den > num else 1.0
     size = F.floor(F.log(F.col("n")) / step + 1e-12).cast("int")
     # the first SHARED common shingles of two sets leave that many positions at least
@@ -135,12 +166,27 @@ def _lists(heads: DataFrame, num: int, den: int) -> DataFrame:
     least = F.ceil(F.exp((F.col("size") + 1) * step) - 1e-6)  # smallest size of the next block
     entries = (heads.withColumn("size", size)
                .select("node", "n", "size", F.posexplode("prefix").alias("pos", "token"))
-                  .withColumn("reach", reach)
-               .withColumn("strict", F.when(F.col("pos") <= F.col("n") - F.ceil(F.lit(num) * F.col("n") / den), strict))
+               .withColumn("reach", reach)
                .withColumn("block", F.explode(F.when(F.col("reach") >= least, F.array("size", F.col("size") + 1))
                                               .otherwise(F.array("size")))))
-    return entries.select("token", "block", "node", "n", "strict",
-                          (F.col("block") == F.col("size")).alias("own"))
+    return (entries.select("token", "block", "node", "n", "pos")
+            .withColumn("length", F.count(F.lit(1)).over(Window.partitionBy("token", "block"))).filter("length > 1")
+            .withColumn("strict", F.when(F.col("pos") <= F.col("n") - F.ceil(F.lit(num) * F.col("n") / den), strict))
+            .select("token", "block", "node", "n", "strict", (F.col("block") == size).alias("own"), "length"))
+
+
+def _only(rows: DataFrame, name: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` less most of those whose ``name`` is not in the one column of
+    ``wanted``, by a filter of bounded size: a join after it shuffles the rest."""
+    def slot(column):
+        return F.xxhash64(column)
+
+    word, bit = F.pmod(slot(name), F.lit(FILTER_WORDS)), F.shiftrightunsigned(slot(name), 58)
+    own = wanted.columns[0]
+    marks = (wanted.select(F.pmod(slot(own), F.lit(FILTER_WORDS)).alias("_word"),
+                           F.expr("shiftleft(1L, cast(shiftrightunsigned(xxhash64(%s), 58) as int))" % own).alias("_mask"))
+             .groupBy("_word").agg(F.bit_or("_mask").alias("_mask")))
+    return rows.join(F.broadcast(marks), (word == F.col("_word")) & (F.getbit("_mask", bit) == 1), "left_semi")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -152,14 +198,14 @@ def _texts(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
         pack = zstandard.ZstdCompressor(level=1)
         for nodes, texts, keys in slices(batches):
             out = {"node": [], "z": []}
-            for node, text, key1 in zip(nodes, texts, keys):
-                key = xxhash.xxh3_128_digest(shingle_set(text, k).tobytes())
+            for node, text, key1, s in zip(nodes, texts, keys, shingle_sets(texts, k)):
+                key = xxhash.xxh3_128_digest(s.tobytes())
                 if int.from_bytes(key[:8], "little", signed=True) == key1:  # not another row with this id
                     out["node"].append(node)
                     out["z"].append(pack.compress(text.encode("utf-8", "surrogatepass")))
             yield to_batch(out, schema)
 
-    return (docs.join(wanted, "doc_id").select("node", "text", "key1")
+    return (_only(docs, "doc_id", wanted.select("doc_id")).join(wanted, "doc_id").select("node", "text", "key1")
             .mapInArrow(run, "node bigint, z binary"))
 
 
@@ -190,9 +236,10 @@ def _linked(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> D
                     out["b"].append(j)
             yield to_batch(out, schema)
 
-    ta = texts.select(F.col("node").alias("a"), F.col("z").alias("za"))
-    tb = texts.select(F.col("node").alias("b"), F.col("z").alias("zb"))
-    return (pairs.select("a", "b").join(ta, "a").join(tb, "b").select("a", "za", "b", "zb")
+    pairs = stage(pairs.select("a", "b"), "jaccard-compared")
+    ta, tb = (_only(texts.select(F.col("node").alias(c), F.col("z").alias(f"z{c}")), c, pairs.select(c))
+              for c in ("a", "b"))
+    return (pairs.join(ta, "a").join(tb, "b").select("a", "za", "b", "zb")
             .mapInArrow(run, "a bigint, b bigint"))
 
 
@@ -238,30 +285,41 @@ def _sized(labels: DataFrame) -> DataFrame:
 
 
 def _largest(rows: DataFrame, turn: int) -> DataFrame:
-    """token, block, leader, of: of the lists that hold several families, a
-    member of the largest, another one in each list and round, and its family."""
-    order = F.struct(_rank("family", "members", turn), F.xxhash64("node", "token", F.lit(turn)))
-    return (rows.groupBy("token", "block")
-            .agg(F.min("family").alias("lo"), F.max("family").alias("hi"),
-                 F.max_by(F.struct(F.col("node").alias("leader"), F.col("family").alias("of")), order).alias("first"))
-            .filter("lo < hi").select("token", "block", "first.*"))
+    """token, block, leader, of: of the lists that hold more than FEW sets
+    beside their main family, a member of the largest family, another one in
+    each list and round, and that family."""
+    held = (rows.groupBy("token", "block", "family", "members")
+            .agg(F.count(F.lit(1)).alias("held"),
+                 F.max_by("node", F.xxhash64("node", "token", F.lit(turn))).alias("leader")))
+    return (held.groupBy("token", "block")
+            .agg((F.sum("held") - F.max("held")).alias("others"),
+                 F.max_by(F.struct("leader", F.col("family").alias("of")), _rank("family", "members", turn)).alias("first"))
+            .filter(F.col("others") > FEW).select("token", "block", "first.*"))
+
+
+def _with_bits(met: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (node, leader) that can reach the threshold, with size and
+    parity bits of either: a_node and so on, b_node and so on."""
+    a, b = (bits.select(*[F.col(c).alias(f"{side}_{c}") for c in ("node", "n", "bits")]) for side in ("a", "b"))
+    return (met.withColumnsRenamed({"node": "a_node", "leader": "b_node"}).join(a, "a_node").join(b, "b_node")
+            .filter(_may_reach(num, den)))
 
 
-def _leader_pairs(rows: DataFrame, leaders: DataFrame) -> DataFrame:
-    """a, b: each node with the leader of another family it shares most lists with."""
+def _leader_pairs(rows: DataFrame, leaders: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
+    """a, b: each node with the leader of another family it shares most lists
+    with, where their parity bits let the two reach the threshold."""
     met = (rows.join(leaders, ["token", "block"]).filter("family <> of")
            .groupBy("node", "leader").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
            .filter(f"shared >= least({SHARED}, n)"))  # others wait for the last step
-    return met.groupBy("node").agg(F.max_by("leader", "shared").alias("b")).select(F.col("node").alias("a"), "b")
+    met = met.groupBy("node").agg(F.max_by("leader", "shared").alias("leader"))
+    return _with_bits(met, bits, num, den).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
 
 def _nearest_pairs(rows: DataFrame, leaders: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
     """a, b: each node with the leader of another family whose parity bits are
     nearest, where they let the two reach the threshold."""
     met = rows.join(leaders, ["token", "block"]).filter("family <> of").select("node", "leader").distinct()
-    a, b = (bits.select(*[F.col(c).alias(f"{side}_{c}") for c in ("node", "n", "bits")]) for side in ("a", "b"))
-    return (met.withColumnsRenamed({"node": "a_node", "leader": "b_node"}).join(a, "a_node").join(b, "b_node")
-            .filter(_may_reach(num, den)).groupBy(F.col("a_node").alias("a"))
+    return (_with_bits(met, bits, num, den).groupBy(F.col("a_node").alias("a"))
             .agg(F.min_by("b_node", F.expr(_DIFFER)).alias("b")))
 
 
@@ -276,16 +334,15 @@ def _grouped(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                .agg(F.min(F.struct("doc_id", "row")).alias("first"))
                .select(*keys, F.col("first.doc_id").alias("class_id"), F.col("first.row").alias("node")))
     heads = signed.join(classes.select("node"), F.col("row") == F.col("node"), "left_semi").withColumn("node", F.col("row"))
-    lists = _lists(heads, num, den)
-    # written, so that AQE can split the join at a hot list
-    met = stage(lists.groupBy("token", "block").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-                .filter("lo < hi").select("token", "block"), "jaccard-met")
-    shared = stage(lists.join(met, ["token", "block"]), "jaccard-lists")
+    shared = stage(_lists(heads, num, den), "jaccard-lists")
     enough = (shared.groupBy("node").agg(F.count_distinct("token").alias("lists"), F.max("n").alias("n"))
               .filter(f"lists >= least({SHARED}, ceil({num} * n / {den}))").select("node", "lists"))
+    enough = stage(enough, "jaccard-enough")
     shared = stage(shared.join(enough, "node"), "jaccard-shared")
-    wanted = shared.select("node").distinct().join(heads.select("doc_id", "node", "key1"), "node")
-    texts = stage(_texts(docs, wanted, k), "jaccard-texts")
+    heads = stage(signed.withColumn("node", F.col("row")).join(enough.select("node"), "node", "left_semi")
+                  .select("node", "doc_id", "key1", "n", "prefix", "bits"), "jaccard-heads")
+    bits = heads.select("node", "n", "bits")
+    texts = stage(_texts(docs, heads.select("doc_id", "node", "key1"), k), "jaccard-texts")
 
     # an original is in more lists than its copies, whose changed shingles are their own
     # (of equal ones the same in every list, so that they do not share the copies among them)
@@ -293,23 +350,25 @@ def _grouped(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                     .agg(F.max_by("node", F.struct("lists", F.xxhash64("node"))).alias("leader"))
                     .withColumn("of", F.col("leader")), "jaccard-leaders")
     own = shared.withColumn("family", F.col("node"))
-    links = stage(_linked(_leader_pairs(own, leaders), texts, k, num, den), "jaccard-links")
+    links = stage(_linked(_leader_pairs(own, leaders, bits, num, den), texts, k, num, den), "jaccard-links")
 
-    labels = stage(_sized(_with_family(shared.select("node").distinct(), _labels(links))), "jaccard-labels")
-    rows = stage(shared.join(labels, "node"), "jaccard-families")
-    bits = heads.select("node", "n", "bits")
+    labels = stage(_sized(_with_family(enough.select("node"), _labels(links))), "jaccard-labels")
+    crowd = stage(shared.filter(F.col("length") > FEW + 1).join(labels, "node"), "jaccard-crowd")
     for turn in range(ROUNDS):
-        leaders = stage(_largest(rows, turn), "jaccard-leaders")
-        more = stage(_linked(_nearest_pairs(rows, leaders, bits, num, den), texts, k, num, den), "jaccard-more")
+        leaders = stage(_largest(crowd, turn), "jaccard-leaders")
+        if leaders.isEmpty():
+            break
+        crowd = crowd.join(leaders.select("token", "block"), ["token", "block"], "left_semi")
+        more = stage(_linked(_nearest_pairs(crowd, leaders, bits, num, den), texts, k, num, den), "jaccard-more")
         links = links.unionByName(more)
-        rows = rows.join(leaders.select("token", "block"), ["token", "block"], "left_semi")
         if more.isEmpty():
             break
         # a whole family goes over to one that a member is linked to
         moved = _moved(more, labels, turn)
         labels = labels.select("node", F.col("family").alias("before"))
         labels = stage(_sized(_with_family(labels, moved, "before").select("node", "family")), "jaccard-labels")
-        rows = stage(rows.drop("family", "members").join(labels, "node"), "jaccard-rest")
+        crowd = stage(crowd.drop("family", "members").join(labels, "node"), "jaccard-crowd")
+    rows = stage(shared.join(labels.select("node", "family"), "node"), "jaccard-families")
     pairs = stage(_family_pairs(rows, heads, num, den), "jaccard-pairs")
     links = links.unionByName(_linked(pairs, texts, k, num, den))
     found = components(links)

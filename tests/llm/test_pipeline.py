@@ -3,6 +3,7 @@
 import random
 from collections import defaultdict
 
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -182,3 +183,47 @@ def test_near_copies_without_their_original_meet_few_times(spark, monkeypatch):
                      and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
     assert got == parent
     assert candidates[0] <= len(rows), candidates
+
+
+def test_short_lists_take_no_rounds(spark, monkeypatch):
+    """Lists of few sets go to the last step at once, and no link is lost there."""
+    rng = random.Random(9)
+    rows = []
+    for group in range(6):  # copies of a text that is not there, with two of four edits each
+        base = [f"w{rng.randint(0, 9999)}" for _ in range(120)]
+        for i in range(5):
+            copy = list(base)
+            for at in rng.sample(range(10, 110, 25), 2):
+                copy[at] = f"x{group}"
+            rows.append((10 * group + i, " ".join(copy)))
+    labels, stage = [], jaccard_join.stage
+    monkeypatch.setattr(jaccard_join, "stage", lambda df, label: labels.append(label) or stage(df, label))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_groups(df).collect()}
+    sets = {}
+    for i, t in rows:
+        w = t.split()
+        sets[i] = {tuple(w[j:j + 3]) for j in range(len(w) - 2)}
+    want = {i: i for i in sets}
+    for _ in sets:
+        for i in sets:
+            want[i] = min(want[j] for j in sets if 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]))
+    assert got == want and 6 < len(set(want.values())) < len(rows)
+    assert "jaccard-candidates" in labels and "jaccard-more" not in labels, labels
+
+
+def test_only_wanted_texts_are_shuffled(spark):
+    ids = spark.range(20000).select(F.when(F.col("id") != 5, F.col("id")).alias("doc_id"))
+    wanted = spark.range(0, 20000, 100).select(F.col("id").alias("a"))
+    left = [r.doc_id for r in jaccard_join._only(ids, "doc_id", wanted).collect()]
+    assert len(left) < 300 and {r.a for r in wanted.collect()} <= set(left)
+    assert jaccard_join._only(ids, "doc_id", wanted.limit(0)).count() == 0
+
+
+def test_shingle_sets_of_many_texts():
+    rng = random.Random(10)
+    texts = ["", "a", "a b", "A b\tc D", " \n"] + [" ".join(rng.choices("abcdefg", k=rng.randint(0, 40))) for _ in range(200)]
+    for k in (1, 3, 5):
+        got = [s.tolist() for s in jaccard_join.shingle_sets(texts, k)]
+        assert got == [sorted(set(jaccard_join.shingle_set(t, k).tolist())) for t in texts]
+    assert list(jaccard_join.shingle_sets([], 3)) == []
