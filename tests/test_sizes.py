@@ -1,5 +1,6 @@
 """Partitions of a bounded size; working tables of the staged sources."""
 
+import time
 from dataclasses import replace
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from pathwise import session
 from pathwise.sources import fixtures, tables
-from pathwise.sources.publish import new_run_dir, stored_bytes
+from pathwise.sources.publish import SHUFFLE_CLEANUP, materialize, new_run_dir, stored_bytes
 from pathwise.sources.tables import FACT_TABLES, Sources
 
 MERGE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -86,6 +87,30 @@ def test_a_job_stages_the_sources_that_it_reads(spark):
     assert replace(src, assessment=plain.assessment).calendar.count() == plain.calendar.count()
 
 
+def test_facts_are_written_from_dealt_lines_without_a_shuffle(spark):
+    at = new_run_dir(spark, "test-stage")
+    src = Sources.from_driver_tables(spark, SF_SMALL, at, on_demand=True)
+    assert src.care_contact.count()
+    lines = spark.read.parquet(f"{at}/lines")
+    assert all("ym=" in f for f in lines.inputFiles())
+    plan = spark.sql(fixtures.VIEWS["care_activity"], lines=lines)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_working_tables_leave_no_shuffle_files(spark):
+    """The files go when the write ends, and the session's own setting comes back."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: sum(1 for f in files.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f)
+    before, own = shuffled(), spark.conf.get(SHUFFLE_CLEANUP, None)
+    df = spark.range(100_000).groupBy((F.col("id") % 997).alias("k")).count()
+    written = materialize(df, f"{new_run_dir(spark, 'test-write')}/t")
+    until = time.time() + 20
+    while shuffled() > before and time.time() < until:   # dropped by a thread of its own
+        time.sleep(0.2)
+    assert shuffled() <= before and spark.conf.get(SHUFFLE_CLEANUP, None) == own
+    assert written.count() == 997
+
+
 def stored_bytes_or_none(spark, path):
     try:
         return stored_bytes(spark, path)
