@@ -13,7 +13,7 @@ from pathwise.plans import change_set as C
 from pathwise.plans.catalog import FIXTURE_FIRST, earlier_register
 from pathwise.plans.refresh import MonthlyRefresh
 from pathwise.sources.publish import new_run_dir
-from pathwise.sources.tables import driver_sources
+from pathwise.sources.tables import Sources, driver_sources
 
 
 def bag(df):
@@ -88,3 +88,44 @@ def test_distinct_states_of_months_add_up(spark):
     assert bag(merged_usage(state, ["p"])) == bag(want)
     none = usage_state(df.filter("false"), ["p"], id_col="id", counted=F.lit(True), minutes="minutes")
     assert merged_usage(none, ["p"]).count() == 0
+
+
+def test_a_change_set_stages_only_the_sources_that_it_reads(spark):
+    """Applying registers asks for neither contacts nor answers."""
+    at = new_run_dir(spark, "test-stage")
+    src = Sources.from_driver_tables(spark, SF_SMALL, at, on_demand=True)
+    C.ChangeSetRefresh(spark, new_run_dir(spark, "test-change-set"), first=FIXTURE_FIRST).apply(
+        src.replaced(submission_register=src.submission_register.filter("period_start >= '1998-01-01'")))
+    staged = {p.getPath().getName() for p in _listed(spark, at)}
+    assert "digital_log" in staged and not staged & {"care_contact", "assessment", "terminology"}
+
+
+def _listed(spark, path):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+
+
+def test_cells_of_other_months_are_not_merged(spark, src):
+    """A later register's step deals out no cells but those of months it changes,
+    and these only once."""
+    state = C.ChangeSetRefresh(spark, new_run_dir(spark, "test-change-set"), first=FIXTURE_FIRST)
+    recent = src.submission_register.filter("period_start >= '1997-06-01'")
+    first = state.apply(src.replaced(submission_register=earlier_register(recent)))
+    merged = []
+    real, C.merge_cells = C.merge_cells, lambda *a: merged.append(real(*a)) or merged[-1]
+    try:
+        second = state.apply(src.replaced(submission_register=recent))
+    finally:
+        C.merge_cells = real
+    months = {r[0] for r in merged[0].select("month").distinct().collect()}
+    others = {r[0] for r in first.cells.select("month").distinct().collect()} - months
+    assert months and others
+    assert others < {r[0] for r in second.cells.select("month").distinct().collect()}
+
+
+def test_cells_of_few_dims_are_aggregated_before_they_are_dealt(spark, src):
+    state = C.ChangeSetRefresh(spark, new_run_dir(spark, "test-change-set"), first=FIXTURE_FIRST)
+    small = src.submission_register.filter("period_start >= '1998-01-01'")
+    got = state.apply(src.replaced(submission_register=small))
+    for df in (got.wait_dashboard(), got.treatment_dashboard()):
+        assert "REPARTITION_BY_COL" not in df._jdf.queryExecution().executedPlan().toString()
